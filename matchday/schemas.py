@@ -4,88 +4,85 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+LONG, INT, DOUBLE = T.LongType(), T.IntegerType(), T.DoubleType()
+TEXT, FLAG, TIME = T.StringType(), T.BooleanType(), T.TimestampType()
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
 
+def _struct(*groups: tuple[T.DataType, str]) -> T.StructType:
+    """Fields in order, given as runs of names that share a type."""
+    return T.StructType([
+        T.StructField(name, data_type) for data_type, names in groups for name in names.split()
+    ])
+
+
+_STRENGTHS = (
+    "strength_overall_home strength_overall_away strength_attack_home strength_attack_away "
+    "strength_defence_home strength_defence_away"
+)
+_MATCH_COUNTS = (
+    "total_points minutes goals_scored assists clean_sheets goals_conceded yellow_cards red_cards bonus bps"
+)
 
 # Fields of the landed JSON records that later layers read. Any other field
 # stays available in ``raw_payload``.
-TEAM_RECORD = _struct(
-    "id BIGINT, code BIGINT, name STRING, short_name STRING, strength BIGINT, "
-    "strength_overall_home BIGINT, strength_overall_away BIGINT, "
-    "strength_attack_home BIGINT, strength_attack_away BIGINT, "
-    "strength_defence_home BIGINT, strength_defence_away BIGINT"
-)
+TEAM_RECORD = _struct((LONG, "id code"), (TEXT, "name short_name"), (LONG, "strength " + _STRENGTHS))
 PLAYER_RECORD = _struct(
-    "id BIGINT, web_name STRING, first_name STRING, second_name STRING, photo STRING, team BIGINT, "
-    "element_type BIGINT, now_cost BIGINT, total_points BIGINT, form STRING, "
-    "selected_by_percent STRING, status STRING, chance_of_playing_next_round BIGINT"
+    (LONG, "id"), (TEXT, "web_name first_name second_name photo"),
+    (LONG, "team element_type now_cost total_points"), (TEXT, "form selected_by_percent status"),
+    (LONG, "chance_of_playing_next_round"),
 )
 FIXTURE_RECORD = _struct(
-    "id BIGINT, event BIGINT, team_h BIGINT, team_a BIGINT, team_h_difficulty BIGINT, "
-    "team_a_difficulty BIGINT, team_h_score BIGINT, team_a_score BIGINT, finished BOOLEAN, "
-    "kickoff_time STRING"
+    (LONG, "id event team_h team_a team_h_difficulty team_a_difficulty team_h_score team_a_score"),
+    (FLAG, "finished"), (TEXT, "kickoff_time"),
 )
 HISTORY_RECORD = _struct(
-    "fixture BIGINT, round BIGINT, opponent_team BIGINT, was_home BOOLEAN, total_points BIGINT, "
-    "minutes BIGINT, goals_scored BIGINT, assists BIGINT, clean_sheets BIGINT, goals_conceded BIGINT, "
-    "yellow_cards BIGINT, red_cards BIGINT, bonus BIGINT, bps BIGINT, expected_goals STRING, "
-    "expected_assists STRING, value BIGINT"
+    (LONG, "fixture round opponent_team"), (FLAG, "was_home"), (LONG, _MATCH_COUNTS),
+    (TEXT, "expected_goals expected_assists"), (LONG, "value"),
 )
 GAMEWEEK_RECORD = _struct(
-    "id BIGINT, name STRING, deadline_time STRING, finished BOOLEAN, data_checked BOOLEAN, "
-    "is_current BOOLEAN, is_next BOOLEAN"
+    (LONG, "id"), (TEXT, "name deadline_time"), (FLAG, "finished data_checked is_current is_next")
 )
-LIVE_RECORD = _struct("id BIGINT, stats STRING")
+LIVE_RECORD = _struct((LONG, "id"), (TEXT, "stats"))
 
 # Published tables, in column order.
-CURRENT_GAMEWEEK = _struct("deadline_time STRING, finished BOOLEAN, gameweek_id BIGINT, name STRING")
-SILVER_TEAMS = _struct(
-    "team_id BIGINT, team_code BIGINT, team_name STRING, short_name STRING, "
-    "strength_overall_home INT, strength_overall_away INT, strength_attack_home INT, "
-    "strength_attack_away INT, strength_defence_home INT, strength_defence_away INT"
-)
+CURRENT_GAMEWEEK = _struct((TEXT, "deadline_time"), (FLAG, "finished"), (LONG, "gameweek_id"), (TEXT, "name"))
+SILVER_TEAMS = _struct((LONG, "team_id team_code"), (TEXT, "team_name short_name"), (INT, _STRENGTHS))
 SILVER_PLAYERS = _struct(
-    "team_id BIGINT, player_id BIGINT, web_name STRING, first_name STRING, second_name STRING, "
-    "photo STRING, position STRING, cost_millions DOUBLE, total_points INT, form DOUBLE, "
-    "selected_by_percent DOUBLE, status STRING, chance_of_playing_next_round INT, "
-    "team_name STRING, team_code BIGINT"
+    (LONG, "team_id player_id"), (TEXT, "web_name first_name second_name photo position"),
+    (DOUBLE, "cost_millions"), (INT, "total_points"), (DOUBLE, "form selected_by_percent"), (TEXT, "status"),
+    (INT, "chance_of_playing_next_round"), (TEXT, "team_name"), (LONG, "team_code"),
 )
 SILVER_FIXTURES = _struct(
-    "team_a_id BIGINT, team_h_id BIGINT, fixture_id BIGINT, gameweek_id BIGINT, "
-    "team_h_difficulty INT, team_a_difficulty INT, team_h_score INT, team_a_score INT, "
-    "finished BOOLEAN, kickoff_time TIMESTAMP, team_h_name STRING, team_a_name STRING"
+    (LONG, "team_a_id team_h_id fixture_id gameweek_id"),
+    (INT, "team_h_difficulty team_a_difficulty team_h_score team_a_score"), (FLAG, "finished"),
+    (TIME, "kickoff_time"), (TEXT, "team_h_name team_a_name"),
 )
 SILVER_STATS = _struct(
-    "fixture_id BIGINT, player_id BIGINT, gameweek_id BIGINT, opponent_team_id BIGINT, "
-    "was_home BOOLEAN, total_points INT, minutes INT, goals_scored INT, assists INT, "
-    "clean_sheets INT, goals_conceded INT, yellow_cards INT, red_cards INT, bonus INT, bps INT, "
-    "expected_goals DOUBLE, expected_assists DOUBLE, cost_at_match_millions DOUBLE, "
-    "web_name STRING, position STRING, team_id BIGINT, difficulty INT"
+    (LONG, "fixture_id player_id gameweek_id opponent_team_id"), (FLAG, "was_home"), (INT, _MATCH_COUNTS),
+    (DOUBLE, "expected_goals expected_assists cost_at_match_millions"), (TEXT, "web_name position"),
+    (LONG, "team_id"), (INT, "difficulty"),
 )
 GOLD_FORM = _struct(
-    "player_id BIGINT, avg_points_recent DOUBLE, avg_minutes_recent DOUBLE, "
-    "avg_expected_goals_recent DOUBLE, avg_expected_assists_recent DOUBLE, matches_in_window BIGINT"
+    (LONG, "player_id"),
+    (DOUBLE, "avg_points_recent avg_minutes_recent avg_expected_goals_recent avg_expected_assists_recent"),
+    (LONG, "matches_in_window"),
 )
 GOLD_VALUE = _struct(
-    "player_id BIGINT, web_name STRING, position STRING, team_name STRING, cost_millions DOUBLE, "
-    "total_points INT, selected_by_percent DOUBLE, points_per_million DOUBLE"
+    (LONG, "player_id"), (TEXT, "web_name position team_name"), (DOUBLE, "cost_millions"), (INT, "total_points"),
+    (DOUBLE, "selected_by_percent points_per_million"),
 )
 GOLD_DIFFICULTY = _struct(
-    "team_id BIGINT, avg_upcoming_difficulty DOUBLE, upcoming_fixtures_count BIGINT"
+    (LONG, "team_id"), (DOUBLE, "avg_upcoming_difficulty"), (LONG, "upcoming_fixtures_count")
 )
 GOLD_SCORES = _struct(
-    "player_id BIGINT, web_name STRING, first_name STRING, second_name STRING, photo STRING, "
-    "position STRING, team_id BIGINT, team_code BIGINT, cost_millions DOUBLE, "
-    "avg_points_recent DOUBLE, points_per_million DOUBLE, avg_upcoming_difficulty DOUBLE, "
-    "recommendation_score DOUBLE"
+    (LONG, "player_id"), (TEXT, "web_name first_name second_name photo position"), (LONG, "team_id team_code"),
+    (DOUBLE, "cost_millions avg_points_recent points_per_million avg_upcoming_difficulty recommendation_score"),
 )
 GOLD_OPTIMAL_TEAM = _struct(
-    "player_id BIGINT, web_name STRING, position STRING, team_id BIGINT, team_code BIGINT, "
-    "cost_millions DOUBLE, photo STRING, recommendation_score DOUBLE, is_starter BOOLEAN"
+    (LONG, "player_id"), (TEXT, "web_name position"), (LONG, "team_id team_code"), (DOUBLE, "cost_millions"),
+    (TEXT, "photo"), (DOUBLE, "recommendation_score"), (FLAG, "is_starter"),
 )
 RUN_LOG = _struct(
-    "run_id STRING, step STRING, table STRING, status STRING, logged_at TIMESTAMP, "
-    "duration_s DOUBLE, row_count BIGINT, error_type STRING, error STRING"
+    (TEXT, "run_id step table status"), (TIME, "logged_at"), (DOUBLE, "duration_s"), (LONG, "row_count"),
+    (TEXT, "error_type error"),
 )
