@@ -15,11 +15,14 @@ def _formation_rows(df: DataFrame, rules: SquadRules) -> DataFrame:
     """One row per formation and position (a few dozen rows, fixed by the rules).
     A formation is named by the positions whose number can vary, as in 4-4-2."""
     varying = [p for p, (low, high) in rules.lineup_bounds.items() if low != high]
-    rows = [
-        ("-".join(str(split[p]) for p in varying), position, count)
+    rows = F.array(*[
+        F.struct(
+            F.lit("-".join(str(split[p]) for p in varying)).alias("formation"),
+            F.lit(position).alias("position"), F.lit(count).alias("needed"),
+        )
         for split in rules.formations() for position, count in split.items()
-    ]
-    return df.sparkSession.createDataFrame(rows, "formation STRING, position STRING, needed INT")
+    ])
+    return df.sparkSession.range(1, numPartitions=1).select(F.inline(rows))
 
 
 def _best_of_position(squads: DataFrame, squad: Sequence[str], rules: SquadRules, cols: CandidateColumns) -> DataFrame:
@@ -65,6 +68,9 @@ def mark_starters(squads: DataFrame, squad: Sequence[str], rules: SquadRules = S
                   cols: CandidateColumns = CandidateColumns(), strict: bool = False) -> DataFrame:
     """Add ``is_starter``; the rest of each squad is its bench. A squad without a
     valid line-up has no starters, or fails the job when ``strict``."""
+    if not squad:
+        whole = mark_starters(squads.withColumn("__squad", F.lit(0)), ["__squad"], rules, cols, strict)
+        return whole.drop("__squad")
     flags = starters(squads, squad, rules, cols).select(*squad, cols.id, F.lit(True).alias("is_starter"))
     is_starter = F.coalesce("is_starter", F.lit(False))
     marked = squads.join(flags, [*squad, cols.id], "left")

@@ -1,9 +1,9 @@
 """Rolling aggregates over the last n rows, safe for very long keys.
 
-A plain window puts each key on one task. Keys longer than ``split_rows`` are
-therefore cut into consecutive chunks of their first order column; a chunk
-receives the n-1 rows that precede it (its carry), so every row still sees its
-whole frame. Ordinary keys are one chunk and need no carry.
+A plain window puts each key on one task. Long keys are therefore cut into
+consecutive chunks of their first order column; a chunk receives the n-1 rows
+that precede it (its carry), so every row still sees its whole frame. Ordinary
+keys are one chunk and need no carry.
 """
 
 from __future__ import annotations
@@ -13,7 +13,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# A key is long if it has more rows than SPLIT_ROWS and more than one
+# MAX_LONG_KEYS-th of all rows, so there are never more than MAX_LONG_KEYS.
 SPLIT_ROWS = 5_000_000
+MAX_LONG_KEYS = 10_000
 
 CHUNK = "__chunk"
 CARRIED = "__carried"
@@ -35,14 +38,15 @@ def _number_chunks(df: DataFrame, keys: Sequence[str], split_on: str, split_rows
     """Add the chunk number: NULL for ordinary keys, 0.. for long ones.
 
     The cut points come from count/min/max per key, which are the same in every
-    evaluation. Only long keys stay in the lookup: at most rows / split_rows of
-    them, and Spark broadcasts it only if its measured size allows."""
+    evaluation. The lookup of long keys has at most MAX_LONG_KEYS rows by
+    construction, so broadcasting it is safe at any input size."""
     positioned = df.withColumn(POSITION, _position(df, split_on))
-    long_keys = (
-        positioned.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(POSITION).alias("__lo"), F.max(POSITION).alias("__hi"))
-        .filter(F.col("__n") > split_rows)
-        .select(
+    sizes = positioned.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(POSITION).alias("__lo"), F.max(POSITION).alias("__hi")
+    )
+    share_of_all = sizes.agg(F.sum("__n") / MAX_LONG_KEYS).scalar()
+    long_keys = F.broadcast(
+        sizes.filter((F.col("__n") > split_rows) & (F.col("__n") > share_of_all)).select(
             *[F.col(k).alias(f"__long_{k}") for k in keys], "__lo", "__hi",
             F.ceil(F.col("__n") / split_rows).alias("__chunks"),
         )
