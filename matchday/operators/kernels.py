@@ -1,0 +1,207 @@
+"""The array helpers that run inside tasks; numpy and Arrow only.
+
+They see one bounded group at a time. The module is pickled by value with the
+functions that use it, so executors do not need this package installed.
+"""
+
+from __future__ import annotations
+
+from bisect import bisect_left, insort
+from collections.abc import Callable, Mapping, Sequence
+from itertools import combinations
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+
+OPTIMAL = "optimal"
+INFEASIBLE = "infeasible"
+
+
+class InfeasibleSelection(ValueError):
+    """The pool and the budget allow no valid squad."""
+
+
+def undominated(units: np.ndarray, score: np.ndarray, ids: np.ndarray, club: Sequence,
+                same_bound: int, club_bound: int) -> np.ndarray:
+    """Positions of the rows to keep among the candidates of one position.
+
+    Rows are visited by (cost, score desc, id); every dominator of a row is
+    visited before it, and a visited row dominates it exactly if it is better in
+    (score desc, cost, id)."""
+    best_of_club: dict = {}
+    members: dict = {}
+    clubs: list = []
+    kept = []
+    visit = np.lexsort((ids, -score, units))
+    keys = list(zip((-score).tolist(), units.tolist(), ids.tolist()))
+    for i in visit.tolist():
+        key, team = keys[i], club[i]
+        own = members.setdefault(team, [])
+        same = bisect_left(own, key)
+        if same < same_bound and bisect_left(clubs, key) < club_bound:
+            kept.append(i)
+        if same < same_bound:
+            own.insert(same, key)
+            del own[same_bound:]
+        best = best_of_club.get(team)
+        if best is None or key < best:
+            if best is not None:
+                at = bisect_left(clubs, best)
+                if at < len(clubs) and clubs[at] == best:
+                    del clubs[at]
+            best_of_club[team] = key
+            insort(clubs, key)
+            del clubs[club_bound:]
+    return np.sort(np.array(kept, dtype=np.int64))
+
+
+def group_pruner(units: str, score: str, id_column: str, club: str, same_bound: str,
+                 club_bound: str) -> Callable[[pa.Table], pa.Table]:
+    """The function that prunes the candidates of one group and position."""
+
+    def prune(table: pa.Table) -> pa.Table:
+        rows = undominated(
+            table[units].to_numpy(), table[score].to_numpy(), table[id_column].to_numpy(), table[club].to_pylist(),
+            table[same_bound][0].as_py(), table[club_bound][0].as_py(),
+        )
+        return table.take(pa.array(rows))
+
+    return prune
+
+
+class Pool(NamedTuple):
+    """Candidates of one scenario, as arrays."""
+
+    position: np.ndarray
+    units: np.ndarray
+    score: np.ndarray
+    club: np.ndarray
+
+
+def _shifted(table: np.ndarray, counts: np.ndarray, units: int) -> tuple[tuple, tuple]:
+    """Slices pairing each state with the one reached by adding players."""
+    low = tuple(slice(0, n - c) for n, c in zip(table.shape[:-1], counts))
+    high = tuple(slice(c, n) for n, c in zip(table.shape[:-1], counts))
+    spend = table.shape[-1]
+    return (*low, slice(0, spend - units)), (*high, slice(units, spend))
+
+
+def _add_club(table: np.ndarray, pool: Pool, members: np.ndarray, club_limit: int) -> np.ndarray:
+    """Best scores once up to ``club_limit`` of the club's players may be added."""
+    depth = min(club_limit, len(members))
+    layers = [table, *[np.full_like(table, -np.inf) for _ in range(depth)]]
+    for i in members:
+        step = np.zeros(table.ndim - 1, dtype=int)
+        step[pool.position[i]] = 1
+        source, target = _shifted(table, step, int(pool.units[i]))
+        for k in range(depth, 0, -1):
+            np.maximum(layers[k][target], layers[k - 1][source] + pool.score[i], out=layers[k][target])
+    best = layers[0]
+    for layer in layers[1:]:
+        best = np.maximum(best, layer)
+    return best
+
+
+def _club_choice(before: np.ndarray, pool: Pool, members: np.ndarray, club_limit: int,
+                 counts: np.ndarray, spend: int) -> tuple[int, ...]:
+    """Which of the club's players lead to the state ``(counts, spend)``."""
+    best, choice = before[(*counts, spend)], ()
+    for size in range(1, min(club_limit, len(members)) + 1):
+        for group in combinations(members, size):
+            used = np.bincount(pool.position[list(group)], minlength=len(counts))
+            cost = int(pool.units[list(group)].sum())
+            if cost > spend or (used > counts).any():
+                continue
+            value = before[(*(counts - used), spend - cost)] + pool.score[list(group)].sum()
+            if value > best:
+                best, choice = value, group
+    return choice
+
+
+def best_squads(pool: Pool, limits: Sequence[int], club_limit: int, budgets: Sequence[int]) -> list[np.ndarray | None]:
+    """Members of the best squad for each budget (in units), or None where none exists.
+
+    Exact dynamic program over clubs; the state is players per position and
+    units spent above the cheapest possible price of each position. One run
+    answers every budget up to the largest."""
+    if any((pool.position == p).sum() < limit for p, limit in enumerate(limits)):
+        return [None] * len(budgets)
+    floor = np.array([pool.units[pool.position == p].min() for p in range(len(limits))])
+    base = int(sum(f * limit for f, limit in zip(floor, limits)))
+    top = max(budgets) - base
+    if top < 0:
+        return [None] * len(budgets)
+    extra = pool.units - floor[pool.position]
+    usable = extra <= top
+    reduced = pool._replace(units=extra)
+    clubs = [np.flatnonzero(usable & (pool.club == c)) for c in np.unique(pool.club)]
+    clubs = [members for members in clubs if len(members)]
+
+    table = np.full((*[limit + 1 for limit in limits], top + 1), -np.inf)
+    table[(0,) * len(limits)] = 0.0
+    before = []
+    for members in clubs:
+        before.append(table)
+        table = _add_club(table, reduced, members, club_limit)
+
+    squads: list[np.ndarray | None] = []
+    for budget in budgets:
+        counts, spend = np.array(limits), min(budget - base, top)
+        if spend < 0 or table[(*counts, spend)] == -np.inf:
+            squads.append(None)
+            continue
+        chosen: list[int] = []
+        for state, members in zip(reversed(before), reversed(clubs)):
+            picked = _club_choice(state, reduced, members, club_limit, counts, spend)
+            chosen.extend(int(i) for i in picked)
+            if picked:
+                counts = counts - np.bincount(pool.position[list(picked)], minlength=len(counts))
+                spend -= int(extra[list(picked)].sum())
+        squads.append(np.sort(np.array(chosen)))
+    return squads
+
+
+class SolverColumns(NamedTuple):
+    """Names of the columns the solver reads."""
+
+    id: str
+    position: str
+    club: str
+    score: str
+    units: str
+
+
+def group_solver(cols: SolverColumns, limits: Mapping[str, int], club_limit: int, spends: Mapping[float, int],
+                 scenario: Sequence[str], strict: bool, out_schema: pa.Schema) -> Callable[[pa.Table], pa.Table]:
+    """The function that solves one scenario for every budget in ``spends``, which
+    maps a budget to whole units."""
+    names = list(limits)
+
+    def unsolved(table: pa.Table, budget: float) -> pa.Table:
+        if strict:
+            raise InfeasibleSelection(f"no valid squad within budget {budget} for this pool of candidates")
+        row = {name: [table[name][0].as_py()] if name in scenario else [None] for name in out_schema.names}
+        return pa.Table.from_pydict({**row, "budget": [budget], "solve_status": [INFEASIBLE]}, out_schema)
+
+    def solve(table: pa.Table) -> pa.Table:
+        table = table.sort_by(cols.id)
+        codes: dict = {}
+        pool = Pool(
+            np.array([names.index(p) for p in table[cols.position].to_pylist()]),
+            table[cols.units].to_numpy().astype(np.int64),
+            table[cols.score].to_numpy(),
+            np.array([codes.setdefault(c, len(codes)) for c in table[cols.club].to_pylist()]),
+        )
+        pieces = []
+        for budget, members in zip(spends, best_squads(pool, list(limits.values()), club_limit, list(spends.values()))):
+            if members is None:
+                pieces.append(unsolved(table, budget))
+                continue
+            chosen = table.take(pa.array(members))
+            chosen = chosen.append_column("budget", pa.array([budget] * len(members), pa.float64()))
+            chosen = chosen.append_column("solve_status", pa.array([OPTIMAL] * len(members)))
+            pieces.append(chosen.select(out_schema.names).cast(out_schema))
+        return pa.concat_tables(pieces)
+
+    return solve

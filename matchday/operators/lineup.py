@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchday.operators.ranking import first_n_per_key
-from matchday.operators.squad_rules import BUDGET, CandidateColumns, SquadRules
+from matchday.operators.squad_rules import BUDGET, CandidateColumns, SquadRules, by_position
 
 
-def _formation_rows(df: DataFrame, rules: SquadRules) -> DataFrame:
-    """One row per formation and position (a few dozen rows, fixed by the rules).
-    A formation is named by the positions whose number can vary, as in 4-4-2."""
+def _formation_name(rules: SquadRules) -> Callable[[Mapping[str, int]], str]:
+    """Names a formation by the positions whose number can vary, as in 4-4-2."""
     varying = [p for p, (low, high) in rules.lineup_bounds.items() if low != high]
+    return lambda split: "-".join(str(split[p]) for p in varying)
+
+
+def _no_formation() -> Column:
+    return F.raise_error(F.lit("no valid formation: check the number of players per position"))
+
+
+def _formation_rows(df: DataFrame, rules: SquadRules) -> DataFrame:
+    """One row per formation and position (a few dozen rows, fixed by the rules)."""
+    name = _formation_name(rules)
     rows = F.array(*[
         F.struct(
-            F.lit("-".join(str(split[p]) for p in varying)).alias("formation"),
+            F.lit(name(split)).alias("formation"),
             F.lit(position).alias("position"), F.lit(count).alias("needed"),
         )
         for split in rules.formations() for position, count in split.items()
@@ -77,12 +86,39 @@ def mark_starters(squads: DataFrame, squad: Sequence[str], rules: SquadRules = S
     if strict:
         chosen = best_formation(squads, squad, rules, cols).select(*squad, F.lit(True).alias("__valid"))
         marked = marked.join(chosen, list(squad), "left")
-        is_starter = F.when(F.col("__valid"), is_starter).otherwise(
-            F.raise_error(F.lit("no valid formation: check the number of players per position"))
-        )
+        is_starter = F.when(F.col("__valid"), is_starter).otherwise(_no_formation())
     return marked.select(*squads.columns, is_starter.alias("is_starter"))
 
 
+def mark_starters_of_small_squads(squads: DataFrame, squad: Sequence[str], rules: SquadRules = SquadRules(),
+                                  cols: CandidateColumns = CandidateColumns(), strict: bool = False) -> DataFrame:
+    """As :func:`mark_starters`, by windows over each whole squad instead of joins.
+
+    For squads of a size bounded by the rules, such as the solver's output: the
+    input is evaluated once, where the joins would evaluate it once per branch."""
+    formations = sorted(rules.formations(), key=_formation_name(rules))
+    in_position = Window.partitionBy(*squad, cols.position).orderBy(F.col(cols.score).desc(), F.col(cols.id).asc())
+    in_squad = Window.partitionBy(*squad)
+    ranked = squads.withColumn("__place", F.row_number().over(in_position))
+
+    def starts(split: dict[str, int]) -> Column:
+        needed = by_position(split, F.col(cols.position))
+        return F.coalesce(F.col(cols.score).isNotNull() & (F.col("__place") <= needed), F.lit(False))
+
+    options = []
+    for place, split in enumerate(formations):
+        filled = F.count_if(starts(split)).over(in_squad) == rules.lineup_size
+        total = F.round(F.sum(F.when(starts(split), F.col(cols.score))).over(in_squad), 6)
+        options.append(F.when(filled, F.struct(total.alias("total"), F.lit(-place).alias("rank"))))
+    best = ranked.withColumn("__best", F.array_max(F.array(*options))["rank"])
+    is_starter = F.lit(False)
+    for place, split in enumerate(formations):
+        is_starter = F.when(F.col("__best") == -place, starts(split)).otherwise(is_starter)
+    if strict:
+        is_starter = F.when(F.col("__best").isNull(), _no_formation()).otherwise(is_starter)
+    return best.select(*squads.columns, is_starter.alias("is_starter"))
+
+
 def squad_totals(marked: DataFrame, squad: Sequence[str], cols: CandidateColumns = CandidateColumns()) -> DataFrame:
     """Cost and score of the whole squad and of its starters, under separate names."""
     started = F.col("is_starter")

@@ -10,66 +10,22 @@ order then counts the dominators.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from matchday.operators import kernels
 from matchday.operators.squad_rules import by_position
 
+cloudpickle.register_pickle_by_value(kernels)
+
 UNITS = "__units"
 SAME_BOUND = "__same_bound"
 CLUB_BOUND = "__club_bound"
 
 
-def undominated(units: np.ndarray, score: np.ndarray, ids: np.ndarray, club: Sequence,
-                same_bound: int, club_bound: int) -> np.ndarray:
-    """Positions of the rows to keep among the candidates of one position.
-
-    Rows are visited by (cost, score desc, id); every dominator of a row is
-    visited before it, and a visited row dominates it exactly if it is better in
-    (score desc, cost, id)."""
-    best_of_club: dict = {}
-    members: dict = {}
-    clubs: list = []
-    kept = []
-    visit = np.lexsort((ids, -score, units))
-    keys = list(zip((-score).tolist(), units.tolist(), ids.tolist()))
-    for i in visit.tolist():
-        key, team = keys[i], club[i]
-        own = members.setdefault(team, [])
-        same = bisect_left(own, key)
-        if same < same_bound and bisect_left(clubs, key) < club_bound:
-            kept.append(i)
-        if same < same_bound:
-            own.insert(same, key)
-            del own[same_bound:]
-        best = best_of_club.get(team)
-        if best is None or key < best:
-            if best is not None:
-                at = bisect_left(clubs, best)
-                if at < len(clubs) and clubs[at] == best:
-                    del clubs[at]
-            best_of_club[team] = key
-            insort(clubs, key)
-            del clubs[club_bound:]
-    return np.sort(np.array(kept, dtype=np.int64))
-
-
-def _keep_group(id_column: str, club: str, score: str):
-    def keep(table: pa.Table) -> pa.Table:
-        rows = undominated(
-            table[UNITS].to_numpy(), table[score].to_numpy(), table[id_column].to_numpy(),
-            table[club].to_pylist(), table[SAME_BOUND][0].as_py(), table[CLUB_BOUND][0].as_py(),
-        )
-        return table.take(pa.array(rows))
-
-    return keep
-
-
 def _bound(value: int | Mapping[str, int], position: str) -> tuple[Column, int]:
     if isinstance(value, int):
         return F.lit(value), value
@@ -103,5 +59,7 @@ def dominance_prune(df: DataFrame, groups: Sequence[str], position: str, club: s
         (F.col("__club_rank") <= most_clubs) & (F.col("__club_rank") <= F.col(CLUB_BOUND))
     ).drop("__rank", "__leader", "__club_rank")
 
-    kept = pool.groupBy(*groups, position).applyInArrow(_keep_group(id_column, club, score), pool.schema)
+    kept = pool.groupBy(*groups, position).applyInArrow(
+        kernels.group_pruner(UNITS, score, id_column, club, SAME_BOUND, CLUB_BOUND), pool.schema
+    )
     return kept.drop(UNITS, SAME_BOUND, CLUB_BOUND)

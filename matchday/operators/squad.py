@@ -3,152 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
-from typing import NamedTuple
+from math import floor
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from matchday.operators import kernels
 from matchday.operators.pruning import dominance_prune
 from matchday.operators.squad_rules import BUDGET, CandidateColumns, SquadRules
 
-OPTIMAL = "optimal"
-INFEASIBLE = "infeasible"
+OPTIMAL = kernels.OPTIMAL
+INFEASIBLE = kernels.INFEASIBLE
+InfeasibleSelection = kernels.InfeasibleSelection
 
 UNITS = "__units"
 
 
-class InfeasibleSelection(ValueError):
-    """The pool and the budget allow no valid squad."""
-
-
-class Pool(NamedTuple):
-    """Candidates of one scenario, as arrays."""
-
-    position: np.ndarray
-    units: np.ndarray
-    score: np.ndarray
-    club: np.ndarray
-
-
-def _shifted(table: np.ndarray, counts: np.ndarray, units: int) -> tuple[tuple, tuple]:
-    """Slices pairing each state with the one reached by adding players."""
-    low = tuple(slice(0, n - c) for n, c in zip(table.shape[:-1], counts))
-    high = tuple(slice(c, n) for n, c in zip(table.shape[:-1], counts))
-    spend = table.shape[-1]
-    return (*low, slice(0, spend - units)), (*high, slice(units, spend))
-
-
-def _add_club(table: np.ndarray, pool: Pool, members: np.ndarray, club_limit: int) -> np.ndarray:
-    """Best scores once up to ``club_limit`` of the club's players may be added."""
-    depth = min(club_limit, len(members))
-    layers = [table, *[np.full_like(table, -np.inf) for _ in range(depth)]]
-    for i in members:
-        step = np.zeros(table.ndim - 1, dtype=int)
-        step[pool.position[i]] = 1
-        source, target = _shifted(table, step, int(pool.units[i]))
-        for k in range(depth, 0, -1):
-            np.maximum(layers[k][target], layers[k - 1][source] + pool.score[i], out=layers[k][target])
-    best = layers[0]
-    for layer in layers[1:]:
-        best = np.maximum(best, layer)
-    return best
-
-
-def _club_choice(before: np.ndarray, pool: Pool, members: np.ndarray, club_limit: int,
-                 counts: np.ndarray, spend: int) -> tuple[int, ...]:
-    """Which of the club's players lead to the state ``(counts, spend)``."""
-    best, choice = before[(*counts, spend)], ()
-    for size in range(1, min(club_limit, len(members)) + 1):
-        for group in combinations(members, size):
-            used = np.bincount(pool.position[list(group)], minlength=len(counts))
-            cost = int(pool.units[list(group)].sum())
-            if cost > spend or (used > counts).any():
-                continue
-            value = before[(*(counts - used), spend - cost)] + pool.score[list(group)].sum()
-            if value > best:
-                best, choice = value, group
-    return choice
-
-
-def best_squads(pool: Pool, limits: Sequence[int], club_limit: int, budgets: Sequence[int]) -> list[np.ndarray | None]:
-    """Members of the best squad for each budget (in units), or None where none exists.
-
-    Exact dynamic program over clubs; the state is players per position and
-    units spent above the cheapest possible price of each position. One run
-    answers every budget up to the largest."""
-    if any((pool.position == p).sum() < limit for p, limit in enumerate(limits)):
-        return [None] * len(budgets)
-    floor = np.array([pool.units[pool.position == p].min() for p in range(len(limits))])
-    base = int(sum(f * limit for f, limit in zip(floor, limits)))
-    top = max(budgets) - base
-    if top < 0:
-        return [None] * len(budgets)
-    extra = pool.units - floor[pool.position]
-    usable = extra <= top
-    reduced = pool._replace(units=extra)
-    clubs = [np.flatnonzero(usable & (pool.club == c)) for c in np.unique(pool.club)]
-    clubs = [members for members in clubs if len(members)]
-
-    table = np.full((*[limit + 1 for limit in limits], top + 1), -np.inf)
-    table[(0,) * len(limits)] = 0.0
-    before = []
-    for members in clubs:
-        before.append(table)
-        table = _add_club(table, reduced, members, club_limit)
-
-    squads: list[np.ndarray | None] = []
-    for budget in budgets:
-        counts, spend = np.array(limits), min(budget - base, top)
-        if spend < 0 or table[(*counts, spend)] == -np.inf:
-            squads.append(None)
-            continue
-        chosen: list[int] = []
-        for state, members in zip(reversed(before), reversed(clubs)):
-            picked = _club_choice(state, reduced, members, club_limit, counts, spend)
-            chosen.extend(int(i) for i in picked)
-            if picked:
-                counts = counts - np.bincount(pool.position[list(picked)], minlength=len(counts))
-                spend -= int(extra[list(picked)].sum())
-        squads.append(np.sort(np.array(chosen)))
-    return squads
-
-
-def _solver(cols: CandidateColumns, rules: SquadRules, budgets: Sequence[float], scenario: Sequence[str],
-            strict: bool, out_schema: pa.Schema):
-    names = list(rules.position_limits)
-    limits = list(rules.position_limits.values())
-    budget_units = [int(np.floor(b * rules.units_per_cost + 1e-6)) for b in budgets]
-
-    def solve(table: pa.Table) -> pa.Table:
-        table = table.sort_by(cols.id)
-        _, clubs = np.unique(np.array([str(c) for c in table[cols.club].to_pylist()]), return_inverse=True)
-        pool = Pool(
-            np.array([names.index(p) for p in table[cols.position].to_pylist()]),
-            table[UNITS].to_numpy().astype(np.int64), table[cols.score].to_numpy(), clubs,
-        )
-        pieces = []
-        for budget, members in zip(budgets, best_squads(pool, limits, rules.club_limit, budget_units)):
-            if members is None and strict:
-                raise InfeasibleSelection(f"no valid squad within budget {budget} for this pool of candidates")
-            if members is None:
-                key = {f.name: table[f.name][:1].to_pylist() if f.name in scenario else [None] for f in out_schema}
-                piece = pa.Table.from_pydict({**key, "budget": [budget], "solve_status": [INFEASIBLE]}, out_schema)
-            else:
-                piece = table.take(pa.array(members)).drop_columns([UNITS])
-                piece = piece.append_column("budget", pa.array([budget] * len(members), pa.float64()))
-                piece = piece.append_column("solve_status", pa.array([OPTIMAL] * len(members)))
-                piece = piece.select(out_schema.names).cast(out_schema)
-            pieces.append(piece)
-        return pa.concat_tables(pieces)
-
-    return solve
-
-
 def prune_candidates(candidates: DataFrame, scenario: Sequence[str] = (), max_budget: float = BUDGET,
                      rules: SquadRules = SquadRules(), cols: CandidateColumns = CandidateColumns()) -> DataFrame:
     """Drop candidates that some best squad can always do without."""
@@ -177,5 +49,9 @@ def select_squads(candidates: DataFrame, scenario: Sequence[str], budgets: Seque
     schema = T.StructType([
         *fields, T.StructField("budget", T.DoubleType()), T.StructField("solve_status", T.StringType())
     ])
-    solve = _solver(cols, rules, list(budgets), list(scenario), strict, to_arrow_schema(schema))
+    names = kernels.SolverColumns(cols.id, cols.position, cols.club, cols.score, UNITS)
+    spends = {float(b): floor(b * rules.units_per_cost + 1e-6) for b in budgets}
+    solve = kernels.group_solver(
+        names, dict(rules.position_limits), rules.club_limit, spends, list(scenario), strict, to_arrow_schema(schema)
+    )
     return pool.groupBy(*scenario).applyInArrow(solve, schema)

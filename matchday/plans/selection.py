@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchday.operators.lineup import mark_starters
+from matchday.operators.lineup import mark_starters_of_small_squads
 from matchday.operators.squad import OPTIMAL, select_squads
 from matchday.operators.squad_rules import BUDGET, SquadRules
 
@@ -22,7 +22,7 @@ def optimal_teams(scores: DataFrame, scenario: Sequence[str] = (), budgets: Sequ
     chosen first and the line-up from it, not both together."""
     candidates = scores.select(*scenario, *CANDIDATE)
     squads = select_squads(candidates, scenario, budgets, rules, strict=strict)
-    return mark_starters(squads, [*scenario, "budget"], rules, strict=strict)
+    return mark_starters_of_small_squads(squads, [*scenario, "budget"], rules, strict=strict)
 
 
 def optimal_team(scores: DataFrame, budget: float = BUDGET, rules: SquadRules = SquadRules()) -> DataFrame:

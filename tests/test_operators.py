@@ -134,3 +134,13 @@ def test_blocking_checks(spark):
     with pytest.raises(quality.QualityError, match=r"t: unique\(id\) = 1"):
         quality.require_clean(checks)
     quality.require_clean(checks, blocking=["r"])
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "double", "boolean"])
+def test_lenient_casts_equal_try_cast(spark, rows, kind):
+    texts = ["1", " 7 ", "\t-3\n", "+4", "1.5", "1e3", "1E-2", "5-LOW", "", " ", "nan", "NaN", "Infinity", "-inf", "0x1p3",
+             "1d", "2F", "true", "T", " yes", "No", "f", "0", "99999999999", "1.", ".5", "--1", "1 2", "12a", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    lenient = project(df, [Field("t"), Field("x", "t", kind)], strict=False)
+    plain = df.select("t", F.col("t").try_cast(kind).alias("x"))
+    assert [str(r) for r in lenient.collect()] == [str(r) for r in plain.collect()]

@@ -7,8 +7,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from matchday.operators import lineup, squad
-from matchday.operators.pruning import undominated
+from matchday.operators import kernels, lineup, squad
+from matchday.operators.kernels import undominated
 from matchday.operators.squad_rules import CandidateColumns, SquadRules
 from matchday.plans import selection
 
@@ -30,7 +30,7 @@ def random_pool(rng, n, clubs=5, low=40, high=70, names=NAMES):
 
 
 def as_arrays(pool, names=NAMES):
-    return squad.Pool(
+    return kernels.Pool(
         np.array([names.index(p) for _, p, _, _, _ in pool]), np.array([u for *_, u, _ in pool]),
         np.array([s for *_, s in pool]), np.array([c for _, _, c, _, _ in pool]),
     )
@@ -54,7 +54,7 @@ def test_program_equals_exhaustive_search_for_every_budget(seed):
     pool = random_pool(np.random.default_rng(seed), 14)
     budgets = list(range(150, 290, 7))
     limits = list(SMALL.position_limits.values())
-    found = squad.best_squads(as_arrays(pool), limits, SMALL.club_limit, budgets)
+    found = kernels.best_squads(as_arrays(pool), limits, SMALL.club_limit, budgets)
     for budget, members in zip(budgets, found):
         expected = exhaustive(pool, SMALL, budget)
         if expected is None:
@@ -78,9 +78,9 @@ def test_pruning_keeps_the_optimum(seed):
         keep += [rows[i] for i in kept]
     assert len(keep) < len(pool)
     limits, budgets = list(SMALL.position_limits.values()), list(range(160, 240, 4))
-    full = squad.best_squads(as_arrays(pool), limits, SMALL.club_limit, budgets)
+    full = kernels.best_squads(as_arrays(pool), limits, SMALL.club_limit, budgets)
     pruned_pool = [pool[i] for i in sorted(keep)]
-    pruned = squad.best_squads(as_arrays(pruned_pool), limits, SMALL.club_limit, budgets)
+    pruned = kernels.best_squads(as_arrays(pruned_pool), limits, SMALL.club_limit, budgets)
     for a, b in zip(full, pruned):
         assert (a is None) == (b is None)
         if a is not None:
@@ -221,3 +221,20 @@ def test_squad_check_names_each_broken_rule(spark, rows):
         "squad_size": (11.0, True), "budget": (110.0, True), "club_limit": (4.0, True), "position_GKP": (3.0, True),
         "position_DEF": (0.0, True), "position_MID": (8.0, True), "position_FWD": (0.0, True),
     }
+
+
+def test_both_ways_to_mark_starters_agree(spark, rows):
+    rng = np.random.default_rng(11)
+    data = [
+        (s, s * 100 + i, ["GKP", "DEF", "MID", "FWD", None][rng.integers(5)], 0, 1.0,
+         None if rng.random() < 0.05 else float(rng.integers(0, 12)))
+        for s in range(40) for i in range(18)
+    ]
+    squads = spark.createDataFrame(data, "squad INT, id INT, position STRING, club INT, cost DOUBLE, score DOUBLE")
+    joined = lineup.mark_starters(squads, ["squad"], cols=LINE)
+    windowed = lineup.mark_starters_of_small_squads(squads, ["squad"], cols=LINE)
+    assert rows(joined, "id") == rows(windowed, "id")
+    bad = squads.filter("position = 'MID'")
+    assert not any(r["is_starter"] for r in rows(lineup.mark_starters_of_small_squads(bad, ["squad"], cols=LINE)))
+    with pytest.raises(Exception, match="no valid formation"):
+        lineup.mark_starters_of_small_squads(bad, ["squad"], cols=LINE, strict=True).collect()
