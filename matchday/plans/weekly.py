@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from matchday import schemas
 from matchday.operators.quality import require_clean, table_counts
@@ -16,6 +17,7 @@ from matchday.plans import gold, silver
 from matchday.plans.selection import optimal_team
 from matchday.sinks import RunLog, TableSink
 from matchday.sources import landing
+from matchday.sources.frames import drop_null_type_columns
 from matchday.sources.tables import Warehouse
 
 
@@ -25,19 +27,28 @@ class NoGameweek(ValueError):
 
 @dataclass
 class Landing:
-    """Where the fetched documents are, and how malformed ones are treated."""
+    """Where the fetched documents are, and how they are read.
+
+    ``mode`` treats malformed documents. With ``all_fields`` every field of the
+    records becomes a column, at the price of one more pass to infer the types of
+    the undeclared ones; without, those stay in ``raw_payload`` only."""
 
     spark: SparkSession
     path: str
     mode: str = "failfast"
+    all_fields: bool = True
 
-    def _rows(self, name: str, array: str | None, schema, key: str | None = None) -> DataFrame:
+    def _rows(self, name: str, array: str | None, schema: StructType, key: str | None = None) -> DataFrame:
         documents = landing.read_documents(self.spark, f"{self.path.rstrip('/')}/{name}")
-        keep = (key,) if key else ()
         if key:
             documents = landing.with_path_key(documents, key)
-        found = landing.records(documents, array, (*keep,), self.mode)
-        return landing.typed(found, schema, (*keep, landing.POS))
+        keep = (key,) if key else ()
+        found = landing.records(documents, array, keep, self.mode)
+        keep = (*keep, landing.POS)
+        if self.all_fields:
+            taken = (*keep, landing.RAW, "ingestion_ts")
+            schema = landing.complete_schema(schema, landing.infer_schema(found), taken)
+        return drop_null_type_columns(landing.typed(found, schema, keep))
 
     def players(self) -> DataFrame:
         return self._rows("bootstrap.json", "elements", schemas.PLAYER_RECORD).drop(landing.POS)
@@ -146,7 +157,7 @@ class WeeklyResult:
 
 def run_weekly(spark: SparkSession, landing_path: str, prefix: str = "", run_ts: datetime | None = None,
                table_format: str = "parquet", mode: str = "failfast", strict: bool = True, blocking: bool = False,
-               budget: float = BUDGET) -> WeeklyResult:
+               budget: float = BUDGET, all_fields: bool = True) -> WeeklyResult:
     """Run all layers in dependency order; each reads the tables of the one before."""
     warehouse = Warehouse(spark, prefix, table_format)
     warehouse.create_layers()
@@ -155,7 +166,7 @@ def run_weekly(spark: SparkSession, landing_path: str, prefix: str = "", run_ts:
     run_ts = run_ts or datetime.now(timezone.utc)
 
     with log.step("bronze"):
-        if not load_bronze(Landing(spark, landing_path, mode), sink, run_ts):
+        if not load_bronze(Landing(spark, landing_path, mode, all_fields), sink, run_ts):
             return WeeklyResult(False, log.run_id)
     with log.step("silver"):
         build_silver(warehouse, sink, strict, blocking)

@@ -15,6 +15,7 @@ distributed scan. Records are first cut out as raw JSON text, which is kept as
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,9 +91,11 @@ def infer_schema(rows: DataFrame) -> T.StructType:
     return T._parse_datatype_string(ddl)
 
 
-def complete_schema(declared: T.StructType, inferred: T.StructType) -> T.StructType:
-    """The declared fields followed by the extra ones found in the payloads."""
-    extra = [f for f in inferred.fields if f.name not in declared.names]
+def complete_schema(declared: T.StructType, inferred: T.StructType, taken: Sequence[str] = ()) -> T.StructType:
+    """The declared fields followed by the extra ones found in the payloads, except
+    names that are ``taken`` by other columns."""
+    known = {name.lower() for name in (*declared.names, *taken)}
+    extra = [f for f in inferred.fields if f.name.lower() not in known]
     return T.StructType([*declared.fields, *extra])
 
 

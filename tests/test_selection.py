@@ -150,6 +150,27 @@ def test_scenarios_are_solved_separately(spark, rows):
     assert pick(both) == pick(alone) and len(pick(alone)) == 15
 
 
+def test_spark_selection_equals_exhaustive_search(spark, rows):
+    """Scenarios of 14 candidates each, several budgets, every valid squad tried."""
+    data, pools = [], {}
+    for s in range(8):
+        pools[s] = random_pool(np.random.default_rng(50 + s), 14)
+        data += [(s, i, p, c, u / 10, v) for i, p, c, u, v in pools[s]]
+    df = spark.createDataFrame(data, "s INT, player_id BIGINT, position STRING, team_id INT, cost_millions DOUBLE, "
+                                     "recommendation_score DOUBLE")
+    budgets = (16.0, 19.5, 22.0, 28.0)
+    chosen = rows(squad.select_squads(df, ["s"], budgets, SMALL))
+    for s in pools:
+        for budget in budgets:
+            team = [r for r in chosen if r["s"] == s and r["budget"] == budget]
+            best = exhaustive(pools[s], SMALL, round(budget * 10))
+            if best is None:
+                assert [r["solve_status"] for r in team] == ["infeasible"]
+            else:
+                assert sum(r["recommendation_score"] for r in team) == pytest.approx(best)
+                assert round(sum(r["cost_millions"] for r in team), 6) <= budget
+
+
 def test_infeasible_pool_is_reported_or_raised(spark, rows):
     pool = candidates(spark, 0, 300)
     [row] = rows(squad.select_squads(pool.selectExpr("1 AS scenario", "*"), ["scenario"], [20.0]).drop("photo")) or [None]

@@ -87,6 +87,15 @@ def test_extra_fields_by_inference(spark, rows, landed):
     assert kept.count() == TEAMS * 12
 
 
+def test_bronze_has_every_field_that_has_a_type(spark, landed, tables):
+    history = tables.read("bronze", "player_gameweek_history").columns
+    assert history == ["player_id", *schemas.HISTORY_RECORD.names, "element", "raw_payload", "ingestion_ts"]
+    assert "played" in tables.read("bronze", "teams_snapshot").columns
+    assert not {"news", "squad_number"} & set(tables.read("bronze", "players_snapshot").columns)
+    declared = weekly.Landing(spark, landed, all_fields=False)
+    assert declared.history().columns == ["player_id", *schemas.HISTORY_RECORD.names, "raw_payload"]
+
+
 def test_tables_have_the_declared_layout(tables):
     expected = {
         ("silver", "teams"): schemas.SILVER_TEAMS, ("silver", "players"): schemas.SILVER_PLAYERS,
