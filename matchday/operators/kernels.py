@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Callable, Mapping, Sequence
-from itertools import combinations
+from math import isqrt
 from typing import NamedTuple
 
 import numpy as np
@@ -103,20 +103,51 @@ def _add_club(table: np.ndarray, pool: Pool, members: np.ndarray, club_limit: in
     return best
 
 
+class _Choice(NamedTuple):
+    """A group of a club's players and the total it leads to."""
+
+    value: float
+    players: tuple[int, ...]
+
+
 def _club_choice(before: np.ndarray, pool: Pool, members: np.ndarray, club_limit: int,
                  counts: np.ndarray, spend: int) -> tuple[int, ...]:
-    """Which of the club's players lead to the state ``(counts, spend)``."""
-    best, choice = before[(*counts, spend)], ()
-    for size in range(1, min(club_limit, len(members)) + 1):
-        for group in combinations(members, size):
-            used = np.bincount(pool.position[list(group)], minlength=len(counts))
-            cost = int(pool.units[list(group)].sum())
-            if cost > spend or (used > counts).any():
-                continue
-            value = before[(*(counts - used), spend - cost)] + pool.score[list(group)].sum()
-            if value > best:
-                best, choice = value, group
-    return choice
+    """Which of the club's players lead to the state ``(counts, spend)``.
+
+    Singles and pairs are compared as arrays; larger groups fix one player and look
+    for the rest among those after it."""
+    flat = before.reshape(-1)
+    firsts, seconds = np.triu_indices(len(members), 1)
+    places = np.eye(len(counts), dtype=int)[pool.position[members]]
+    units, score = pool.units[members], pool.score[members]
+
+    def best_of(groups: list[np.ndarray], fixed: tuple[int, ...], best: _Choice) -> _Choice:
+        """The best of many groups of one size, given as one index array per player."""
+        parts = [*groups, *[np.full(len(groups[0]), f) for f in fixed]]
+        cost = sum(units[g] for g in parts)
+        left = counts - sum(places[g] for g in parts)
+        fits = np.flatnonzero((cost <= spend) & (left >= 0).all(axis=1))
+        if not len(fits):
+            return best
+        state = np.ravel_multi_index((*left[fits].T, spend - cost[fits]), before.shape)
+        value = flat[state] + sum(score[g[fits]] for g in parts)
+        at = int(np.argmax(value))
+        if value[at] <= best.value:
+            return best
+        return _Choice(float(value[at]), tuple(int(members[g[fits[at]]]) for g in parts))
+
+    def search(start: int, room: int, fixed: tuple[int, ...], best: _Choice) -> _Choice:
+        best = best_of([np.arange(start, len(members))], fixed, best)
+        if room >= 2:
+            pairs = slice(np.searchsorted(firsts, start), None)
+            best = best_of([firsts[pairs], seconds[pairs]], fixed, best)
+        if room >= 3:
+            for i in range(start, len(members) - 2):
+                best = search(i + 1, room - 1, (*fixed, i), best)
+        return best
+
+    nobody = _Choice(float(before[(*counts, spend)]), ())
+    return search(0, club_limit, (), nobody).players
 
 
 def best_squads(pool: Pool, limits: Sequence[int], club_limit: int, budgets: Sequence[int]) -> list[np.ndarray | None]:
@@ -138,28 +169,47 @@ def best_squads(pool: Pool, limits: Sequence[int], club_limit: int, budgets: Seq
     clubs = [np.flatnonzero(usable & (pool.club == c)) for c in np.unique(pool.club)]
     clubs = [members for members in clubs if len(members)]
 
+    stride = isqrt(len(clubs)) + 1
     table = np.full((*[limit + 1 for limit in limits], top + 1), -np.inf)
     table[(0,) * len(limits)] = 0.0
-    before = []
-    for members in clubs:
-        before.append(table)
+    saved = []
+    for at, members in enumerate(clubs):
+        if at % stride == 0:
+            saved.append(table)
         table = _add_club(table, reduced, members, club_limit)
 
-    squads: list[np.ndarray | None] = []
+    walks = []
     for budget in budgets:
         counts, spend = np.array(limits), min(budget - base, top)
-        if spend < 0 or table[(*counts, spend)] == -np.inf:
-            squads.append(None)
-            continue
-        chosen: list[int] = []
-        for state, members in zip(reversed(before), reversed(clubs)):
-            picked = _club_choice(state, reduced, members, club_limit, counts, spend)
-            chosen.extend(int(i) for i in picked)
-            if picked:
-                counts = counts - np.bincount(pool.position[list(picked)], minlength=len(counts))
-                spend -= int(extra[list(picked)].sum())
-        squads.append(np.sort(np.array(chosen)))
-    return squads
+        solvable = spend >= 0 and table[(*counts, spend)] > -np.inf
+        walks.append(_Walk(counts, spend, []) if solvable else None)
+    # Back through the clubs, one stretch at a time: only every stride-th table was
+    # kept, those between are computed again.
+    for block in range(len(saved) - 1, -1, -1):
+        stretch = clubs[block * stride:(block + 1) * stride]
+        before = [saved[block]]
+        for members in stretch[:-1]:
+            before.append(_add_club(before[-1], reduced, members, club_limit))
+        for state, members in zip(reversed(before), reversed(stretch)):
+            walks = [None if w is None else _step_back(w, state, reduced, members, club_limit) for w in walks]
+    return [None if w is None else np.sort(np.array(w.chosen)) for w in walks]
+
+
+class _Walk(NamedTuple):
+    """The state one budget's solution has reached on the way back."""
+
+    counts: np.ndarray
+    spend: int
+    chosen: list[int]
+
+
+def _step_back(walk: _Walk, before: np.ndarray, pool: Pool, members: np.ndarray, club_limit: int) -> _Walk:
+    """Undo one club: find its players in the solution and the state before them."""
+    picked = list(_club_choice(before, pool, members, club_limit, walk.counts, walk.spend))
+    if not picked:
+        return walk
+    used = np.bincount(pool.position[picked], minlength=len(walk.counts))
+    return _Walk(walk.counts - used, walk.spend - int(pool.units[picked].sum()), walk.chosen + picked)
 
 
 class SolverColumns(NamedTuple):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchday.operators.lineup import mark_starters_of_small_squads
-from matchday.operators.squad import OPTIMAL, select_squads
+from matchday.operators.squad import OPTIMAL, InfeasibleSelection, select_squads
 from matchday.operators.squad_rules import BUDGET, SquadRules
 
 CANDIDATE = [
@@ -25,6 +25,13 @@ def optimal_teams(scores: DataFrame, scenario: Sequence[str] = (), budgets: Sequ
     return mark_starters_of_small_squads(squads, [*scenario, "budget"], rules, strict=strict)
 
 
+def require_candidates(scores: DataFrame, budget: float = BUDGET, rules: SquadRules = SquadRules()) -> None:
+    """Raise if there is nobody to choose from; the solver only sees existing pools."""
+    affordable = F.col("position").isin(list(rules.position_limits)) & (F.col("cost_millions") <= budget)
+    if scores.filter(affordable).isEmpty():
+        raise InfeasibleSelection(f"no valid squad within budget {budget}: no candidate can be chosen")
+
+
 def optimal_team(scores: DataFrame, budget: float = BUDGET, rules: SquadRules = SquadRules()) -> DataFrame:
     """One squad, in the published layout; fails the job if there is none."""
     team = optimal_teams(scores, (), (budget,), rules, strict=True)

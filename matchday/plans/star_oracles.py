@@ -217,6 +217,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT user_id, event_id, value FROM (
               SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
               FROM events WHERE event_type = 'purchase') WHERE rn = 1""",
+        "last_value": """
+            SELECT o_custkey, o_orderkey AS last_order, o_totalprice AS last_price FROM (
+              SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+              FROM orders) WHERE rn = 1""",
         "current_or_next": """
             SELECT o_custkey, o_orderkey, o_orderstatus FROM (
               SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus <> 'P', o_orderdate, o_orderkey)

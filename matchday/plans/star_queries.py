@@ -20,7 +20,7 @@ from matchday.functions.scalars import (
 from matchday.operators import lineup, quality
 from matchday.operators.pruning import dominance_prune
 from matchday.operators.ranking import (
-    current_or_next, first_n_per_key, latest_n_agg, latest_where, next_n_agg, ordering, top_n, top_n_per_key,
+    current_or_next, first_n_per_key, last_by, latest_n_agg, latest_where, next_n_agg, ordering, top_n, top_n_per_key,
 )
 from matchday.operators.rolling import rolling_last_n
 from matchday.operators.scaling import min_max_normalize
@@ -192,6 +192,15 @@ def latest_state(t: League) -> DataFrame:
     )
 
 
+@_query
+def last_value(t: League) -> DataFrame:
+    """Each customer's last order and its price, as a plain aggregate."""
+    order = ["o_orderdate", "o_orderkey"]
+    return t.table("orders").groupBy("o_custkey").agg(
+        last_by(F.col("o_orderkey"), *order).alias("last_order"), last_by(F.col("o_totalprice"), *order).alias("last_price")
+    )
+
+
 @_query
 def current_or_next_query(t: League) -> DataFrame:
     status = F.col("o_orderstatus")

@@ -14,7 +14,7 @@ from matchday.operators.quality import require_clean, table_counts
 from matchday.operators.ranking import current_or_next, latest_where
 from matchday.operators.squad_rules import BUDGET
 from matchday.plans import gold, silver
-from matchday.plans.selection import optimal_team
+from matchday.plans.selection import optimal_team, require_candidates
 from matchday.sinks import RunLog, TableSink
 from matchday.sources import landing
 from matchday.sources.frames import drop_null_type_columns
@@ -173,6 +173,7 @@ def run_weekly(spark: SparkSession, landing_path: str, prefix: str = "", run_ts:
     with log.step("gold"):
         scores = build_gold(warehouse, sink, blocking)
     with log.step("selection"):
+        require_candidates(scores, budget)
         sink.write(optimal_team(scores, budget), "gold", "optimal_team")
 
     written = {

@@ -64,5 +64,5 @@ class TableSink:
             else:
                 seen = Observation()
                 self.warehouse.overwrite(df.observe(seen, F.count(F.lit(1)).alias("rows")), layer, table)
-                result["row_count"] = seen.get["rows"]
+                result["row_count"] = seen.get.get("rows", 0)
         return self.warehouse.read(layer, table)

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchday.functions.scalars import to_payload
@@ -39,12 +38,3 @@ def with_payload(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 def single_row(spark: SparkSession, record: Mapping[str, Any], schema: T.StructType) -> DataFrame:
     """A one-row DataFrame, such as a log entry."""
     return spark.createDataFrame([tuple(record.get(name) for name in schema.names)], schema)
-
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the schema's columns in order, with its types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -12,7 +12,7 @@ from matchday.operators.ranking import (
 )
 from matchday.operators.rolling import rolling_last_n
 from matchday.operators.shaping import left_join_dim, union_sides, unpivot_sides
-from matchday.sources.frames import conform, drop_null_type_columns, single_row, with_payload
+from matchday.sources.frames import drop_null_type_columns, single_row, with_payload
 
 
 def value(spark, column):
@@ -63,9 +63,9 @@ def test_payload_keeps_nulls_and_the_row(spark, rows):
     assert rows(with_payload(df)) == [{"a": 1, "b": None, "raw_payload": '{"a":1,"b":null}'}]
 
 
-def test_conform_and_single_row(spark, rows):
+def test_single_row(spark, rows):
     schema = T.StructType([T.StructField("b", T.LongType()), T.StructField("a", T.StringType())])
-    assert rows(conform(single_row(spark, {"a": "x"}, schema), schema)) == [{"b": None, "a": "x"}]
+    assert rows(single_row(spark, {"a": "x"}, schema)) == [{"b": None, "a": "x"}]
 
 
 def test_unpivot_equals_union_of_selects(spark, rows):

@@ -66,6 +66,21 @@ def test_program_equals_exhaustive_search_for_every_budget(seed):
         assert [sum(r[1] == p for r in team) for p in NAMES] == limits
 
 
+@pytest.mark.parametrize("club_limit,clubs", [(1, 9), (3, 3), (4, 2), (6, 1)])
+@pytest.mark.parametrize("seed", range(4))
+def test_program_for_other_club_limits(seed, club_limit, clubs):
+    rules = SquadRules({"A": 2, "B": 2, "C": 2}, club_limit=club_limit)
+    pool = random_pool(np.random.default_rng(seed), 15, clubs)
+    budgets = list(range(240, 420, 15))
+    for budget, members in zip(budgets, kernels.best_squads(as_arrays(pool), [2, 2, 2], club_limit, budgets)):
+        expected = exhaustive(pool, rules, budget)
+        assert (members is None) == (expected is None)
+        if members is not None:
+            clubs_used = [pool[i][2] for i in members]
+            assert sum(pool[i][4] for i in members) == pytest.approx(expected)
+            assert max(clubs_used.count(c) for c in clubs_used) <= club_limit
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_pruning_keeps_the_optimum(seed):
     rng = np.random.default_rng(100 + seed)

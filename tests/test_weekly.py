@@ -219,6 +219,8 @@ def test_blocking_quality_stops_before_gold(spark, tmp_path):
     assert not Warehouse(spark, "broken_").exists("gold", "player_form")
 
 
-def test_infeasible_budget_fails_the_selection(spark, landed):
+@pytest.mark.parametrize("budget", [40.0, 1.0])
+def test_infeasible_budget_fails_the_selection(spark, landed, budget):
     with pytest.raises(Exception, match="no valid squad"):
-        weekly.run_weekly(spark, landed, "poor_", RUN_TS, budget=40.0)
+        weekly.run_weekly(spark, landed, "poor_", RUN_TS, budget=budget)
+    assert not Warehouse(spark, "poor_").exists("gold", "optimal_team")
