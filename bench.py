@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   directory of the parquet tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default: all)
-BENCH_REPEAT   timed runs per query, the fastest counts (default 1)
+BENCH_REPEAT   timed runs per query, the fastest counts (default 2)
 BENCH_ONLY     comma-separated query names (default: all)
 """
 
@@ -20,7 +20,7 @@ from matchday.plans.star_queries import queries
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "*")
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     only = [n for n in os.environ.get("BENCH_ONLY", "").split(",") if n]
     spark = local_session(cpus, "bench", int(cpus) if cpus.isdigit() else 8, **{"spark.driver.memory": "8g"})
 
