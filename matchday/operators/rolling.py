@@ -1,9 +1,9 @@
 """Rolling aggregates over the last n rows, safe for very long keys.
 
 A plain window puts each key on one task. Long keys are therefore cut into
-consecutive chunks of their first order column; a chunk receives the n-1 rows
-that precede it (its carry), so every row still sees its whole frame. Ordinary
-keys are one chunk and need no carry.
+consecutive chunks of their order; a chunk receives the n-1 rows that precede it
+(its carry), so every row still sees its whole frame. Ordinary keys are one chunk
+and need no carry.
 """
 
 from __future__ import annotations
@@ -14,55 +14,95 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A key is long if it has more rows than SPLIT_ROWS and more than one
-# MAX_LONG_KEYS-th of all rows, so there are never more than MAX_LONG_KEYS.
+# MAX_LONG-th of all rows, so there are fewer than MAX_LONG of them.
 SPLIT_ROWS = 5_000_000
-MAX_LONG_KEYS = 10_000
+MAX_LONG = 10_000
+
+# Chunks are cut in rounds. The first looks at the first order column only; a chunk
+# that is still long is then cut again over its own narrower range, or over the next
+# order column if it holds a single order value.
+ROUNDS = 2
+FANOUT = 1 << 20
 
 CHUNK = "__chunk"
 CARRIED = "__carried"
-POSITION = "__position"
 
 
 def _position(df: DataFrame, column: str) -> Column:
-    """The order column as a number, so that chunks can be cut by width."""
+    """An order column as a number, so that chunks can be cut by width; NULL for types
+    without one."""
     kind = dict(df.dtypes)[column]
     value = F.col(column)
     if kind == "timestamp_ntz":
-        value = value.cast("timestamp")
-    elif kind == "date":
-        value = F.unix_date(value)
+        return value.cast("timestamp").cast("double")
+    if kind == "date":
+        return F.unix_date(value).cast("double")
+    if kind in ("string", "binary") or kind.startswith(("array", "struct", "interval")):
+        return F.lit(None).cast("double")
     return value.cast("double")
 
 
-def _number_chunks(df: DataFrame, keys: Sequence[str], split_on: str, split_rows: int) -> DataFrame:
-    """Add the chunk number: NULL for ordinary keys, 0.. for long ones.
-
-    The cut points come from count/min/max per key, which are the same in every
-    evaluation. The lookup of long keys has at most MAX_LONG_KEYS rows by
-    construction, so broadcasting it is safe at any input size."""
-    positioned = df.withColumn(POSITION, _position(df, split_on))
-    sizes = positioned.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(POSITION).alias("__lo"), F.max(POSITION).alias("__hi")
-    )
-    share_of_all = sizes.agg(F.sum("__n") / MAX_LONG_KEYS).scalar()
-    long_keys = F.broadcast(
-        sizes.filter((F.col("__n") > split_rows) & (F.col("__n") > share_of_all)).select(
-            *[F.col(k).alias(f"__long_{k}") for k in keys], "__lo", "__hi",
-            F.ceil(F.col("__n") / split_rows).alias("__chunks"),
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], split_rows: int, share_of_all: Column | None,
+         first: bool) -> tuple[DataFrame, Column]:
+    """One round: number the parts of every long cell within the chunk number so far.
+
+    The cut points come from count/min/max per cell, which are the same in every
+    evaluation. The lookup has fewer than MAX_LONG rows by construction, so
+    broadcasting it is safe at any input size."""
+    cell = list(keys) if first else [*keys, CHUNK]
+    rows = df if first else df.filter(F.col(CHUNK).isNotNull())
+    stats = [F.count(F.lit(1)).alias("__n")]
+    for i, c in enumerate(order):
+        number = _position(df, c)
+        number = F.when(~F.isnan(number), number)
+        stats += [
+            F.min(number).alias(f"__lo{i}"), F.max(number).alias(f"__hi{i}"),
+            ((F.count(c) == 0) | ((F.count(c) == F.count(F.lit(1))) & (F.min(c) == F.max(c)))).alias(f"__flat{i}"),
+        ]
+    sizes = rows.groupBy(*cell).agg(*stats)
+    if share_of_all is None:
+        share_of_all = sizes.agg(F.sum("__n") / MAX_LONG).scalar()
+    varying = F.coalesce(*[F.when(~F.col(f"__flat{i}"), F.lit(i)) for i in range(len(order))])
+    at = F.col("__at")
+    long_cells = F.broadcast(
+        sizes.filter((F.col("__n") > split_rows) & (F.col("__n") > share_of_all))
+        .withColumn("__at", F.coalesce(varying, F.lit(0)))
+        .select(
+            *[F.col(c).alias(f"__cell_{c}") for c in cell], "__at",
+            *[
+                F.coalesce(*[F.when(at == i, F.col(f"__{end}{i}")) for i in range(len(order))]).alias(f"__{end}")
+                for end in ("lo", "hi")
+            ],
+            F.least(F.ceil(F.col("__n") / split_rows), F.lit(FANOUT - 2)).alias("__parts"),
         )
     )
-    same_key = [F.col(k).eqNullSafe(F.col(f"__long_{k}")) for k in keys]
-    share = F.when(
-        F.col("__hi") > F.col("__lo"),
-        (F.col(POSITION) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")),
-    ).otherwise(F.lit(0.0))
-    # NULL positions sort first, so they belong to the first chunk.
-    number = F.least(
-        F.floor(F.coalesce(share, F.lit(0.0)) * F.col("__chunks")), F.col("__chunks") - 1
-    )
-    return positioned.join(long_keys, same_key, "left").select(
-        *df.columns, F.when(F.col("__chunks").isNotNull(), number).alias(CHUNK)
+    here = F.coalesce(*[F.when(at == i, _position(df, c)) for i, c in enumerate(order)])
+    known = F.coalesce(*[F.when(at == i, F.col(c).isNotNull()) for i, c in enumerate(order)])
+    parts, low, high = F.col("__parts"), F.col("__lo"), F.col("__hi")
+    width = F.when(high > low, (here - low) / (high - low)).otherwise(F.lit(0.0))
+    # In sort order: NULL, then the parts by width, then NaN.
+    part = (
+        F.when(~known, F.lit(0))
+        .when(F.isnan(here), parts + 1)
+        .when(here >= high, parts)
+        .otherwise(F.lit(1) + F.coalesce(F.least(F.floor(width * parts), parts - 1), F.lit(0)))
     )
+    if first:
+        number = F.when(parts.isNotNull(), part)
+    else:
+        number = F.col(CHUNK) * FANOUT + F.when(parts.isNotNull(), part).otherwise(F.lit(0))
+    same_cell = [F.col(c).eqNullSafe(F.col(f"__cell_{c}")) for c in cell]
+    others = [c for c in df.columns if c != CHUNK]
+    cut = df.join(long_cells, same_cell, "left").select(*others, number.cast("bigint").alias(CHUNK))
+    return cut, share_of_all
+
+
+def _number_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], split_rows: int) -> DataFrame:
+    """Add the chunk number, rising with the order: NULL for ordinary keys."""
+    chunked, share_of_all = _cut(df, keys, order[:1], split_rows, None, first=True)
+    for depth in range(2, ROUNDS + 1):
+        chunked, _ = _cut(chunked, keys, order[:depth], split_rows, share_of_all, first=False)
+    return chunked
 
 
 def _carries(chunked: DataFrame, keys: Sequence[str], order: Sequence[str], n: int,
@@ -96,7 +136,7 @@ def _carries(chunked: DataFrame, keys: Sequence[str], order: Sequence[str], n: i
 
 def rolling_last_n(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], n: int,
                    measures: Mapping[str, Column], inputs: Sequence[str],
-                   split_rows: int | None = SPLIT_ROWS, split_on: str | None = None) -> DataFrame:
+                   split_rows: int | None = SPLIT_ROWS) -> DataFrame:
     """Add rolling aggregates over each row and the n-1 rows before it in its key.
 
     ``measures`` are aggregate columns over ``inputs``; ``order_by`` must be a
@@ -106,7 +146,7 @@ def rolling_last_n(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
         window = Window.partitionBy(*keys).orderBy(*frame_order).rowsBetween(-(n - 1), 0)
         return df.select("*", *[m.over(window).alias(name) for name, m in measures.items()])
 
-    chunked = _number_chunks(df, keys, split_on or order_by[0], split_rows)
+    chunked = _number_chunks(df, keys, order_by, split_rows)
     needed = list(dict.fromkeys([*keys, *order_by, *inputs]))
     carried = _carries(chunked, keys, order_by, n, needed).withColumn(CARRIED, F.lit(True))
     rows = chunked.withColumn(CARRIED, F.lit(False)).unionByName(carried, allowMissingColumns=True)

@@ -41,9 +41,46 @@ def test_order_columns_of_any_type(spark, rows, kind):
     assert rows(rolled(df, 3, 10).drop("day"), "id") == rows(rolled(df, 3, None).drop("day"), "id")
 
 
-def test_a_key_with_one_order_value_is_one_chunk(spark, rows):
-    df = spark.range(50).selectExpr("1 AS k", "7 AS day", "id", "CAST(id AS INT) AS v")
+def chunk_sizes(df, split_rows, order=("day", "id")):
+    from matchday.operators.rolling import CHUNK, _number_chunks
+
+    sizes = _number_chunks(df, ["k"], list(order), split_rows).groupBy("k", CHUNK).count().collect()
+    return sorted(r["count"] for r in sizes)
+
+
+def test_a_key_with_one_order_value_is_cut_by_the_next_column(spark, rows):
+    df = spark.range(60).selectExpr("1 AS k", "7 AS day", "(id * 37) % 60 AS id", "CAST(id AS INT) AS v")
     assert rows(rolled(df, 3, 10), "id") == rows(rolled(df, 3, None), "id")
+    assert max(chunk_sizes(df, 10)) <= 20
+
+
+def test_a_crowded_chunk_is_cut_again(spark, rows):
+    df = spark.range(400).selectExpr("1 AS k", "IF(id = 0, 1000000, id) AS day", "id", "CAST(id % 11 AS INT) AS v")
+    assert max(chunk_sizes(df, 20)) <= 40
+    assert rows(rolled(df, 4, 20), "id") == rows(rolled(df, 4, None), "id")
+
+
+@pytest.mark.parametrize("day", [
+    "IF(id % 4 = 0, NULL, 7)", "CAST(IF(id % 5 = 0, 'NaN', IF(id % 7 = 0, 'Infinity', CAST(id % 9 AS STRING))) AS DOUBLE)",
+    "IF(id % 6 = 0, NULL, CAST(IF(id % 5 = 0, '-Infinity', CAST(id % 9 AS STRING)) AS DOUBLE))", "CAST(id % 3 AS STRING)",
+    "1152921504606846976 + id % 4", "id % 2 = 0",
+])
+def test_awkward_order_values(spark, rows, day):
+    df = spark.range(120).selectExpr("id % 2 AS k", f"{day} AS day", "(id * 71) % 120 AS id", "CAST(id AS INT) AS v")
+    split, plain = rolled(df, 3, 7), rolled(df, 3, None)
+    assert [str(r) for r in split.orderBy("id").collect()] == [str(r) for r in plain.orderBy("id").collect()]
+
+
+def test_chunks_rise_with_the_order(spark):
+    from pyspark.sql import Window
+
+    from matchday.operators.rolling import CHUNK, _number_chunks
+
+    df = series(spark, 21, length=400)
+    chunked = _number_chunks(df, ["k"], ["day", "id"], 12)
+    before = F.lag(CHUNK).over(Window.partitionBy("k").orderBy("day", "id"))
+    assert chunked.withColumn("before", before).filter(F.col("before") > F.col(CHUNK)).count() == 0
+    assert chunked.filter(F.col(CHUNK).isNotNull()).select(CHUNK).distinct().count() > 20
 
 
 def test_columns_and_their_order(spark):
