@@ -34,7 +34,10 @@ def _position(df: DataFrame, column: str) -> Column:
     kind = dict(df.dtypes)[column]
     value = F.col(column)
     if kind == "timestamp_ntz":
-        return value.cast("timestamp").cast("double")
+        # Not by way of a timestamp: a clock change would break the order.
+        day = F.unix_date(value.cast("date")).cast("double")
+        seconds = F.extract(F.lit("SECOND"), value).cast("double")
+        return day * 86400 + F.hour(value) * 3600 + F.minute(value) * 60 + seconds
     if kind == "date":
         return F.unix_date(value).cast("double")
     if kind in ("string", "binary") or kind.startswith(("array", "struct", "interval")):

@@ -41,6 +41,18 @@ def test_order_columns_of_any_type(spark, rows, kind):
     assert rows(rolled(df, 3, 10).drop("day"), "id") == rows(rolled(df, 3, None).drop("day"), "id")
 
 
+def test_local_times_keep_their_order_across_a_clock_change(spark, rows):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.range(90).selectExpr(
+            "1 AS k", "TIMESTAMP_NTZ'2024-03-10 00:30:00' + make_dt_interval(0, 0, CAST(id * 2 AS INT), id % 7) AS day", "id",
+            "CAST(id % 13 AS INT) AS v")
+        assert rows(rolled(df, 3, 5).drop("day"), "id") == rows(rolled(df, 3, None).drop("day"), "id")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def chunk_sizes(df, split_rows, order=("day", "id")):
     from matchday.operators.rolling import CHUNK, _number_chunks
 
