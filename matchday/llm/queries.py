@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchday.llm import bpe, line_dedup, mixing, toxicity
+from matchday.llm import bpe, html_text, knn, line_dedup, mixing, toxicity, url_filter
 from matchday.llm.common import held_out, table
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
@@ -36,6 +36,29 @@ def token_digests(docs: DataFrame) -> DataFrame:
                                 schema="n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+#: The rules of the url query: verdict, host, path (fixed values of its contract).
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text.extract(pages, html_text.learn_weights(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad pages are those whose document of the same number is labelled toxic or of low quality."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(
+        F.max((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    return url_filter.judge(pages, pages.join(labels, "page_id").select("url", "bad"), URL_RULES)
+
+
+def op5_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
@@ -59,4 +82,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_bpe": op3_bpe, "op8_mixing": op8_mixing, "op9_toxicity": op9_toxicity, "op10_line_dedup": op10_line_dedup}
+    return {"op2_html_text": op2_html_text, "op3_bpe": op3_bpe, "op4_url_filter": op4_url_filter, "op5_knn": op5_knn,
+            "op8_mixing": op8_mixing, "op9_toxicity": op9_toxicity, "op10_line_dedup": op10_line_dedup}
