@@ -83,3 +83,12 @@ def mixed(values: np.ndarray) -> np.ndarray:
     x ^= x >> np.uint64(31)
     return x
 
+
+
+def only(df: DataFrame, ids: DataFrame, column: str, how: str = "left_semi", most: int = 2_000_000) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is (``left_semi``) or is not (``left_anti``) in ``ids``.
+
+    Up to ``most`` counted ids are broadcast (some tens of MB); beyond that both sides are shuffled.
+    """
+    ids = ids.select(column)
+    return df.join(F.broadcast(ids) if ids.count() <= most else ids.hint("shuffle_merge"), column, how)

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchday.llm import bpe, html_text, knn, line_dedup, mixing, toxicity, url_filter
+from matchday.llm import bpe, html_text, knn, line_dedup, mixing, near_dedup, toxicity, url_filter
 from matchday.llm.common import held_out, table
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
@@ -63,6 +63,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), words=4, percent=80)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.planned_copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -83,4 +87,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op2_html_text": op2_html_text, "op3_bpe": op3_bpe, "op4_url_filter": op4_url_filter, "op5_knn": op5_knn,
-            "op8_mixing": op8_mixing, "op9_toxicity": op9_toxicity, "op10_line_dedup": op10_line_dedup}
+            "op7_near_dedup": op7_near_dedup, "op8_mixing": op8_mixing, "op9_toxicity": op9_toxicity, "op10_line_dedup": op10_line_dedup}
