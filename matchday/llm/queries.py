@@ -11,7 +11,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchday.llm import bpe, html_text, knn, line_dedup, mixing, near_dedup, toxicity, url_filter
+from matchday.llm import (
+    bpe, fingerprints, html_text, knn, line_dedup, mixing, near_dedup, ngram_lm, toxicity, url_filter,
+)
 from matchday.llm.common import held_out, table
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
@@ -41,6 +43,15 @@ URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block",
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", fingerprints.fingerprint_text(F.col("hashes")).alias("fingerprint"),
+        fingerprints.fingerprint_text(F.col("edited_hashes")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
+        fingerprints.likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"))
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = html_text.extract(pages, html_text.learn_weights(pages))
@@ -63,6 +74,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ngram_lm.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scored.withColumn("per_word", F.round(F.col("log10_score") / F.col("n_scored"), 6)).withColumn(
+        "log10_score", F.round("log10_score", 4))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), words=4, percent=80)
 
@@ -86,5 +103,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_html_text": op2_html_text, "op3_bpe": op3_bpe, "op4_url_filter": op4_url_filter, "op5_knn": op5_knn,
-            "op7_near_dedup": op7_near_dedup, "op8_mixing": op8_mixing, "op9_toxicity": op9_toxicity, "op10_line_dedup": op10_line_dedup}
+    return {"op1_fingerprints": op1_fingerprints, "op2_html_text": op2_html_text, "op3_bpe": op3_bpe, "op4_url_filter": op4_url_filter, "op5_knn": op5_knn,
+            "op6_ngram_lm": op6_ngram_lm, "op7_near_dedup": op7_near_dedup, "op8_mixing": op8_mixing, "op9_toxicity": op9_toxicity, "op10_line_dedup": op10_line_dedup}
