@@ -122,18 +122,21 @@ def fingerprints(docs: DataFrame, min_idf: float = 2.3, max_idf: float = 6.5) ->
     rows = with_next(docs, n_documents).withColumn("edited", F.when(~F.col("last"), F.concat(
         F.substring(F.col("text"), F.lit(1), F.length("text") - half),
         F.substring(F.col("next_text"), F.lit(1), half))))
-    both = rows.select(
+    # What is computed once per document stays below the two explodes, which repeat only small columns.
+    listed = rows.select(
         "bucket", "place", "last", "doc_id", F.length("text").alias("n_chars"), F.sha2("edited", 256).alias("sha"),
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("which"), terms(F.col("text")).alias("terms")),
-            F.struct(F.lit(1).alias("which"), terms(F.coalesce("edited", F.lit(""))).alias("terms")))).alias("of"))
-    each = both.select(
-        "bucket", "place", "last", "doc_id", "n_chars", "sha", F.col("of.which").alias("which"),
-        F.when(F.size("of.terms") > 0, F.xxhash64(F.array_sort("of.terms"))).otherwise(F.lit(0).cast("long")).alias("whole"),
-        F.explode(F.array_append("of.terms", F.lit(_NO_TERM).cast("long"))).alias("term"))
+        terms(F.col("text")).alias("own"), terms(F.coalesce("edited", F.lit(""))).alias("changed"))
+    side = lambda which, found: F.struct(
+        F.lit(which).alias("which"), F.col(found).alias("terms"),
+        F.when(F.size(found) > 0, F.xxhash64(F.sort_array(found))).otherwise(F.lit(0).cast("long")).alias("whole"))
+    head = ["bucket", "place", "last", "doc_id", "n_chars", "sha"]
+    both = listed.select(*head, F.explode(F.array(side(0, "own"), side(1, "changed"))).alias("of")).select(
+        *head, F.col("of.which").alias("which"), F.col("of.whole").alias("whole"),
+        F.array_append("of.terms", F.lit(_NO_TERM).cast("long")).alias("terms"))
+    each = both.select(*head, "which", "whole", F.explode("terms").alias("term"))
     # The rows of a bucket are in one task already: grouping by document in a bucket moves nothing.
     found = each.join(F.broadcast(known), "term")
-    of = lambda which: F.array_sort(F.collect_list(F.when(
+    of = lambda which: F.sort_array(F.collect_list(F.when(
         (F.col("which") == which) & (F.col("subsets") != -1), F.struct("term", "subsets"))))
     whole = lambda which: F.max(F.when(F.col("which") == which, F.col("whole")))
     grouped = found.groupBy("bucket", "place").agg(
