@@ -1,0 +1,287 @@
+"""The operators against brute force on small tables with NULLs, empty and long texts, ties and repeated rows."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import json
+import math
+import os
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from matchday.llm import (
+    bpe, fingerprints, html_text, knn, line_dedup, mixing, near_dedup, ngram_lm, queries, toxicity, url_filter,
+)
+from matchday.llm.components import connected
+
+DOCS = "doc_id long, text string, source string, size string"
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 4)))
+    rows = [" ".join(word() for _ in range(rnd.randint(1, 80))) for _ in range(60)]
+    long = rows[3].split() * 3
+    rows += [None, "", "   ", "One", "one", "a b c", "A  B\tC", rows[7], rows[7], rows[7].upper(), "word " * 3000]
+    for k in range(12):  # near copies of one text
+        copy = (long + rows[9].split())[:]
+        copy[rnd.randrange(len(copy))] = f"edit{k}"
+        rows.append(" ".join(copy))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i * 3 + 1, t, None if i % 7 == 0 else f"s{i % 3}", "clash") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def by_id(df):
+    return {r["doc_id"]: r.asDict() for r in df.collect()}
+
+
+def test_fingerprints(docs, texts, nothing):
+    found = by_id(fingerprints.fingerprints(docs.select("doc_id", "text"), min_idf=0.1, max_idf=3.5).withColumn(
+        "near", fingerprints.likeness(F.col("hashes"), F.col("edited_hashes"))).withColumn(
+        "next", fingerprints.likeness(F.col("hashes"), F.col("next_hashes"))))
+    ids = sorted(found)
+    assert ids == [i * 3 + 1 for i in range(len(texts))]
+    for k, i in enumerate(ids):
+        own, following = texts[k] or "", texts[(k + 1) % len(texts)] or ""
+        half = len(own) // 2
+        edited = own[:len(own) - half] + following[:half]
+        assert found[i]["n_chars"] == len(own)
+        assert found[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert found[i]["next_hashes"] == found[ids[(k + 1) % len(ids)]]["hashes"]
+        assert 0 <= found[i]["near"] <= 1 and 0 <= found[i]["next"] <= 1
+        if own == edited:
+            assert found[i]["hashes"] == found[i]["edited_hashes"] and found[i]["near"] == 1
+    same = collections.defaultdict(set)
+    for k, i in enumerate(ids):
+        same[texts[k] or ""].add(tuple(found[i]["hashes"]))
+    assert all(len(v) == 1 for v in same.values())
+    unrelated = ids[:59]  # what follows are near copies of each other
+    assert sum(found[i]["near"] for i in unrelated) > sum(found[i]["next"] for i in unrelated)
+    assert fingerprints.fingerprints(nothing).count() == 0
+
+
+PAGE = """<html><head><title>T</title><style>p{}</style></head><body><nav><a href=/>Home page</a></nav>
+<div class="ad">Buy many things here today</div><article><h1>Head &amp; line</h1><p>First   text
+of the <b>page</b> &#233;.<p>Second &lt;b&gt; one<ul><li>item one<li>item two</ul></article><section class="comments"><p>nice
+page said a reader</p></section><form>subscribe now</form><footer>&copy; foot</footer><script>var t="</p>";</script></body></html>"""
+
+
+def test_html_text(spark):
+    expected = "Head & line\nFirst text of the page é.\nSecond <b> one\nitem one\nitem two"
+    rows = [(1, PAGE, 5), (2, None, 6), (3, "", 7), (4, "<p", 8), (5, PAGE, 9), (6, "<p>" + "long " * 50_000, 1)]
+    pages = spark.createDataFrame(rows, "page_id long, html string, n int")
+    weights = html_text.learn_weights(pages)
+    assert weights["word"] > 0 > weights["<p"]
+    out = {r["page_id"]: r for r in html_text.extract(pages, weights).collect()}
+    assert out[1]["text"] == out[5]["text"] == expected and out[2]["text"] == out[3]["text"] == out[4]["text"] == ""
+    assert out[6]["text"] == ("long " * 50_000).strip() and out[6]["n"] == 1
+    assert html_text.learn_weights(pages.limit(0)) == html_text.DEFAULT_WEIGHTS
+
+
+def test_best_region_is_the_maximum():
+    rnd = random.Random(1)
+    for _ in range(300):
+        scores = [rnd.randint(-5, 5) for _ in range(rnd.randint(0, 12))]
+        low, high = html_text.best_region(scores)
+        every = [sum(scores[a:b]) for a in range(len(scores) + 1) for b in range(a, len(scores) + 1)]
+        assert sum(scores[low:high]) == max(every)
+
+
+def test_bpe_equals_the_library(docs, texts):
+    tokenizers = pytest.importorskip("tokenizers")
+    definition = queries.tokenizer_definition()
+    library = tokenizers.Tokenizer.from_str(definition)
+    extra = ["don't we'll 12345 ½ ΑΣ İI <|endoftext|>x a\x1cb d\x85e 日本 😀😀 \u0000x", "</w> a</w>", "a" * 300, "<|endoftext|"]
+    own = bpe.TrieBpe(definition, max_words=50)
+    for text, ids in zip([*texts, *extra], own.encode_batch([*texts, *extra])):
+        known = library.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == known
+        assert own.decode(ids) == library.decode(known, skip_special_tokens=False)
+    out = by_id(bpe.encode_documents(docs, definition, keep=["doc_id", "size"]))
+    assert len(out) == len(texts) and out[1]["size"] == "clash"
+    assert all(bytes(out[i * 3 + 1]["token_ids"]) == own.encode_batch([t])[0] for i, t in enumerate(texts))
+
+
+def test_bpe_seam_equals_plain_merging():
+    own = bpe.TrieBpe(queries.tokenizer_definition())
+    rnd, tokens = random.Random(2), sorted(own.ids)
+    inner = [t for t in tokens if not t.endswith("</w>") and len(t) < 4]
+    for _ in range(2000):
+        left, right = rnd.choice(inner), rnd.choice(tokens)
+        assert own._seam(left, right) == (own._merged(own._split(left) + own._split(right)) == [left, right])
+
+
+def test_url_filter(spark):
+    urls = ["https://A.Example.ORG/es/1?x", "http://example.org/en/12", "http://b.org/x", "ftp://x.com/de/1", "http://com/fr/2",
+            "http://notcom/de/", None, "no url", "http://x.com", "http://bad.net/casino/1", "http://good.net/news/1", "http://x.com"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labelled = spark.createDataFrame(
+        [(f"http://bad.net/casino/{i}", True) for i in range(20)] + [(f"http://s{i}.net/news/{i}", False) for i in range(60)]
+        + [("http://x.net/", None)], "url string, bad boolean")
+    out = {r["page_id"]: r for r in url_filter.judge(pages, labelled, queries.URL_RULES).collect()}
+    assert (out[0]["host"], out[0]["path"], out[0]["rule"], out[0]["verdict"]) == ("a.example.org", "/es/1", "example.org/es/", "block")
+    assert [out[i]["rule"] for i in range(1, 9)] == ["example.org/en/1", "org/", "com/de/", "com/fr/", None, None, None, None]
+    assert (out[6]["host"], out[6]["path"]) == ("", "") and out[7]["verdict"] == "allow"
+    assert out[9]["verdict"] == "block" and out[10]["verdict"] == "allow" and out[8]["path"] == ""
+    assert len(out) == len(urls)
+    none = url_filter.judge(pages, labelled.limit(0), []).collect()
+    assert {r["verdict"] for r in none} == {"allow"}
+
+
+def test_knn_equals_brute_force(spark):
+    rnd = np.random.default_rng(3)
+    vectors = [[float(x) for x in rnd.normal(size=8)] for _ in range(150)]
+    vectors[20:90] = [vectors[20]] * 70  # a third and more in one place
+    rows = [(i, v) for i, v in enumerate(vectors)] + [(500, None), (520, [None] * 8), (540, [float("nan")] * 8), (None, vectors[0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    whole = [[math.floor(64 * float(np.float32(x))) for x in v] for v in vectors]
+    expected = []
+    for q in range(0, 150, 20):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], w)), i) for i, w in enumerate(whole) if i != q)
+        expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:20])]
+    out = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in knn.top_k(table, pivots=7).collect())
+    assert out == expected
+    assert knn.top_k(table.limit(0)).count() == 0
+
+
+def test_ngram_scores_equal_brute_force(docs, texts, nothing):
+    counts, words, own = collections.Counter(), collections.Counter(), {}
+    for i, t in enumerate(texts):
+        w = ["^", *WORDS.findall(lower(t)), "$"]
+        own[i * 3 + 1] = collections.Counter(zip(w, w[1:]))
+        counts.update(own[i * 3 + 1])
+        words.update(w[1:])
+    total, context = sum(words.values()), {**words, "^": len(texts)}
+    out = by_id(ngram_lm.score_documents(docs))
+    assert out.keys() == own.keys()
+    for i, pairs in own.items():
+        score = sum(n * math.log10((counts[u, v] - n) / context[u] if counts[u, v] > n else 0.4 * words[v] / total)
+                    for (u, v), n in pairs.items())
+        assert out[i]["log10_score"] == pytest.approx(score)
+        assert out[i]["backed_off"] == sum(n for p, n in pairs.items() if counts[p] == n)
+    assert ngram_lm.score_documents(nothing).count() == 0
+
+
+@pytest.mark.parametrize("words", [4, 5])
+def test_near_groups_equal_brute_force(docs, texts, nothing, words):
+    sets = {}
+    for i, t in enumerate(texts):
+        w = WORDS.findall(lower(t))
+        sets[i * 3 + 1] = {tuple(w[k:k + words]) for k in range(len(w) - words + 1)} if len(w) >= words else {tuple(w)} - {()}
+    group = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((group[a], group[b]))
+                group = {k: low if v == high else v for k, v in group.items()}
+    out = by_id(near_dedup.near_groups(docs, words, 80))
+    assert {i: r["component_id"] for i, r in out.items()} == group
+    assert all(r["n_shingles"] == len(sets[i]) and r["kept"] == (group[i] == i) for i, r in out.items())
+    left = near_dedup.drop_near_copies(docs, words, 80)
+    assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == set(group.values())
+    assert near_dedup.near_groups(nothing).count() == 0
+
+
+def test_likelihood_finds_the_similarity():
+    rnd = np.random.default_rng(1)
+    for share in (0.5, 0.8, 0.95):
+        both = rnd.integers(0, 2**63, int(4000 * share), dtype=np.uint64)
+        sides = [np.unique(np.concatenate([both, rnd.integers(0, 2**63, int(4000 * (1 - share)) // 2, dtype=np.uint64)]))
+                 for _ in range(2)]
+        a, b = near_dedup.registers_of(sides)
+        found = near_dedup.likely_similarity([(a > b).sum()], [(a < b).sum()], [len(sides[0])], [len(sides[1])])[0]
+        true = len(np.intersect1d(*sides)) / len(np.union1d(*sides))
+        assert abs(found - true) < 0.16
+        merged = near_dedup.registers_of([np.union1d(*sides)])[0]
+        assert (np.maximum(a, b) == merged).all()
+
+
+def test_connected_components_of_a_long_path(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 105), (105, 103), (7, 7)]
+    out = {r["node"]: r["label"] for r in connected(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert out == {**{i: 0 for i in range(61)}, 100: 100, 103: 100, 105: 100}
+
+
+def test_mixing(docs, texts, nothing):
+    planned = by_id(mixing.planned_copies(docs.drop("size")))
+    size = {i * 3 + 1: len(WORDS.findall(t or "")) for i, t in enumerate(texts)}
+    assert {i: r["size"] for i, r in planned.items()} == size
+    totals, targets = collections.Counter(), {}
+    for i, r in planned.items():
+        totals[r["source"]] += size[i]
+        targets[r["source"]] = r["target"]
+    assert sum(targets.values()) == pytest.approx(1.5 * sum(size.values()))
+    assert all(t <= 2 * totals[s] + 1e-6 for s, t in targets.items())
+    assert all(0 <= r["copies"] <= 2 for r in planned.values())
+    assert by_id(mixing.planned_copies(docs.drop("size").repartition(7))) == planned
+    mix = collections.Counter(r["doc_id"] for r in mixing.mix_sources(docs.drop("size")).collect())
+    assert mix == {i: r["copies"] for i, r in planned.items() if r["copies"]}
+    assert mixing.planned_copies(nothing.drop("size")).count() == 0
+
+
+def test_toxicity_on_held_out_rows(spark, nothing):
+    rnd = random.Random(9)
+    vocabulary = ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(300)]
+    rows, labels = [], []
+    for i in range(700):
+        words = rnd.choices(vocabulary, k=30)
+        toxic = i % 5 == 0
+        if toxic:
+            words[rnd.randrange(30)] = rnd.choice(["vilest", "rotten"]) + rnd.choice(["", "ly", "ness"])
+        rows.append((i, " ".join(words), "s", "x"))
+        if i % 2 == 0:
+            labels.append((i, int(toxic)))
+    rows += [(1000, None, None, None), (1001, "", None, None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    known = spark.createDataFrame([*labels, (None, 1), (3, None)], "doc_id long, toxic int")
+    model = toxicity.train(docs, known)
+    scored = by_id(toxicity.score_documents(docs, model))
+    wrong = sum((scored[i]["score"] >= 0.5) != (i % 5 == 0) for i in range(700))
+    assert wrong <= 7 and scored[1000]["score"] == scored[1001]["score"] < 0.5
+    left = toxicity.drop_toxic(docs, known)
+    assert left.columns == docs.columns and {1000, 1001} <= {r["doc_id"] for r in left.collect()}
+    assert toxicity.train(docs, known.limit(0)) == toxicity.Model({}, 0.0)
+    assert toxicity.score_documents(nothing, model).count() == 0
+
+
+def test_line_dedup(spark, nothing):
+    rows = [(i, f"own {i}\n  Shared\tLine \r\n\nshared\tline\nlast", "s", "x") for i in range(12)]
+    rows += [(50, None, None, None), (51, "", None, None), (52, "x\n" * 2000 + "rare", None, None), (12, "LAST\n\x0b last", None, None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for batches in (1, 5):
+        out = by_id(line_dedup.drop_frequent_lines(docs, batches=batches))
+        assert [(out[i]["text"], out[i]["n_lines"], out[i]["n_dropped"]) for i in range(12)] == [(f"own {i}\n", 5, 3) for i in range(12)]
+        assert (out[12]["text"], out[12]["n_lines"], out[12]["n_dropped"]) == ("", 2, 2)
+        assert (out[50]["text"], out[50]["n_lines"], out[51]["text"], out[52]["text"]) == (None, 1, "", rows[14][1])
+    assert line_dedup.drop_frequent_lines(nothing).count() == 0
+
+
+def test_line_runs_are_compacted_and_find_new_lines(spark):
+    runs = line_dedup.LineRuns(spark, fanout=2)
+    for batch in range(5):
+        lines = spark.createDataFrame([(1, batch), (2, 7)], "key long, hash long")
+        assert runs.unseen(lines).count() == (2 if batch == 0 else 1)
+        runs.add(lines)
+    assert [len(level) for level in runs.levels] == [1, 0, 1]
+    assert {r["hash"]: r["n"] for r in runs.counts().collect()} == {0: 1, 1: 1, 2: 1, 3: 1, 4: 1, 7: 5}
