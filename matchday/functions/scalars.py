@@ -68,9 +68,28 @@ def badge_url(team_code: Column) -> Column:
 
 
 def fixed(value: Column, digits: int, suffix: str = "") -> Column:
-    """Text with a fixed number of decimals; NULL stays NULL."""
-    text = F.format_string(f"%.{digits}f{suffix}", value.cast("double"))
-    return F.when(value.isNotNull(), text)
+    """Text with a fixed number of decimals, the exact double rounded half to even; NULL stays NULL.
+
+    The product with the power of ten is split into its double and the exact error of it, which decides near halves."""
+    x, ten = F.abs(value.cast("double")), 10.0**digits
+    splitter = 134217729.0
+    product = x * F.lit(ten)
+
+    def halves(v: Column) -> tuple[Column, Column]:
+        high = v * splitter - (v * splitter - v)
+        return high, v - high
+
+    (xh, xl), (th, tl) = halves(x), halves(F.lit(ten))
+    error = xl * tl - (((product - xh * th) - xl * th) - xh * tl)
+    whole = F.floor(product)
+    over = (product - whole - F.lit(0.5)) + error
+    up = (over > 0) | ((over == 0) & (whole % 2 == 1))
+    units = (whole + F.when(up, F.lit(1)).otherwise(F.lit(0))).cast("decimal(20,0)")
+    text = F.concat(
+        F.when(value.cast("double").cast("string").startswith("-"), F.lit("-")).otherwise(F.lit("")),
+        (units / F.lit(10**digits).cast("decimal(10,0)")).cast(f"decimal(30,{digits})").cast("string"), F.lit(suffix))
+    plain = F.format_string(f"%.{digits}f{suffix}", value.cast("double"))  # whole numbers, and what is no number
+    return F.when(value.isNull(), F.lit(None)).when(product < 2.0**53, text).otherwise(plain)
 
 
 def to_payload(*columns: Column | str) -> Column:

@@ -146,10 +146,10 @@ def squad_check(squads: DataFrame, squad: Sequence[str], budget: float = BUDGET,
         F.count_if(F.col(cols.position) == p).alias(f"__p{i}") for i, p in enumerate(positions)
     ]
     per_club = squads.groupBy(*squad, cols.club).agg(
-        F.count(F.lit(1)).alias("__n"), F.sum(cols.units(rules.units_per_cost)).alias("__units"), *counts
+        F.count(F.lit(1)).alias("__n"), F.sum(F.col(cols.cost).cast("decimal(28,6)")).alias("__cost"), *counts
     )
     per_squad = per_club.groupBy(*squad).agg(
-        F.sum("__n").alias("__n"), F.max("__n").alias("__club"), F.sum("__units").alias("__units"),
+        F.sum("__n").alias("__n"), F.max("__n").alias("__club"), F.sum("__cost").alias("__cost"),
         *[F.sum(f"__p{i}").alias(f"__p{i}") for i in range(len(positions))],
     )
 
@@ -159,7 +159,7 @@ def squad_check(squads: DataFrame, squad: Sequence[str], budget: float = BUDGET,
             F.lit(float(allowed)).alias("allowed"), F.coalesce(broken, F.lit(True)).alias("violated"),
         )
 
-    cost = F.col("__units") / rules.units_per_cost
+    cost = F.col("__cost").cast("double")  # the raw cost, summed as decimals in any order
     rows = [
         rule("squad_size", F.col("__n"), rules.size, F.col("__n") != rules.size),
         rule("budget", cost, budget, cost > budget),

@@ -66,8 +66,11 @@ class CandidateColumns:
     score: str = "recommendation_score"
 
     def units(self, per_cost: int) -> Column:
-        """Cost as a whole number of units."""
-        return F.round(F.col(self.cost) * per_cost).cast("bigint")
+        """Cost as a whole number of units; a cost that is none fails the job."""
+        scaled = F.col(self.cost) * per_cost
+        units = F.round(scaled)
+        partial = F.raise_error(F.concat(F.lit("cost is not a whole number of units: "), F.col(self.cost).cast("string")))
+        return F.when(F.abs(scaled - units) > 1e-6, partial).otherwise(units).cast("bigint")
 
 
 def by_position(values: Mapping[str, int], position: Column) -> Column:

@@ -201,10 +201,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT c_custkey, nullif(c_mktsegment, 'MACHINERY') || ' ' || c_name AS full_name,
                    CASE WHEN c_custkey % 7 <> 0 THEN '{_PORTRAIT}' || c_custkey || '.png' END AS portrait_url,
                    CASE WHEN c_nationkey <> 0 THEN '{_BADGE}' || c_nationkey || '.png' END AS badge_url,
-                   printf('%.1fM', floor(c_acctbal)) AS cost FROM customer""",
+                   printf('%.1fM', c_acctbal) AS cost FROM customer""",
         "left_join_dim": """
-            SELECT c_nationkey, c_custkey, n_name AS team_name FROM customer
-            LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 4) ON c_nationkey = n_nationkey""",
+            SELECT c_nationkey + 1000 * (c_custkey % 2) AS c_nationkey, c_custkey, n_name AS team_name FROM customer
+            LEFT JOIN nation ON c_nationkey + 1000 * (c_custkey % 2) = n_nationkey""",
         "role_dims": f"""
             WITH {_LINE_SIDES}
             SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, h.n_name AS home_name, a.n_name AS away_name
@@ -300,14 +300,16 @@ def oracle_sql() -> dict[str, str]:
                 ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1""",
         "table_counts": "\nUNION ALL ".join(
             f"SELECT '{name}' AS \"table\", count(*) AS n FROM {name}"
-            for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+            for name in ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+                         "labels conversations").split()
         ),
         "dq_duplicates": """
             SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber
             HAVING count(*) > 1""",
         "dq_orphans": """
-            SELECT c_nationkey, count(*) AS n FROM customer WHERE c_nationkey IS NOT NULL AND c_nationkey NOT IN
-              (SELECT n_nationkey FROM nation WHERE n_regionkey < 4) GROUP BY c_nationkey""",
+            SELECT k AS c_nationkey, count(*) AS n
+            FROM (SELECT c_nationkey + 1000 * (c_custkey % 2) AS k FROM customer)
+            WHERE k IS NOT NULL AND k NOT IN (SELECT n_nationkey FROM nation) GROUP BY k""",
         "dq_ranges": """
             SELECT 'quantity' AS "check", 'lineitem' AS "table", count(*) AS violations FROM lineitem
             WHERE l_quantity < 5 OR l_quantity > 45 OR l_quantity IS NULL

@@ -27,7 +27,7 @@ from matchday.operators.scaling import min_max_normalize
 from matchday.operators.shaping import left_join_dim, union_sides, unpivot_sides
 from matchday.operators.squad import OPTIMAL, prune_candidates, select_squads
 from matchday.operators.squad_rules import CandidateColumns
-from matchday.plans import gold, reports, selection, silver
+from matchday.plans import gold, reports, silver
 from matchday.plans.star import League
 from matchday.plans.weekly import current_gameweek, last_finished
 from matchday.sources import landing
@@ -131,17 +131,21 @@ def display_fields(t: League) -> DataFrame:
         full_name(F.nullif("c_mktsegment", F.lit("MACHINERY")), F.col("c_name")).alias("full_name"),
         portrait_url(F.when(F.col("c_custkey") % 7 != 0, photo)).alias("portrait_url"),
         badge_url(F.nullif("c_nationkey", F.lit(0))).alias("badge_url"),
-        fixed(F.floor("c_acctbal"), 1, "M").alias("cost"),
+        fixed(F.col("c_acctbal"), 1, "M").alias("cost"),
     )
 
 
+def _moved(t: League) -> DataFrame:
+    """All customers; every second one has a nation key that no nation has."""
+    return t.table("customer").withColumn("c_nationkey", F.col("c_nationkey") + 1000 * (F.col("c_custkey") % 2))
+
+
 # --- joins ------------------------------------------------------------------
 
 @_query
 def left_join_dim_query(t: League) -> DataFrame:
-    nations = t.table("nation").filter(F.col("n_regionkey") < 4)
     return left_join_dim(
-        t.table("customer").select("c_custkey", "c_nationkey"), nations, "c_nationkey",
+        _moved(t).select("c_custkey", "c_nationkey"), t.table("nation"), "c_nationkey",
         {"n_nationkey": "c_nationkey", "n_name": "team_name"},
     )
 
@@ -408,7 +412,8 @@ def ranked_segments(t: League) -> DataFrame:
 
 @_query
 def table_counts(t: League) -> DataFrame:
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+    names = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+             "conversations").split()
     return quality.table_counts({name: t.table(name) for name in names})
 
 
@@ -419,8 +424,7 @@ def dq_duplicates(t: League) -> DataFrame:
 
 @_query
 def dq_orphans(t: League) -> DataFrame:
-    nations = t.table("nation").filter(F.col("n_regionkey") < 4)
-    return quality.orphan_keys(t.table("customer"), "c_nationkey", nations, "n_nationkey")
+    return quality.orphan_keys(_moved(t), "c_nationkey", t.table("nation"), "n_nationkey")
 
 
 @_query
@@ -487,37 +491,6 @@ def prune_league(t: League) -> DataFrame:
     return prune_candidates(t.scores).select("player_id")
 
 
-@_query
-def best_squad(t: League) -> DataFrame:
-    """The league's best squad and line-up at three budgets."""
-    teams = selection.optimal_teams(t.scores, budgets=(80.0, 90.0, 100.0))
-    return teams.select("budget", "solve_status", "player_id", "position", "team_id", "cost_millions",
-                        _r("recommendation_score").alias("recommendation_score"), "is_starter")
-
-
-@_query
-def squad_scenarios(t: League) -> DataFrame:
-    """One best squad per weighting of the score, solved side by side."""
-    scaled = min_max_normalize(
-        left_join_dim(t.value.select("player_id", "position", "cost_millions", "points_per_million"), t.form,
-                      "player_id", ["avg_points_recent"]),
-        ["avg_points_recent", "points_per_million"],
-    )
-    pool = left_join_dim(scaled, t.players, "player_id", ["team_id"])
-    mixes = F.array(*[
-        F.struct(F.lit(name).alias("scenario"), weighted_score(
-            {"avg_points_recent_norm": form, "points_per_million_norm": 1 - form}
-        ).alias("score"))
-        for name, form in (("form", 0.8), ("even", 0.5), ("value", 0.2))
-    ])
-    candidates = pool.select("player_id", "position", "team_id", "cost_millions", F.inline(mixes))
-    squads = select_squads(candidates, ["scenario"], cols=CandidateColumns(score="score"))
-    return squads.filter(F.col("solve_status") == OPTIMAL).groupBy("scenario").agg(
-        F.count("player_id").alias("players"), _r(F.sum("cost_millions"), 1).alias("cost"),
-        _r(F.sum("score")).alias("score"),
-    )
-
-
 # --- league layers ----------------------------------------------------------
 
 @_query
@@ -592,14 +565,3 @@ def report_top10(t: League) -> DataFrame:
 @_query
 def report_gameweek(t: League) -> DataFrame:
     return reports.gameweek_badge(current_gameweek(_calendar(t)))
-
-
-@_query
-def report_lineup(t: League) -> DataFrame:
-    """The league's line-up, ready for display."""
-    return reports.lineup_cards(selection.optimal_team(t.scores)).drop("recommendation_score")
-
-
-@_query
-def report_totals(t: League) -> DataFrame:
-    return reports.team_totals(selection.optimal_team(t.scores))

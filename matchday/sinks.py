@@ -39,7 +39,7 @@ class RunLog:
         except Exception as error:
             self._append(
                 step=step, table=table, status="failed", duration_s=round(time.perf_counter() - started, 2),
-                error_type=type(error).__name__, error=str(error)[:2000],
+                error_type=type(error).__name__, error=str(error),
             )
             raise
         self._append(

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -144,3 +146,13 @@ def test_lenient_casts_equal_try_cast(spark, rows, kind):
     lenient = project(df, [Field("t"), Field("x", "t", kind)], strict=False)
     plain = df.select("t", F.col("t").try_cast(kind).alias("x"))
     assert [str(r) for r in lenient.collect()] == [str(r) for r in plain.collect()]
+
+
+def test_fixed_rounds_the_exact_double_half_to_even(spark):
+    rnd = random.Random(4)
+    values = [2.25, 0.15, 5.625, 0.5, 1.5, 2.5, -0.04, -2.25, 0.0, 1e15, 123456789.125, None]
+    values += [rnd.uniform(-500, 500) for _ in range(300)] + [rnd.randint(-4000, 4000) / 16 for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 1, 2, 3):
+        found = [r[0] for r in df.select(scalars.fixed(F.col("v"), digits, "M")).collect()]
+        assert found == [None if v is None else f"{v:.{digits}f}M" for v in values]

@@ -48,17 +48,6 @@ def test_entry_is_lazy_and_has_rows(spark):
     assert df.columns == ["c_custkey", "recommendation_score"] and df.count() > 0
 
 
-def test_squad_queries(spark, sf_dir, rows):
-    best = rows(QUERIES["best_squad"](spark, sf_dir))
-    solved = {b: [r for r in best if r["budget"] == b and r["solve_status"] == "optimal"] for b in (80.0, 90.0, 100.0)}
-    for budget, team in solved.items():
-        if team:
-            assert len(team) == 15 and sum(r["is_starter"] for r in team) == 11
-            assert sum(r["cost_millions"] for r in team) <= budget + 1e-9
-    assert solved[100.0]
-    assert {r["players"] for r in rows(QUERIES["squad_scenarios"](spark, sf_dir))} == {15}
-
-
 def test_flagship_plan_reads_the_history_once_per_shuffle(spark, sf_dir):
     df = QUERIES["recommendation"](spark, sf_dir)
     df.collect()
