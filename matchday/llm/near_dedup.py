@@ -148,15 +148,22 @@ def _estimated(limit: float):
 
 
 def _compared(limit: float):
-    """Pairs of a stray and a member of another component in one block, by their registers."""
+    """Pairs of a stray and a member of another component in one block, by their registers; many blocks at a time."""
     def run(members: pd.DataFrame, strays: pd.DataFrame) -> pd.DataFrame:
         left, right = [], []
         if len(members) and len(strays):
+            members = members.sort_values(["key", "block"], kind="stable")
+            strays = strays.sort_values(["k", "piece"], kind="stable")
             m = np.frombuffer(b"".join(members["registers"]), dtype="<u2").reshape(-1, REGISTERS)
-            ids, labels, sizes = (members[c].to_numpy() for c in ("node", "label", "n"))
-            for node, label, n, registers in zip(strays["node"], strays["label"], strays["n"], strays["registers"]):
+            ids, labels, sizes, keys, blocks = (members[c].to_numpy() for c in ("node", "label", "n", "key", "block"))
+            starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (blocks[1:] != blocks[:-1])))
+            block_of = {(keys[at], blocks[at]): (at, end) for at, end in zip(starts, np.append(starts[1:], len(keys)))}
+            for key, piece, node, label, n, registers in zip(*(strays[c].to_numpy() for c in (
+                    "k", "piece", "node", "label", "n", "registers"))):
+                at, end = block_of.get((key, piece), (0, 0))
                 r = np.frombuffer(registers, dtype="<u2")
-                near = np.flatnonzero(((m == r).sum(1) >= (limit - 0.1) * REGISTERS) & (labels != label))
+                equal = (m[at:end] == r).sum(1)
+                near = at + np.flatnonzero((equal >= (limit - 0.1) * REGISTERS) & (labels[at:end] != label))
                 if len(near):
                     j = likely_similarity((r > m[near]).sum(1), (r < m[near]).sum(1), np.full(len(near), n), sizes[near])
                     near = near[j >= limit]
@@ -243,7 +250,11 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     strays = open_members.filter("label <> main").select(
         F.col("key").alias("k"), "node", "label", "n", "registers",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("piece"))
-    more = blocks.groupBy("key", "block").cogroup(strays.groupBy("k", "piece")).applyInPandas(
+    # Blocks are dealt to slots of a few thousand members, as most buckets are small.
+    slots = F.lit(max(open_members.count() // BLOCK, 1) * 2 + 15)
+    blocks = blocks.withColumn("slot", F.pmod(F.xxhash64("key", "block"), slots))
+    strays = strays.withColumn("at", F.pmod(F.xxhash64("k", "piece"), slots))
+    more = blocks.groupBy("slot").cogroup(strays.groupBy("at")).applyInPandas(
         _compared(limit), "a long, b long").distinct()
     more = stored(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "more-pairs")
     if not more.isEmpty():
