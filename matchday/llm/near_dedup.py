@@ -158,11 +158,15 @@ def _compared(limit: float):
             ids, labels, sizes, keys, blocks = (members[c].to_numpy() for c in ("node", "label", "n", "key", "block"))
             starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (blocks[1:] != blocks[:-1])))
             block_of = {(keys[at], blocks[at]): (at, end) for at, end in zip(starts, np.append(starts[1:], len(keys)))}
+            current = None
             for key, piece, node, label, n, registers in zip(*(strays[c].to_numpy() for c in (
                     "k", "piece", "node", "label", "n", "registers"))):
-                at, end = block_of.get((key, piece), (0, 0))
+                if (key, piece) != current:
+                    current = key, piece
+                    at, end = block_of.get(current, (0, 0))
+                    by_register = np.ascontiguousarray(m[at:end].T)  # counts below add whole rows of bytes
                 r = np.frombuffer(registers, dtype="<u2")
-                equal = (m[at:end] == r).sum(1)
+                equal = (by_register == r[:, None]).view(np.uint8).sum(0, dtype=np.uint8)
                 near = at + np.flatnonzero((equal >= (limit - 0.1) * REGISTERS) & (labels[at:end] != label))
                 if len(near):
                     j = likely_similarity((r > m[near]).sum(1), (r < m[near]).sum(1), np.full(len(near), n), sizes[near])
