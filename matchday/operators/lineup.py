@@ -68,9 +68,14 @@ def starters(squads: DataFrame, squad: Sequence[str], rules: SquadRules = SquadR
     players = _best_of_position(squads, squad, rules, cols)
     chosen = _formation_choice(players, squad, rules).drop("total")
     needed = chosen.join(F.broadcast(_formation_rows(players, rules)), "formation")
-    return players.join(needed, [*squad, "position"]).filter(F.col("__place") <= F.col("needed")).select(
-        *squad, cols.id, "formation"
-    )
+    joined, same = _same_keys(players, needed, [*squad, "position"])
+    return players.join(joined, same).filter(F.col("__place") <= F.col("needed")).select(*squad, cols.id, "formation")
+
+
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """``right`` with its keys under other names, and the condition that they equal those of ``left``; NULL equals NULL."""
+    renamed = right.withColumnsRenamed({c: f"__right_{c}" for c in keys})
+    return renamed, [left[c].eqNullSafe(F.col(f"__right_{c}")) for c in keys]
 
 
 def mark_starters(squads: DataFrame, squad: Sequence[str], rules: SquadRules = SquadRules(),
@@ -80,12 +85,15 @@ def mark_starters(squads: DataFrame, squad: Sequence[str], rules: SquadRules = S
     if not squad:
         whole = mark_starters(squads.withColumn("__squad", F.lit(0)), ["__squad"], rules, cols, strict)
         return whole.drop("__squad")
-    flags = starters(squads, squad, rules, cols).select(*squad, cols.id, F.lit(True).alias("is_starter"))
-    is_starter = F.coalesce("is_starter", F.lit(False))
-    marked = squads.join(flags, [*squad, cols.id], "left")
+    # One row per player, so that an id listed twice in a squad keeps its two rows.
+    flags = starters(squads, squad, rules, cols).select(*squad, cols.id).distinct().withColumn("__starts", F.lit(True))
+    is_starter = F.coalesce("__starts", F.lit(False))
+    flags, same = _same_keys(squads, flags, [*squad, cols.id])
+    marked = squads.join(flags, same, "left")
     if strict:
         chosen = best_formation(squads, squad, rules, cols).select(*squad, F.lit(True).alias("__valid"))
-        marked = marked.join(chosen, list(squad), "left")
+        chosen = chosen.withColumnsRenamed({c: f"__valid_{c}" for c in squad})
+        marked = marked.join(chosen, [F.col(c).eqNullSafe(F.col(f"__valid_{c}")) for c in squad], "left")
         is_starter = F.when(F.col("__valid"), is_starter).otherwise(_no_formation())
     return marked.select(*squads.columns, is_starter.alias("is_starter"))
 

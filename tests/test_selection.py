@@ -274,3 +274,20 @@ def test_both_ways_to_mark_starters_agree(spark, rows):
     assert not any(r["is_starter"] for r in rows(lineup.mark_starters_of_small_squads(bad, ["squad"], cols=LINE)))
     with pytest.raises(Exception, match="no valid formation"):
         lineup.mark_starters_of_small_squads(bad, ["squad"], cols=LINE, strict=True).collect()
+
+
+def test_a_squad_without_a_name_and_a_repeated_player(spark, rows):
+    pool = [("GKP", 2), ("DEF", 5), ("MID", 5), ("FWD", 3)]
+    members, player = [], 0
+    for position, n in pool:
+        for _ in range(n):
+            player += 1
+            members.append((player, position, player % 7, 5.0, float(player)))
+    data = [(squad, *m) for squad in (None, "a") for m in members] + [("a", 1, "GKP", 1, 5.0, 1.0)]
+    squads = spark.createDataFrame(data, "squad STRING, id INT, pos STRING, club INT, cost DOUBLE, score DOUBLE")
+    cols = CandidateColumns("id", "pos", "club", "cost", "score")
+    for strict in (False, True):
+        marked = rows(lineup.mark_starters(squads, ["squad"], cols=cols, strict=strict))
+        assert len(marked) == len(data)
+        assert sum(r["is_starter"] for r in marked if r["squad"] is None) == 11
+        assert sum(r["is_starter"] for r in marked if r["squad"] == "a") == 11
