@@ -58,7 +58,9 @@ _SEGMENT_POSITION = (
 )
 
 _LINEUP = f"""
-members AS (SELECT c_nationkey, c_custkey, c_acctbal, {_SEGMENT_POSITION} AS position FROM customer),
+members AS (
+  SELECT c_nationkey, c_custkey, c_acctbal, CAST(c_custkey % 97 AS DOUBLE) AS cost, {_SEGMENT_POSITION} AS position
+  FROM customer),
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY c_nationkey, position ORDER BY c_acctbal DESC, c_custkey) AS rn
   FROM members WHERE position IS NOT NULL),
@@ -324,9 +326,9 @@ def oracle_sql() -> dict[str, str]:
         "best_lineup": f"WITH {_LINEUP} SELECT c_nationkey, formation, round(total, 2) AS total FROM chosen",
         "lineup_starters": f"WITH {_LINEUP} SELECT c_nationkey, c_custkey, is_starter FROM marked",
         "lineup_totals": f"""
-            WITH {_LINEUP} SELECT c_nationkey, round(sum(c_acctbal), 2) AS total_cost,
+            WITH {_LINEUP} SELECT c_nationkey, round(sum(cost), 2) AS total_cost,
               round(sum(c_acctbal) FILTER (is_starter), 2) AS total_score,
-              round(sum(c_acctbal) FILTER (is_starter), 2) AS starters_cost,
+              round(sum(cost) FILTER (is_starter), 2) AS starters_cost,
               count(*) FILTER (is_starter) AS starters, count(c_custkey) AS players FROM marked GROUP BY c_nationkey""",
         "squad_check": """
             WITH p AS (SELECT p_size AS squad, p_brand, p_type FROM part),

@@ -449,7 +449,8 @@ def dominance_prune_query(t: League) -> DataFrame:
 def _nation_squads(t: League) -> tuple[DataFrame, CandidateColumns]:
     pairs = [F.lit(x) for pair in SEGMENT_POSITIONS.items() for x in pair]
     squads = t.table("customer").withColumn("position", F.create_map(*pairs)[F.col("c_mktsegment")])
-    return squads, CandidateColumns("c_custkey", "position", "c_mktsegment", "c_acctbal", "c_acctbal")
+    squads = squads.withColumn("cost", (F.col("c_custkey") % 97).cast("double"))
+    return squads, CandidateColumns("c_custkey", "position", "c_mktsegment", "cost", "c_acctbal")
 
 
 @_query
