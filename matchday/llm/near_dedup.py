@@ -40,6 +40,8 @@ BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2
 SLACK = 0.14
 #: Members of a bucket in one block.
 BLOCK = 4096
+#: Pairs that are compared at once in a task.
+CELLS = 65_536
 
 _random = np.random.default_rng(20240229)
 _FACTORS = _random.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -147,33 +149,71 @@ def _estimated(limit: float):
     return run
 
 
+def low_bits(registers: np.ndarray) -> np.ndarray:
+    """The lowest bit of each register, 64 to a word: unequal registers agree in it half of the time."""
+    return np.packbits((registers & 1).astype(np.uint8), axis=1).view(np.uint64)
+
+
+def most_unequal_bits(similarity: float) -> int:
+    """Low bits in which a pair of this similarity may differ: five standard deviations above the mean."""
+    share = (1 - similarity) / 2
+    return int(np.ceil(REGISTERS * share + 5 * np.sqrt(REGISTERS * share * (1 - share))))
+
+
+def _runs(keys: np.ndarray, blocks: np.ndarray) -> Iterator[tuple[tuple, int, int]]:
+    """Bounds of the runs of equal (key, block)."""
+    starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (blocks[1:] != blocks[:-1])))
+    for at, end in zip(starts, np.append(starts[1:], len(keys))):
+        yield (keys[at], blocks[at]), at, end
+
+
 def _compared(limit: float):
-    """Pairs of a stray and a member of another component in one block, by their registers; many blocks at a time."""
+    """Pairs of a stray and a member of another component in one block, by their registers; many blocks at a time.
+
+    Most pairs are told apart by the low bits of their registers, the others by all of the registers."""
+    most = most_unequal_bits(limit + SLACK)
+
     def run(members: pd.DataFrame, strays: pd.DataFrame) -> pd.DataFrame:
-        left, right = [], []
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         if len(members) and len(strays):
             members = members.sort_values(["key", "block"], kind="stable")
             strays = strays.sort_values(["k", "piece"], kind="stable")
-            m = np.frombuffer(b"".join(members["registers"]), dtype="<u2").reshape(-1, REGISTERS)
-            ids, labels, sizes, keys, blocks = (members[c].to_numpy() for c in ("node", "label", "n", "key", "block"))
-            starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (blocks[1:] != blocks[:-1])))
-            block_of = {(keys[at], blocks[at]): (at, end) for at, end in zip(starts, np.append(starts[1:], len(keys)))}
-            current = None
-            for key, piece, node, label, n, registers in zip(*(strays[c].to_numpy() for c in (
-                    "k", "piece", "node", "label", "n", "registers"))):
-                if (key, piece) != current:
-                    current = key, piece
-                    at, end = block_of.get(current, (0, 0))
-                    by_register = np.ascontiguousarray(m[at:end].T)  # counts below add whole rows of bytes
-                r = np.frombuffer(registers, dtype="<u2")
-                equal = (by_register == r[:, None]).view(np.uint8).sum(0, dtype=np.uint8)
-                near = at + np.flatnonzero((equal >= (limit - 0.1) * REGISTERS) & (labels[at:end] != label))
-                if len(near):
-                    j = likely_similarity((r > m[near]).sum(1), (r < m[near]).sum(1), np.full(len(near), n), sizes[near])
-                    near = near[j >= limit]
-                    left += [node] * len(near)
-                    right += ids[near].tolist()
-        return pd.DataFrame({"a": np.minimum(left, right), "b": np.maximum(left, right)}).astype("int64")
+            m, s = (np.frombuffer(b"".join(f["registers"]), dtype="<u2").reshape(-1, REGISTERS) for f in (members, strays))
+            m_bits, s_bits = low_bits(m), low_bits(s)
+            m_id, m_label, m_size = (members[c].to_numpy() for c in ("node", "label", "n"))
+            s_id, s_label, s_size = (strays[c].to_numpy() for c in ("node", "label", "n"))
+            waiting, held = [], 0
+
+            def settle() -> None:  # many pairs at a time, as most blocks are small
+                x, y = (np.concatenate([pair[i] for pair in waiting] or [np.empty(0, np.int64)]) for i in (0, 1))
+                waiting.clear()
+                j = likely_similarity((s[x] > m[y]).sum(1), (s[x] < m[y]).sum(1), s_size[x], m_size[y])
+                left.append(s_id[x[j >= limit]])
+                right.append(m_id[y[j >= limit]])
+
+            block_of = {of: (at, end) for of, at, end in _runs(members["key"].to_numpy(), members["block"].to_numpy())}
+            for of, first, last in _runs(strays["k"].to_numpy(), strays["piece"].to_numpy()):
+                at, end = block_of.get(of, (0, 0))
+                step = max(CELLS // max(end - at, 1), 1)
+                for start in range(first, last if end > at else first, step):
+                    upto = min(start + step, last)
+                    unequal = np.zeros((upto - start, end - at), dtype=np.uint8)
+                    for word in range(s_bits.shape[1]):
+                        unequal += np.bitwise_count(s_bits[start:upto, word, None] ^ m_bits[None, at:end, word])
+                    x, y = np.nonzero(unequal <= most)
+                    x, y = x + start, y + at
+                    other = s_label[x] != m_label[y]
+                    x, y = x[other], y[other]
+                    equal = (s[x] == m[y]).sum(1)
+                    near = equal >= (limit - 0.1) * REGISTERS
+                    waiting.append((x[near], y[near]))
+                    held += int(near.sum())
+                    if held >= CELLS:
+                        settle()
+                        held = 0
+            settle()
+        u, v = np.concatenate(left), np.concatenate(right)
+        return pd.DataFrame({"a": np.minimum(u, v), "b": np.maximum(u, v)}).drop_duplicates()
 
     return run
 

@@ -11,6 +11,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -285,3 +286,33 @@ def test_line_runs_are_compacted_and_find_new_lines(spark):
         runs.add(lines)
     assert [len(level) for level in runs.levels] == [1, 0, 1]
     assert {r["hash"]: r["n"] for r in runs.counts().collect()} == {0: 1, 1: 1, 2: 1, 3: 1, 4: 1, 7: 5}
+
+
+def test_near_dedup_comparison_by_low_bits_loses_no_pair():
+    """Many small blocks and one large, against the estimate of every pair of a stray and a member of another component."""
+    rng = np.random.default_rng(3)
+    sets, keys = [], []
+    for family in range(60):
+        base = rng.integers(0, 2**63, 120, dtype=np.uint64)
+        for copy in range(5):
+            own = base.copy()
+            changed = rng.integers(0, 60)
+            own[:changed] = rng.integers(0, 2**63, changed, dtype=np.uint64)
+            sets.append(np.unique(own))
+            keys.append(family if family < 40 else 99)
+    registers = near_dedup.registers_of(sets)
+    n = np.array([len(s) for s in sets])
+    frame = pd.DataFrame({"key": keys, "node": np.arange(len(sets)), "label": np.arange(len(sets)) // 2, "n": n,
+                          "registers": [r.tobytes() for r in registers], "block": 0})
+    strays = frame.rename(columns={"key": "k", "block": "piece"})
+    limit = 0.8 - near_dedup.SLACK
+    found = near_dedup._compared(limit)(frame, strays)
+    wanted = set()
+    for x in range(len(sets)):
+        y = np.array([i for i in range(len(sets)) if keys[i] == keys[x] and i // 2 != x // 2])
+        j = near_dedup.likely_similarity((registers[x] > registers[y]).sum(1), (registers[x] < registers[y]).sum(1), n[x], n[y])
+        exact = [len(np.intersect1d(sets[x], sets[i])) / len(np.union1d(sets[x], sets[i])) for i in y]
+        wanted |= {(min(x, i), max(x, i)) for i, e, s in zip(y, j, exact) if s >= limit and e >= 0.8}
+    assert wanted and wanted <= set(zip(found["a"], found["b"]))
+    empty = near_dedup._compared(limit)(frame[:0], strays)
+    assert len(empty) == 0 and list(empty.columns) == ["a", "b"]
