@@ -6,7 +6,8 @@ linear scan finds the contiguous region with the highest total (the first of equ
 
 Labelled pages are those that mark their own main text with exactly one ``article`` or ``main`` element; the weights are
 per class of token, so a bounded sample of pages is enough (``max_pages``, smallest hashes of their ids). At prediction
-words outside the only such element of a page score -1; a page without the mark goes by the weights alone.
+words outside the only such element of a page score -1, and inside it nothing scores below 0: links and other text weigh at
+least INSIDE of a word, tags 0, so the region holds all of its text. A page without the mark goes by the weights alone.
 
 The region is widened to whole blocks, and elements that never hold main text are left out wherever they are:
 menus, headers of the page, footers, sidebars, notices, adverts, forms, scripts, styles and comments, by element name, role,
@@ -175,6 +176,8 @@ def weights_from(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
 #: Weights where no labelled page is found: words for, tags and links against.
 DEFAULT_WEIGHTS = {"word": 1.0, "link": -0.3, "text": 0.0}
 UNKNOWN_TAG = -0.5
+#: Share of a word's weight that a piece of any kind has at least inside the only marked element.
+INSIDE = 0.05
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -196,13 +199,19 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         return ""
     found = tokens(page)
     one_mark = sum(k in ("<article", "<main") for k, *_ in found) == 1
+    least = INSIDE * max(weights.get("word", 0.0), 0.2)
     scores = []
     for kind, text, _, marked, other in found:
         if other:
             scores.append(0.0)  # left out in any case: neither ends a region nor adds to it
         elif kind in ("word", "link", "text"):
             n = len(text.split())
-            scores.append(-float(n) if one_mark and not marked else n * weights.get(kind, 0.0))
+            if one_mark:
+                scores.append(n * max(weights.get(kind, 0.0), least) if marked else -float(n))
+            else:
+                scores.append(n * weights.get(kind, 0.0))
+        elif one_mark and marked:
+            scores.append(0.0)
         else:
             scores.append(weights.get(kind, UNKNOWN_TAG))
     low, high = best_region(scores)

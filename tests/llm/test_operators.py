@@ -100,6 +100,23 @@ def test_html_text(spark):
     assert html_text.learn_weights(pages.limit(0)) == html_text.DEFAULT_WEIGHTS
 
 
+def test_html_text_keeps_all_of_the_marked_article():
+    """Weights as learned where lists, links and tags are seen outside the articles only."""
+    weights = {"word": 1.2, "link": -0.3, "text": -0.3} | {f"{e}{t}": -1.0 for e in ("<", "</") for t in ("ul", "li", "a", "div", "p")}
+    words = lambda tag, n: "".join(f"<{tag}>w{i}</{tag}>" for i in range(n))
+    links = "<p>" + " ".join(f'<a href="/{i}">link {i}</a>' for i in range(60)) + "</p>"
+    items, prose = f"<ul>{words('li', 40)}</ul>", "<p>Some words of prose.</p>"
+    listed, linked = [f"w{i}" for i in range(40)], [" ".join(f"link {i}" for i in range(60))]
+    said = ["Some words of prose."]
+    for inside, lines in ((items + prose, listed + said), (prose + items, said + listed), (links + prose, linked + said),
+                          (prose + links, said + linked), (prose + items + links + prose, said + listed + linked + said),
+                          (words("x-item", 3) + " < " + links, ["w0w1w2 <"] + linked), (items, listed)):
+        for tag in ("article", "main"):
+            page = f"<body><nav>Menu</nav><div>Out of it</div><{tag}>{inside}</{tag}>outside words<p>more of them</p></body>"
+            assert html_text.main_text(page, weights).split("\n") == lines
+    assert html_text.main_text("<p>Out of it</p><article></article>", weights) == ""
+
+
 def test_best_region_is_the_maximum():
     rnd = random.Random(1)
     for _ in range(300):
