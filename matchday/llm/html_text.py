@@ -11,8 +11,10 @@ least INSIDE of a word, tags 0, so the region holds all of its text. A page with
 
 The region is widened to whole blocks, and elements that never hold main text are left out wherever they are:
 menus, headers of the page, footers, sidebars, notices, adverts, forms, scripts, styles and comments, by element name, role,
-class or id. References are decoded, white space inside a block becomes one space, blocks are joined in page order by one \\n.
-NULL or empty html gives an empty text. Repeated rows are extracted alike; other columns are kept.
+class or id. Math, the texts of drawings and the content of objects are part of the text around them. An element without an end
+tag ends with the block around it, or, in math and drawings, at the next tag of HTML; only what HTML reads as raw text goes on
+to the end of the page. References are decoded, white space inside a block becomes one space, blocks are joined in page order
+by one \\n. NULL or empty html gives an empty text. Repeated rows are extracted alike; other columns are kept.
 """
 
 from __future__ import annotations
@@ -33,19 +35,30 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
                    "tfoot th thead tr ul caption title head option select".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math canvas object".split())
-NEVER = frozenset("nav footer aside form button select input option menu dialog head fieldset audio video map".split()) | RAW
+#: Elements whose content HTML reads as text up to their end tag.
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
+#: Elements of other vocabularies, where a tag may close itself, and the start tags of HTML that end them.
+FOREIGN = frozenset("svg math".split())
+BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+                       "ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+#: Elements of other vocabularies that hold HTML.
+HOLDS_HTML = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
+#: Content of math and svg that is not shown.
+NOT_SHOWN = frozenset("annotation annotation-xml desc metadata defs symbol".split())
+NEVER = frozenset("nav footer aside form button select input option menu dialog head fieldset audio video map template canvas".split()) | RAW
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Elements that a start tag of the key closes when they are open in the same block (fixed values of HTML).
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 #: Words in class or id that name something other than main text (fixed values).
 NOT_MAIN = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|promotion|comment|comments|"
+    r"(?:^|(?<=[\s_-]))(ad|ads|adv|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|promotion|comment|comments|"
     r"commentlist|disqus|respond|replies|reply|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|pagination|pager|footer|foot|"
     r"header|masthead|sidebar|side|aside|rail|widget|related|recommended|cookie|cookies|consent|gdpr|notice|alert|popup|modal|"
     r"overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|toolbar|form|search|skip|hidden|copyright|legal|"
-    r"disclaimer|tags|tagcloud|toc)(?:$|[\s_-]|\d)", re.IGNORECASE)
+    r"disclaimer|tags|tagcloud|toc)(?=$|[\s_-]|\d)", re.IGNORECASE)
+#: Those that name no menu, header, footer, sidebar, notice, advert, form or comment: inside an article they leave nothing out.
+OUTSIDE_ONLY = frozenset("related recommended share sharing social skip copyright legal disclaimer tags tagcloud toc".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
                     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|([^<]+|<)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([^\s=\"'<>/]+)")
@@ -65,7 +78,8 @@ def _is_other(name: str, attributes: dict[str, str], in_main: bool) -> bool:
         return True
     if name in ("html", "body", "article", "main"):
         return False
-    return any(NOT_MAIN.search(attributes.get(a, "")) for a in ("class", "id"))
+    named = (m[1].lower() for a in ("class", "id") for m in NOT_MAIN.finditer(attributes.get(a, "")))
+    return any(not in_main or word not in OUTSIDE_ONLY for word in named)
 
 
 def tokens(page: str):
@@ -77,14 +91,26 @@ def tokens(page: str):
     out: list[tuple[str, str, int, bool, bool]] = []
     open_tags: list[tuple[str, bool, bool]] = []  # name, other, marked
     block, at, links, marked, other = 0, 0, 0, 0, 0
+    foreign = 0  # open svg and math elements
 
     def close(depth: int) -> None:
-        nonlocal links, marked, other
+        nonlocal links, marked, other, foreign
         while len(open_tags) > depth:
             name, is_other, is_marked = open_tags.pop()
             links -= name == "a"
             other -= is_other
             marked -= is_marked
+            foreign -= name in FOREIGN
+
+    def vocabulary() -> int | None:
+        """Place of the open math or svg element that the next tag belongs to; None in HTML."""
+        if foreign:
+            for i in range(len(open_tags) - 1, -1, -1):
+                if open_tags[i][0] in HOLDS_HTML:
+                    return None
+                if open_tags[i][0] in FOREIGN:
+                    return i
+        return None
 
     while at < len(page):
         m = _TOKEN.match(page, at)
@@ -114,8 +140,14 @@ def tokens(page: str):
                 links -= gone[0] == "a"
                 other -= gone[1]
                 marked -= gone[2]
+                foreign -= gone[0] in FOREIGN
             continue
-        if name in BLOCKS:
+        closed = (m[3] or "").rstrip().endswith("/")
+        inner = vocabulary()
+        if inner is not None and name in BREAKS_OUT:
+            close(inner)
+            inner = None
+        if name in BLOCKS and inner is None:
             block += 1
             for i in range(len(open_tags) - 1, -1, -1):
                 if open_tags[i][0] == "p":  # a block ends an open paragraph
@@ -127,22 +159,28 @@ def tokens(page: str):
                 if open_tags[i][0] in BLOCKS:
                     break
         attributes = _attributes(m[3]) if m[3] else {}
-        is_other = _is_other(name, attributes, marked > 0)
+        is_other = _is_other(name, attributes, marked > 0) or (inner is not None and name in NOT_SHOWN)
         is_marked = name in ("article", "main")
         out.append((f"<{name}", "", block, marked > 0, other > 0 or is_other))
-        if name in RAW:
+        if name in RAW and inner is None:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else len(page)
             continue
-        if name in VOID or (m[3] or "").rstrip().endswith("/"):
+        if name in VOID or closed:
             continue
         open_tags.append((name, is_other, is_marked))
         links += name == "a"
         other += is_other
         marked += is_marked
+        foreign += name in FOREIGN
     return out
 
 
+def _has_one_mark(found: list[tuple[str, str, int, bool, bool]]) -> bool:
+    """Whether exactly one article or main element is not inside an element that never holds main text."""
+    return sum(kind in ("<article", "<main") and not other for kind, _, _, _, other in found) == 1
+
+
 def _pieces(kind: str, text: str) -> int:
     return len(text.split()) if kind in ("word", "link", "text") else 1
 
@@ -150,8 +188,7 @@ def _pieces(kind: str, text: str) -> int:
 def count_tokens(page: str) -> dict[str, list[int]] | None:
     """``{kind: [inside, outside]}`` of a page with exactly one marked region; None for any other page."""
     found = tokens(page)
-    starts = sum(k in ("<article", "<main") for k, *_ in found)
-    if starts != 1:
+    if not _has_one_mark(found):
         return None
     out: dict[str, list[int]] = {}
     for kind, text, _, marked, other in found:
@@ -198,7 +235,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     if not page:
         return ""
     found = tokens(page)
-    one_mark = sum(k in ("<article", "<main") for k, *_ in found) == 1
+    one_mark = _has_one_mark(found)
     least = INSIDE * max(weights.get("word", 0.0), 0.2)
     scores = []
     for kind, text, _, marked, other in found:

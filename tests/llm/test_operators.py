@@ -117,6 +117,23 @@ def test_html_text_keeps_all_of_the_marked_article():
     assert html_text.main_text("<p>Out of it</p><article></article>", weights) == ""
 
 
+@pytest.mark.parametrize("inside, lines", [
+    ('<p>One <svg class="icon" viewBox="0 0 1 1"/> two</p><p>Three</p>', ["One two", "Three"]),
+    ("<p>One <math/> two</p><p>Three</p><svg></svg>", ["One two", "Three"]),
+    ("<p>One <svg><path d=x><p>Two<p>Three<svg><title/><g/></svg> four", ["One", "Two", "Three four"]),
+    ("<p>One <math><mi>x</mi><mo>=</mo><annotation>tex</annotation></math> two", ["One x= two"]),
+    ("<p>One <object data=x>two</p><p>Three", ["One two", "Three"]),
+    ("<svg><defs><style>a{}</style><title>no</title></defs><text>One</text></svg><p>Two", ["One", "Two"]),
+    ("<svg><foreignObject><p>One</p></foreignObject></svg><p>Two", ["One", "Two"]),
+    ("<p>One</p><template><article>no</article></template><canvas>no</canvas><p>Two", ["One", "Two"]),
+    ('<div class="legal related-tags">One</div><div class="notice">no</div><p id="share_1">Two', ["One", "Two"]),
+    ("<p>One<script>if (a</p>", ["One"]),
+])
+def test_html_text_elements_without_an_end_tag(inside, lines):
+    page = f"<body><div>Out of it</div><article>{inside}</article><div>outside words</div></body>"
+    assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS).split("\n") == lines
+
+
 def test_best_region_is_the_maximum():
     rnd = random.Random(1)
     for _ in range(300):
