@@ -5,8 +5,9 @@ A url's host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the
 path starts with the rule's path; the longest host wins, then the longest path.
 
 Mined rules: the tokens of labelled urls (host names and endings, path words) and the label are the baskets; FP-growth
-finds the frequent combinations, and those that foretell a bad label with enough support and confidence are the rules. A
-rule is pruned if a part of it foretells at least as surely. Rules are matched by an inverted index: each rule
+finds the frequent combinations of every length, and those that foretell a bad label with enough support and confidence, and
+surer than a url without any token known (if not all labelled urls are bad), are the rules. A rule is pruned if a part of it
+foretells at least as surely. Rules are matched by an inverted index: each rule
 is filed under its rarest token, urls look up their tokens, and a found rule applies if the url has all its tokens.
 
 Urls without a rule are allowed unless a mined rule applies. Support bounds the number of frequent tokens (tokens of a url /
@@ -23,8 +24,6 @@ from pyspark.sql import functions as F
 from matchday.llm.common import stored
 
 BAD = "label:bad"
-#: Longest token combination that is mined.
-MAX_RULE = 3
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -57,8 +56,7 @@ def url_tokens(host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(F.coalesce(endings, F.array().cast("array<string>")), words))
 
 
-def mine_rules(baskets: DataFrame, min_support: float = 0.0005, min_confidence: float = 0.6,
-               min_lift: float = 2.0) -> DataFrame:
+def mine_rules(baskets: DataFrame, min_support: float = 0.0005, min_confidence: float = 0.6) -> DataFrame:
     """``(tokens, support, confidence)`` of the rules from ``baskets`` of ``(tokens, bad)``."""
     n = baskets.count()
     if n == 0:
@@ -67,17 +65,16 @@ def mine_rules(baskets: DataFrame, min_support: float = 0.0005, min_confidence:
     # Of a url with a bad label; the sets without the label give the denominators.
     items = baskets.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
     growth = FPGrowth(itemsCol="items", minSupport=max(min_support, 5.0 / n), minConfidence=min_confidence)
+    # Lift above 1; where every labelled url is bad, a sure rule passes too.
     rules = growth.fit(items).associationRules.filter(
-        (F.size("consequent") == 1) & (F.element_at("consequent", 1) == BAD) & (F.size("antecedent") <= MAX_RULE)
-        & (F.col("confidence") >= min_lift * share))
+        (F.size("consequent") == 1) & (F.element_at("consequent", 1) == BAD)
+        & ((F.col("confidence") > share) | (F.col("confidence") == 1)))
     rules = stored(rules.select(F.array_sort("antecedent").alias("tokens"), "support", "confidence"), "url-rules")
-    # A rule with a part that is as sure says nothing new: its parts are listed and looked up.
-    parts = rules.select("tokens", "confidence", F.explode(F.transform(
-        F.sequence(F.lit(1), F.lit(2**MAX_RULE - 2)),
-        lambda mask: F.filter("tokens", lambda t, i: (F.floor(mask / F.pow(F.lit(2.0), i)) % 2) == 1))).alias("part"))
-    parts = parts.filter((F.size("part") > 0) & (F.size("part") < F.size("tokens"))).distinct()
-    better = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("sure"))
-    useless = parts.join(better, "part").filter(F.col("sure") >= F.col("confidence")).select("tokens").distinct()
+    # A rule with a part that is as sure says nothing new: rules look up their parts as urls look up rules.
+    parts = indexed_rules(rules, baskets).select("token", F.col("tokens").alias("part"), F.col("confidence").alias("sure"))
+    useless = rules.select("tokens", "confidence", F.explode("tokens").alias("token")).join(parts, "token").filter(
+        (F.size("part") < F.size("tokens")) & (F.col("sure") >= F.col("confidence"))
+        & (F.size(F.array_except("part", "tokens")) == 0)).select("tokens").distinct()
     return rules.join(useless, "tokens", "left_anti")
 
 

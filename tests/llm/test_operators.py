@@ -184,6 +184,26 @@ def test_url_filter(spark):
     assert {r["verdict"] for r in none} == {"allow"}
 
 
+def test_url_rules_of_any_length_and_share(spark):
+    words = ["one", "two", "three", "four"]
+    urls = [(f"http://b{i}.net/{'/'.join(words)}/{i}", True) for i in range(12)]
+    urls += [(f"http://g{w}{i}.net/{'/'.join(x for x in words if x != w)}", False) for w in words for i in range(12)]
+    urls += [(f"http://s{i}.net/sure/five/six", True) for i in range(12)] + [(f"http://t{i}.net/five/six", False) for i in range(8)]
+    labelled = spark.createDataFrame(urls, "url string, bad boolean")
+    pages = spark.createDataFrame(
+        [(0, "http://x.net/four/three/two/one"), (1, "http://x.net/one/two/three"), (2, "http://x.net/sure/five/six"),
+         (3, "http://x.net/five/six")], "page_id long, url string")
+    out = {r["page_id"]: (r["verdict"], r["mined_rules"], r["mined_confidence"]) for r in url_filter.judge(pages, labelled, []).collect()}
+    assert out == {0: ("block", 1, 1.0), 1: ("allow", 0, None), 2: ("block", 3, 1.0), 3: ("block", 2, 0.6)}
+    for good in (0, 5, 20):  # shares of 1, 0.86 and 0.6
+        labelled = spark.createDataFrame(
+            [(f"http://b{i}.net/casino/{i}", True) for i in range(30)] + [(f"http://g{i}.net/news/", False) for i in range(good)],
+            "url string, bad boolean")
+        pages = spark.createDataFrame([(0, "http://x.net/casino"), (1, "http://x.net/news")], "page_id long, url string")
+        out = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages, labelled, []).collect()}
+        assert out == {0: "block", 1: "allow"}
+
+
 def test_knn_equals_brute_force(spark):
     rnd = np.random.default_rng(3)
     vectors = [[float(x) for x in rnd.normal(size=8)] for _ in range(150)]
