@@ -20,7 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that 10 or more of them hold."""
-    return line_dedup.drop_frequent_lines(docs).select(*docs.columns)
+    return line_dedup.without_frequent_lines(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,6 +42,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def others(df: DataFrame, *own: str) -> list[str]:
+    """Columns of ``df`` without those named like an operator's ``own``, in any case (Spark's names ignore it)."""
+    taken = {name.lower() for name in own}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchday.llm.common import others
 
 #: Element names by role (fixed values of HTML).
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -306,7 +307,8 @@ def learn_weights(pages: DataFrame, max_pages: int = 2000) -> dict[str, float]:
 
 
 def extract(pages: DataFrame, weights: dict[str, float], column: str = "text") -> DataFrame:
-    """``pages`` with the main text of each whole html."""
+    """``pages`` with the main text of each whole html, in place of a ``column`` of theirs (not html)."""
+    pages = pages.select(*others(pages, column))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -7,7 +7,7 @@ merge anti joins on the hash.
 Lines are split at \\n. A line's key is the line without white space at its ends (U+0020, U+0009 to U+000D), A-Z
 lower-cased; its hash has 64 bits. A NULL or empty text has one empty line. Keys shorter than ``min_chars`` code points are
 never dropped. Repeated rows count as documents of their own. An empty table gives an empty result. All input
-columns are kept; the operator's own columns may not be among them (``n_lines``, ``n_dropped``).
+columns are kept, but the counts of ``drop_frequent_lines`` stand in place of columns named like them.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchday.llm.common import new_path, stored
+from matchday.llm.common import new_path, others, stored
 
 _STRIP = b" \t\n\x0b\x0c\r"
 #: A key in more than 1 / HOT of all documents is looked up by broadcast. A document with k lines has at most k keys, so
@@ -132,7 +132,7 @@ def _drop(min_chars: int):
                     text = "\n".join(lines)
                 texts.append(text)
                 n_dropped.append(n_lines[-1] - len(lines))
-            yield batch.drop(columns=["__gone"]).assign(text=texts, n_lines=n_lines, n_dropped=n_dropped)
+            yield batch.drop(columns=["__gone"]).assign(text=texts, __n_lines=n_lines, __n_dropped=n_dropped)
 
     return run
 
@@ -140,8 +140,21 @@ def _drop(min_chars: int):
 def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4) -> DataFrame:
     """``docs`` without the lines whose key is in at least ``min_docs`` documents; the other lines stay, joined by \\n.
 
-    Adds ``n_lines`` (before dropping) and ``n_dropped``. A text that loses nothing is unchanged (NULL stays NULL).
+    Adds ``n_lines`` (before dropping) and ``n_dropped``, in place of columns of these names in ``docs``. A text that loses
+    nothing is unchanged (NULL stays NULL).
     """
+    left = _left(docs, min_docs, min_chars, batches)
+    return left.select(*others(docs, "n_lines", "n_dropped"), F.col("__n_lines").alias("n_lines"),
+                       F.col("__n_dropped").alias("n_dropped"))
+
+
+def without_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4) -> DataFrame:
+    """As ``drop_frequent_lines``, with the columns of ``docs`` and no counts."""
+    return _left(docs, min_docs, min_chars, batches).select(*docs.columns)
+
+
+def _left(docs: DataFrame, min_docs: int, min_chars: int, batches: int) -> DataFrame:
+    """``docs`` after dropping, with ``__n_lines`` and ``__n_dropped``."""
     spark = docs.sparkSession
     lines = stored(line_table(docs, min_chars), "lines")
     runs = add_batches(LineRuns(spark), lines, batches)
@@ -150,4 +163,4 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     marked = docs.withColumn("__key", _row_key()).join(
         gone.select(F.col("key").alias("__key"), F.col("hashes").alias("__gone")), "__key", "left")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return marked.select(*docs.columns, "__gone").mapInPandas(_drop(min_chars), f"{schema}, n_lines long, n_dropped long")
+    return marked.select(*docs.columns, "__gone").mapInPandas(_drop(min_chars), f"{schema}, __n_lines long, __n_dropped long")

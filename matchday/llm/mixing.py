@@ -21,9 +21,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchday.llm.common import word_count
+from matchday.llm.common import others, word_count
 
 SPREAD = 4096
+#: The columns of a plan.
+PLAN = ("size", "source_size", "target", "copies")
 
 
 def _before(value: Column, window) -> Column:
@@ -49,13 +51,20 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap:
 
 def planned_copies(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: float = 2.0,
                    seed: str = "mix") -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` (0 to ``cap``, rounded up)."""
+    """``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` (0 to ``cap``, rounded up), in place of columns of
+    these names in ``docs``; ``mix_sources`` returns those of ``docs``."""
+    planned = _planned(docs, weights, share, cap, seed)
+    return planned.select(*others(docs, *PLAN), *[F.col(f"__{name}").alias(name) for name in PLAN])
+
+
+def _planned(docs: DataFrame, weights, share: float, cap: float, seed: str) -> DataFrame:
+    """``docs`` with ``__size``, ``__source_size``, ``__target`` and ``__copies``."""
     src = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
     keyed = docs.select(
-        "*", word_count(F.col("text")).alias("size"), src.alias("__src"),
+        "*", word_count(F.col("text")).alias("__size"), src.alias("__src"),
         F.coalesce(F.pmod(F.col("doc_id"), F.lit(SPREAD)),
                    F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")) % SPREAD).alias("__part"))
-    per_part = keyed.groupBy(F.col("__src").alias("src"), "size", F.col("__part").alias("part")).agg(
+    per_part = keyed.groupBy(F.col("__src").alias("src"), F.col("__size").alias("size"), F.col("__part").alias("part")).agg(
         F.count(F.lit(1)).alias("n"))
     per_size = per_part.groupBy("src", "size").agg(F.sum("n").alias("n"))
     targets = source_targets(per_size.groupBy("src").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")),
@@ -68,20 +77,21 @@ def planned_copies(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap:
     starts = per_part.withColumn(
         "earlier", _before(F.col("n"), Window.partitionBy("src", "size").orderBy("part"))).join(
         per_size, ["src", "size"]).select(
-        F.col("src").alias("__src"), "size", F.col("part").alias("__part"), "source_size", "target",
+        F.col("src").alias("__src"), F.col("size").alias("__size"), F.col("part").alias("__part"),
+        F.col("source_size").alias("__source_size"), F.col("target").alias("__target"),
         (F.col("shorter") + F.col("earlier")).alias("__start"), F.col("rate").alias("__rate"),
         F.col("offset").alias("__offset"))
     ranked = keyed.withColumn("__rank", F.row_number().over(
-        Window.partitionBy("__src", "size", "__part").orderBy("doc_id")))
+        Window.partitionBy("__src", "__size", "__part").orderBy("doc_id")))
     place = F.col("__start") + F.col("__rank")
     reach = lambda p: F.floor(F.col("__offset") + p * F.col("__rate"))
     copies = F.least(reach(place) - reach(place - 1), F.lit(math.ceil(cap)))
-    return ranked.join(starts, ["__src", "size", "__part"]).select(
-        *docs.columns, "size", "source_size", "target", copies.cast("int").alias("copies"))
+    return ranked.join(starts, ["__src", "__size", "__part"]).select(
+        *docs.columns, "__size", "__source_size", "__target", copies.cast("int").alias("__copies"))
 
 
-def mix_sources(docs: DataFrame, **options) -> DataFrame:
+def mix_sources(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: str = "mix") -> DataFrame:
     """The mix itself: each row of ``docs`` as often as ``planned_copies`` says, with the columns of ``docs``."""
-    planned = planned_copies(docs, **options).filter(F.col("copies") > 0)
-    return planned.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")).select(
+    planned = _planned(docs, weights, share, cap, seed).filter(F.col("__copies") > 0)
+    return planned.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).select(
         *docs.columns)

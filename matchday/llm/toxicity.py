@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchday.llm.common import held_out, stored
+from matchday.llm.common import held_out, others, stored
 
 _WORDS = re.compile(r"\w+")
 _BEGINNINGS = (5, 6)
@@ -143,7 +143,8 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = 2000, max_unla
 
 
 def score_documents(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
-    """``docs`` with the score of each whole text."""
+    """``docs`` with the score of each whole text, in place of a ``column`` of theirs (not text)."""
+    docs = docs.select(*others(docs, column))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

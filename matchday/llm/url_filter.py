@@ -21,7 +21,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchday.llm.common import stored
+from matchday.llm.common import others, stored
 
 BAD = "label:bad"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -89,13 +89,14 @@ def indexed_rules(rules: DataFrame, baskets: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str, str]], **options) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict``, ``mined_rules`` (number) and ``mined_confidence``.
 
-    ``labelled`` has ``(url, bad)``.
+    They stand in place of columns of these names in ``pages``. ``labelled`` has ``(url, bad)``.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     baskets = stored(labelled.filter(F.col("bad").isNotNull()).select(
         url_tokens(host, path).alias("tokens"), F.col("bad")).filter(F.size("tokens") > 0), "url-baskets")
     index = stored(indexed_rules(mine_rules(baskets, **options), baskets), "url-index")
-    parted = pages.withColumn("host", host).withColumn("path", path)
+    columns = others(pages, "host", "path", "rule", "verdict", "mined_rules", "mined_confidence")
+    parted = pages.select(*columns, host.alias("host"), path.alias("path"))
     # Urls with the same tokens are judged once; a token that many of them have meets few rules, and Spark sends the small
     # side to all.
     tokens = url_tokens(F.col("host"), F.col("path"))
@@ -107,5 +108,5 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str, str
     rule, verdict = given_rule(F.col("host"), F.col("path"), rules)
     mined = F.when(F.col("mined_rules") > 0, F.lit("block")).otherwise(F.lit("allow"))
     return keyed.join(found, "__key", "left").select(
-        *pages.columns, "host", "path", rule.alias("rule"), F.coalesce(verdict, mined).alias("verdict"),
+        *columns, "host", "path", rule.alias("rule"), F.coalesce(verdict, mined).alias("verdict"),
         F.coalesce("mined_rules", F.lit(0)).alias("mined_rules"), "mined_confidence")

@@ -332,6 +332,37 @@ def test_line_dedup(spark, nothing):
     assert line_dedup.drop_frequent_lines(nothing).count() == 0
 
 
+def test_columns_named_like_those_of_the_operators(spark, docs):
+    """Extra columns of any name: operators put their own in place, whatever returns documents keeps those of the input."""
+    names = ["N_lines", "n_dropped", "source_size", "target", "copies", "score", "__n"]
+    more = docs.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    known = spark.createDataFrame([(1, 0), (4, 1)], "doc_id long, toxic int")
+    rows = lambda df: sorted(df.drop("text").collect(), key=str)
+    same = lambda a, b: a.columns == b.columns and rows(a) == rows(b)
+    planned = mixing.planned_copies(more)
+    assert len({c.lower() for c in planned.columns}) == len(planned.columns) == len(more.columns)
+    expected = by_id(mixing.planned_copies(docs.drop("size")))
+    assert {i: [r[c] for c in mixing.PLAN] for i, r in by_id(planned).items()} == {
+        i: [r[c] for c in mixing.PLAN] for i, r in expected.items()}
+    mix = mixing.mix_sources(more)
+    assert mix.columns == more.columns
+    ids = collections.Counter(r["doc_id"] for r in mix.collect())
+    assert ids == {i: r["copies"] for i, r in expected.items() if r["copies"]}
+    assert {(r["size"], r["copies"] == f"copies {r['doc_id']}", r["target"] == f"target {r['doc_id']}") for r in mix.collect()} == {
+        ("clash", True, True)}
+    lines, plain = line_dedup.drop_frequent_lines(more), line_dedup.drop_frequent_lines(docs)
+    assert len(lines.columns) == len(more.columns)
+    assert same(lines.select(*plain.columns), plain) and same(line_dedup.without_frequent_lines(more), more)
+    scored = toxicity.score_documents(more, toxicity.Model({}, 0.0))
+    assert len(scored.columns) == len(more.columns) and dict(scored.dtypes)["score"] == "double"
+    assert same(toxicity.drop_toxic(more, known, threshold=2.0), more)
+    pages = spark.createDataFrame([(1, "<p>words", "http://a.org/x", "mine")], "page_id long, html string, url string, Text string")
+    assert [tuple(r) for r in html_text.extract(pages, html_text.DEFAULT_WEIGHTS).collect()] == [(1, "<p>words", "http://a.org/x", "words")]
+    judged = url_filter.judge(pages.withColumnRenamed("Text", "path").withColumn("rule", F.lit(1)), pages.select(
+        "url", F.lit(None).cast("boolean").alias("bad")), queries.URL_RULES).first()
+    assert (judged["path"], judged["rule"], judged["verdict"], len(judged)) == ("/x", "org/", "allow", 9)
+
+
 def test_line_runs_are_compacted_and_find_new_lines(spark):
     runs = line_dedup.LineRuns(spark, fanout=2)
     for batch in range(5):
