@@ -1,8 +1,9 @@
 """Line dedup by levelled sorted runs of line hashes.
 
-A run is a Parquet table of (line hash, documents holding it), sorted by hash. Each batch of documents adds one run at
-the lowest level; a level with ``fanout`` runs is compacted into one run of the next. A batch is compared with the runs by
-merge anti joins on the hash.
+A run is a Parquet table of (line hash, documents holding it, whether first seen there), sorted by hash. Each batch of documents
+is compared with the runs by merge anti joins on the hash, and adds one run at the lowest level: its new hashes, marked
+``first``, and the counts of the known ones. A level with ``fanout`` runs is compacted into one run of the next, where the
+counts of a hash are added up. So each hash is ``first`` in exactly one run, whatever the number of batches.
 
 Lines are split at \\n. A line's key is the line without white space at its ends (U+0020, U+0009 to U+000D), A-Z
 lower-cased; its hash has 64 bits. A NULL or empty text has one empty line. Keys shorter than ``min_chars`` code points are
@@ -62,7 +63,11 @@ class LineRuns:
 
     def add(self, lines: DataFrame) -> None:
         """Add the run of one batch: one row of ``lines`` for each document and hash."""
-        self.levels[0].append(self._write(lines.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))))
+        counts = lines.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+        batch = self.unseen(counts).select("hash", "n", F.lit(True).alias("first"))
+        for first in self._firsts():  # they share no hash
+            batch = batch.unionByName(counts.join(first, "hash", "left_semi").withColumn("first", F.lit(False)))
+        self.levels[0].append(self._write(batch))
         level = 0
         while len(self.levels[level]) >= self.fanout:
             merged = self._write(self._summed(self.levels[level]))
@@ -74,10 +79,14 @@ class LineRuns:
 
     def unseen(self, lines: DataFrame) -> DataFrame:
         """Rows of ``lines`` whose hash is in no run."""
-        for run in self.runs():
-            lines = lines.join(run.select("hash"), "hash", "left_anti")
+        for first in self._firsts():
+            lines = lines.join(first, "hash", "left_anti")
         return lines
 
+    def _firsts(self) -> list[DataFrame]:
+        """Hashes that are first in each run, for merge joins."""
+        return [run.filter("first").select("hash").hint("merge") for run in self.runs()]
+
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
@@ -85,10 +94,10 @@ class LineRuns:
         all_rows = runs[0]
         for run in runs[1:]:
             all_rows = all_rows.unionByName(run)
-        return all_rows.groupBy("hash").agg(F.sum("n").alias("n"))
+        return all_rows.groupBy("hash").agg(F.sum("n").alias("n"), F.bool_or("first").alias("first"))
 
     def counts(self) -> DataFrame:
-        return self._summed(self.runs())
+        return self._summed(self.runs()).select("hash", "n")
 
 
 def _row_key():

@@ -373,6 +373,22 @@ def test_line_runs_are_compacted_and_find_new_lines(spark):
     assert {r["hash"]: r["n"] for r in runs.counts().collect()} == {0: 1, 1: 1, 2: 1, 3: 1, 4: 1, 7: 5}
 
 
+def test_every_batch_of_lines_goes_through_the_runs(spark, docs):
+    lines = line_dedup.line_table(docs)
+    rnd = random.Random(4)
+    more = spark.createDataFrame([(k, rnd.randrange(40)) for k in range(300)], "key long, hash long")
+    lines = lines.unionByName(more)
+    expected = collections.Counter(r["hash"] for r in lines.collect())
+    runs = line_dedup.add_batches(line_dedup.LineRuns(spark, fanout=3), lines, 5)
+    assert [len(level) for level in runs.levels] == [2, 1]
+    rows = [r for run in runs.runs() for r in run.collect()]
+    assert sorted(r["hash"] for r in rows if r["first"]) == sorted(expected)
+    assert any(not r["first"] for r in rows)
+    assert {r["hash"]: r["n"] for r in runs.counts().collect()} == expected
+    plan = runs.unseen(line_dedup.line_table(docs))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 3 and plan.count("LeftAnti") == 3
+
+
 def test_near_dedup_comparison_by_low_bits_loses_no_pair():
     """Many small blocks and one large, against the estimate of every pair of a stray and a member of another component."""
     rng = np.random.default_rng(3)
