@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +18,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a new local one where none is set (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or a new local one where none is set (local mode only)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         made = spark.sparkContext._jsc.sc().getCheckpointDir()
         if made.isEmpty():
+            master = spark.sparkContext.master
+            if not (master == "local" or master.startswith("local[")):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="checkpoint-"))
             made = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = made.get()
@@ -98,3 +103,51 @@ def only(df: DataFrame, ids: DataFrame, column: str, how: str = "left_semi", mos
     """
     ids = ids.select(column)
     return df.join(F.broadcast(ids) if ids.count() <= most else ids.hint("shuffle_merge"), column, how)
+
+
+def text_slices(texts: list[bytes | None], most: int) -> Iterator[tuple[int, int]]:
+    """Consecutive stretches of ``texts`` of at most ``most`` bytes together, but one text at least."""
+    start = size = 0
+    for at, text in enumerate(texts):
+        size += len(text or b"")
+        if size > most and at > start:
+            yield start, at
+            start, size = at, len(text or b"")
+    if start < len(texts):
+        yield start, len(texts)
+
+
+_DDL = {pa.int64(): "bigint", pa.int32(): "int", pa.float64(): "double", pa.string(): "string", pa.binary(): "binary", pa.bool_(): "boolean"}
+
+
+def ddl(kind: pa.DataType) -> str:
+    """The Spark name of an Arrow type."""
+    if pa.types.is_list(kind):
+        return f"array<{ddl(kind.value_type)}>"
+    if pa.types.is_struct(kind):
+        return f"struct<{', '.join(f'`{f.name}`: {ddl(f.type)}' for f in kind)}>"
+    return _DDL[kind]
+
+
+def map_texts(docs: DataFrame, column: str, keep: list[str], fields: dict[str, pa.DataType],
+              make: Callable[[], Callable[[list[bytes], pa.RecordBatch], list]], most: int = 4_000_000) -> DataFrame:
+    """``keep`` columns of ``docs``, unchanged, with ``fields`` that a function gives for whole texts.
+
+    ``make`` builds the function once a task. It is called with UTF-8 texts (NULL as empty) of at most ``most`` bytes together, or one
+    longer text, and their kept rows, and returns a tuple of field values for each text.
+    """
+    kept = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = make()
+        for batch in batches:
+            texts = batch.column(len(keep)).cast(pa.binary()).to_pylist()
+            for start, end in text_slices(texts, most):
+                rows = batch.slice(start, end - start)
+                columns = zip(*function([t or b"" for t in texts[start:end]], rows))
+                found = [pa.array(values, type=kind) for values, kind in zip(columns, fields.values())]
+                yield pa.RecordBatch.from_arrays([*rows.columns[:len(keep)], *found], names=[*keep, *fields])
+
+    text = F.col(f"`{column}`").cast("string").alias("__text")
+    return docs.select(*[F.col(f"`{c}`") for c in keep], text).mapInArrow(
+        run, ", ".join([*kept, *(f"`{name}` {ddl(kind)}" for name, kind in fields.items())]))

@@ -64,5 +64,31 @@ SELECT * FROM r WHERE rank <= 20
 """
 
 
+OP13 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS d, doc_id, unnest(regexp_extract_all(
+           {_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+t AS (SELECT d, doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+l AS (SELECT d, sum(tf)::BIGINT AS n FROM t GROUP BY d),
+a AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM l),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+i AS (
+  SELECT i, item_id, term, count(*) AS times FROM (
+    SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+             {_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL),
+w AS (
+  SELECT i, item_id, term, times * CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w
+  FROM i JOIN f USING (term), a),
+s AS (
+  SELECT i, item_id, d, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::BIGINT AS score
+  FROM w JOIN t USING (term) JOIN l USING (d), a GROUP BY ALL),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_knn": OP5, "op8_mixing": OP8, "op10_line_dedup": OP10}
+    return {"op5_knn": OP5, "op8_mixing": OP8, "op10_line_dedup": OP10, "op13_lexical_search": OP13}

@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 import hashlib
 import os
+import zlib
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchday.llm import (
-    bpe, fingerprints, html_text, knn, line_dedup, mixing, near_dedup, ngram_lm, toxicity, url_filter,
+    bpe, fingerprints, html_text, knn, lexical_search, license_scan, line_dedup, mixing, near_dedup, ngram_lm, periodic_runs,
+    toxicity, url_filter,
 )
 from matchday.llm.common import held_out, table
 
@@ -102,6 +105,58 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+#: The phrases whose unchanged places op11 counts, all in license_scan.NOTICES too (fixed values of its contract).
+BASE_NOTICES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
+
+
+def _notice_digest(n_words: int, hits: list[license_scan.Hit]) -> tuple:
+    base = [h for h in hits if h.edits == 0 and h.notice in BASE_NOTICES]
+    starts = [h.first_word for h in base]
+    joined = lambda labels: ",".join(sorted(set(labels)))
+    return (n_words, len(base), min(starts, default=None), max(starts, default=None), joined(h.label for h in base),
+            joined(h.label for h in hits), max((h.likeness for h in hits), default=0.0))
+
+
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = {"n_words": pa.int64(), "n_base": pa.int64(), "first_word": pa.int64(), "last_word": pa.int64(),
+              "base_labels": pa.string(), "labels": pa.string(), "score": pa.float64()}
+    return license_scan.scan_notices(table(spark, sf_dir, "documents"), keep=["doc_id"], finish=_notice_digest, fields=fields)
+
+
+def repeated_words(text: bytes, row: tuple) -> list[bytes]:
+    """The words of op12: in every tenth document by crc32 of its id, those from place a on repeat p of them."""
+    words, (doc_id,) = text.split(), row
+    crc = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if crc % 10 or not words:
+        return words
+    g, n = crc // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * ((n - a) // p + 1))[:n - a]
+
+
+def _run_digest(words: list[bytes], runs: list[periodic_runs.Run], kept: list[bytes]) -> tuple:
+    start, length, period = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+    listed = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    return (len(runs), start, length, period, 1000 * length // period if runs else None,
+            hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(b" ".join(kept)).hexdigest())
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A NULL doc_id has no decimal form: its words stay as they are."""
+    fields = dict.fromkeys(("n_runs", "start", "length", "period", "exponent_milli"), pa.int64()) | dict.fromkeys(
+        ("runs_sha256", "collapsed_sha256"), pa.string())
+    return periodic_runs.find_runs(table(spark, sf_dir, "documents"), least=6, times=4, keep=["doc_id"], words_of=repeated_words,
+                                   finish=_run_digest, fields=fields)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op2_html_text": op2_html_text, "op3_bpe": op3_bpe, "op4_url_filter": op4_url_filter, "op5_knn": op5_knn,
-            "op6_ngram_lm": op6_ngram_lm, "op7_near_dedup": op7_near_dedup, "op8_mixing": op8_mixing, "op9_toxicity": op9_toxicity, "op10_line_dedup": op10_line_dedup}
+    return {"op1_fingerprints": op1_fingerprints, "op2_html_text": op2_html_text, "op3_bpe": op3_bpe,
+            "op4_url_filter": op4_url_filter, "op5_knn": op5_knn, "op6_ngram_lm": op6_ngram_lm, "op7_near_dedup": op7_near_dedup,
+            "op8_mixing": op8_mixing, "op9_toxicity": op9_toxicity, "op10_line_dedup": op10_line_dedup,
+            "op11_license_scan": op11_license_scan, "op12_periodic_runs": op12_periodic_runs,
+            "op13_lexical_search": op13_lexical_search}
