@@ -78,7 +78,8 @@ class Scanner:
             if notice.phrase.encode().translate(_WORDS).split() != notice.phrase.encode().split() or not notice.phrase.strip():
                 raise ValueError(f"not lower-case words: {notice.phrase!r}")
         self.notices = notices
-        self.patterns = [regex.compile(f"(?b)(?<= )(?:{regex.escape(n.phrase, literal_spaces=True)}){{e<={n.edits}}}(?= )")
+        # The space before is part of the match: a search allows no insertion where it starts.
+        self.patterns = [regex.compile(f"(?b) (?:{regex.escape(n.phrase, literal_spaces=True)}){{e<={n.edits}}}(?= )")
                          for n in notices]
         self.short = [{w for w in n.phrase.split() if len(w) <= SHORT} for n in notices]
         self.seeds: dict[str, list[tuple[int, int]]] = {}
@@ -95,8 +96,9 @@ class Scanner:
                 text = bisect_right(starts, at) - 1
                 for i, offset in uses:
                     slack, size = self.notices[i].edits, len(self.notices[i].phrase)
-                    # One more character on the right, for the border that a match ends at.
-                    found.add((i, max(at - offset - slack, starts[text]), min(at - offset + size + slack + 1, ends[text])))
+                    # One more character on either side, for the borders of a match.
+                    first, end = at - offset - slack - 1, at - offset + size + slack + 1
+                    found.add((i, max(first, starts[text]), min(end, ends[text])))
                 at = joined.find(piece, at + 1)
         return found
 
@@ -115,7 +117,7 @@ class Scanner:
         for i, first, end in self._windows(joined, starts, ends):
             match = self.patterns[i].search(joined, first, end)
             if match and self.short[i] <= set(match[0].split()):
-                found[i, match.start(), match.end()] = sum(match.fuzzy_counts)
+                found[i, match.start() + 1, match.end()] = sum(match.fuzzy_counts)
         hits: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
         taken: list[list[tuple[int, int]]] = [[] for _ in self.notices]
         # Of overlapping matches of one notice, that with the fewest edits stays.

@@ -9,7 +9,7 @@ import corpus_pipeline
 from matchday.llm import oracles, queries
 from matchday.llm.common import table
 
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "benchmark")
 
 
 @pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
