@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from matchday.operators.slices import SLICE, range_slices
+
 RANK = "__rank"
 
 
@@ -95,3 +97,19 @@ def current_or_next(df: DataFrame, current: Column, following: Column, order_by:
 def ranked(df: DataFrame, score: str, tie_break: Sequence[str]) -> DataFrame:
     """Global order by score. A range-partitioned sort: use it on final results only."""
     return df.orderBy(F.col(score).desc(), *ordering(tie_break))
+
+
+def global_rank(df: DataFrame, score: str, tie_break: Sequence[str], rank: str = "place", slices: int | None = None) -> DataFrame:
+    """Every row with its place by score, highest first, NULL last, then by ``tie_break``.
+
+    Rows are numbered within range slices, and a slice adds the sizes of those before it: one small row per slice, no window over all
+    rows. Rows that ``tie_break`` does not tell apart are numbered in any order."""
+    order = [F.col(score).desc_nulls_last(), *ordering(tie_break)]
+    sliced = range_slices(df, order, slices)
+    sizes = sliced.groupBy(SLICE).agg(F.count(F.lit(1)).alias("__size"))
+    earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(SLICE, F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__offset"))
+    within = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
+    # One offset per slice: a lookup that does not grow with the rows.
+    placed = sliced.withColumn(RANK, within).join(F.broadcast(offsets), SLICE)
+    return placed.select(*df.columns, (F.col(RANK) + F.col("__offset")).alias(rank))

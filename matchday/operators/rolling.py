@@ -1,9 +1,7 @@
 """Rolling aggregates over the last n rows, safe for very long keys.
 
-A plain window puts each key on one task. Long keys are therefore cut into
-consecutive chunks of their order; a chunk receives the n-1 rows that precede it
-(its carry), so every row still sees its whole frame. Ordinary keys are one chunk
-and need no carry.
+A plain window puts each key on one task. Here the rows are cut into slices of (keys, order); a slice receives the n-1 rows that
+precede it (its carry), so every row still sees its whole frame, and no task holds more than a slice.
 """
 
 from __future__ import annotations
@@ -13,149 +11,37 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is long if it has more rows than SPLIT_ROWS and more than one
-# MAX_LONG-th of all rows, so there are fewer than MAX_LONG of them.
-SPLIT_ROWS = 5_000_000
-MAX_LONG = 10_000
+from matchday.operators.slices import SLICE, range_slices
 
-# Chunks are cut in rounds. The first looks at the first order column only; a chunk
-# that is still long is then cut again over its own narrower range, or over the next
-# order column if it holds a single order value.
-ROUNDS = 2
-FANOUT = 1 << 20
-
-CHUNK = "__chunk"
 CARRIED = "__carried"
 
 
-def _position(df: DataFrame, column: str) -> Column:
-    """An order column as a number, so that chunks can be cut by width; NULL for types
-    without one."""
-    kind = dict(df.dtypes)[column]
-    value = F.col(column)
-    if kind == "timestamp_ntz":
-        # Not by way of a timestamp: a clock change would break the order.
-        day = F.unix_date(value.cast("date")).cast("double")
-        seconds = F.extract(F.lit("SECOND"), value).cast("double")
-        return day * 86400 + F.hour(value) * 3600 + F.minute(value) * 60 + seconds
-    if kind == "date":
-        return F.unix_date(value).cast("double")
-    if kind in ("string", "binary") or kind.startswith(("array", "struct", "interval")):
-        return F.lit(None).cast("double")
-    return value.cast("double")
-
-
-def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], split_rows: int, share_of_all: Column | None,
-         first: bool) -> tuple[DataFrame, Column]:
-    """One round: number the parts of every long cell within the chunk number so far.
-
-    The cut points come from count/min/max per cell, which are the same in every
-    evaluation. The lookup has fewer than MAX_LONG rows by construction, so
-    broadcasting it is safe at any input size."""
-    cell = list(keys) if first else [*keys, CHUNK]
-    rows = df if first else df.filter(F.col(CHUNK).isNotNull())
-    stats = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(order):
-        number = _position(df, c)
-        number = F.when(~F.isnan(number), number)
-        stats += [
-            F.min(number).alias(f"__lo{i}"), F.max(number).alias(f"__hi{i}"),
-            ((F.count(c) == 0) | ((F.count(c) == F.count(F.lit(1))) & (F.min(c) == F.max(c)))).alias(f"__flat{i}"),
-        ]
-    sizes = rows.groupBy(*cell).agg(*stats)
-    if share_of_all is None:
-        share_of_all = sizes.agg(F.sum("__n") / MAX_LONG).scalar()
-    varying = F.coalesce(*[F.when(~F.col(f"__flat{i}"), F.lit(i)) for i in range(len(order))])
-    at = F.col("__at")
-    long_cells = F.broadcast(
-        sizes.filter((F.col("__n") > split_rows) & (F.col("__n") > share_of_all))
-        .withColumn("__at", F.coalesce(varying, F.lit(0)))
-        .select(
-            *[F.col(c).alias(f"__cell_{c}") for c in cell], "__at",
-            *[
-                F.coalesce(*[F.when(at == i, F.col(f"__{end}{i}")) for i in range(len(order))]).alias(f"__{end}")
-                for end in ("lo", "hi")
-            ],
-            F.least(F.ceil(F.col("__n") / split_rows), F.lit(FANOUT - 2)).alias("__parts"),
-        )
-    )
-    here = F.coalesce(*[F.when(at == i, _position(df, c)) for i, c in enumerate(order)])
-    known = F.coalesce(*[F.when(at == i, F.col(c).isNotNull()) for i, c in enumerate(order)])
-    parts, low, high = F.col("__parts"), F.col("__lo"), F.col("__hi")
-    width = F.when(high > low, (here - low) / (high - low)).otherwise(F.lit(0.0))
-    # In sort order: NULL, then the parts by width, then NaN.
-    part = (
-        F.when(~known, F.lit(0))
-        .when(F.isnan(here), parts + 1)
-        .when(here >= high, parts)
-        .otherwise(F.lit(1) + F.coalesce(F.least(F.floor(width * parts), parts - 1), F.lit(0)))
-    )
-    if first:
-        number = F.when(parts.isNotNull(), part)
-    else:
-        number = F.col(CHUNK) * FANOUT + F.when(parts.isNotNull(), part).otherwise(F.lit(0))
-    same_cell = [F.col(c).eqNullSafe(F.col(f"__cell_{c}")) for c in cell]
-    others = [c for c in df.columns if c != CHUNK]
-    cut = df.join(long_cells, same_cell, "left").select(*others, number.cast("bigint").alias(CHUNK))
-    return cut, share_of_all
-
+def _carries(sliced: DataFrame, order: Sequence[str], n: int, columns: Sequence[str]) -> DataFrame:
+    """For every slice, the n-1 rows just before it, whichever key they have.
 
-def _number_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], split_rows: int) -> DataFrame:
-    """Add the chunk number, rising with the order: NULL for ordinary keys."""
-    chunked, share_of_all = _cut(df, keys, order[:1], split_rows, None, first=True)
-    for depth in range(2, ROUNDS + 1):
-        chunked, _ = _cut(chunked, keys, order[:depth], split_rows, share_of_all, first=False)
-    return chunked
-
-
-def _carries(chunked: DataFrame, keys: Sequence[str], order: Sequence[str], n: int,
-             columns: Sequence[str]) -> DataFrame:
-    """For every chunk of a long key, the n-1 rows just before it.
-
-    Only the last n-1 rows of each chunk are looked at, so the per-key window
-    below runs over (n-1) x chunks rows, not over the key."""
-    forward = [F.col(c).asc() for c in order]
-    backward = [F.col(c).desc() for c in order]
-    in_chunk = Window.partitionBy(*keys, CHUNK)
-    tails = (
-        chunked.filter(F.col(CHUNK).isNotNull())
-        .select(*columns, CHUNK)
-        .withColumn("__back", F.row_number().over(in_chunk.orderBy(*backward)))
-        .filter(F.col("__back") <= n - 1)
-    )
-    row = F.struct(*columns)
-    in_key = Window.partitionBy(*keys).orderBy(*forward)
-    before = F.array(*[F.lag(row, step).over(in_key) for step in range(1, n)])
-    previous_chunk = F.lag(CHUNK, 1).over(in_key)
-    opening = tails.select(CHUNK, before.alias("__before"), previous_chunk.alias("__previous")).filter(
-        F.col("__previous") < F.col(CHUNK)
-    )
-    return (
-        opening.select(CHUNK, F.explode("__before").alias("__row"))
-        .filter(F.col("__row").isNotNull())
-        .select("__row.*", CHUNK)
-    )
+    At most n-1 rows of a slice are looked at; the window over the slices sees one row for each of them."""
+    backward = Window.partitionBy(SLICE).orderBy(*[F.col(c).desc() for c in order])
+    tails = sliced.select(*columns, SLICE).withColumn("__back", F.row_number().over(backward)).filter(F.col("__back") <= n - 1)
+    last = tails.groupBy(SLICE).agg(F.sort_array(F.collect_list(F.struct("__back", F.struct(*columns).alias("row")))).alias("__tail"))
+    # A slice has a row at least, so the n-1 slices before one hold its carry: newest slice first, newest row first.
+    earlier = Window.orderBy(SLICE).rowsBetween(-(n - 1), -1)
+    before = last.select(SLICE, F.flatten(F.reverse(F.collect_list("__tail").over(earlier))).alias("__before"))
+    return before.select(SLICE, F.explode(F.slice("__before", 1, n - 1)).alias("__before")).select("__before.row.*", SLICE)
 
 
 def rolling_last_n(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], n: int,
-                   measures: Mapping[str, Column], inputs: Sequence[str],
-                   split_rows: int | None = SPLIT_ROWS) -> DataFrame:
+                   measures: Mapping[str, Column], inputs: Sequence[str], slices: int | None = None) -> DataFrame:
     """Add rolling aggregates over each row and the n-1 rows before it in its key.
 
-    ``measures`` are aggregate columns over ``inputs``; ``order_by`` must be a
-    total order within a key. ``split_rows=None`` keeps the plain window."""
-    frame_order = [F.col(c).asc() for c in order_by]
-    if split_rows is None or n < 2:
-        window = Window.partitionBy(*keys).orderBy(*frame_order).rowsBetween(-(n - 1), 0)
-        return df.select("*", *[m.over(window).alias(name) for name, m in measures.items()])
-
-    chunked = _number_chunks(df, keys, order_by, split_rows)
-    needed = list(dict.fromkeys([*keys, *order_by, *inputs]))
-    carried = _carries(chunked, keys, order_by, n, needed).withColumn(CARRIED, F.lit(True))
-    rows = chunked.withColumn(CARRIED, F.lit(False)).unionByName(carried, allowMissingColumns=True)
-    window = Window.partitionBy(*keys, CHUNK).orderBy(*frame_order).rowsBetween(-(n - 1), 0)
-    return (
-        rows.select("*", *[m.over(window).alias(name) for name, m in measures.items()])
-        .filter(~F.col(CARRIED))
-        .drop(CHUNK, CARRIED)
-    )
+    ``measures`` are aggregate columns over ``inputs``; ``order_by`` must be a total order within a key. ``slices`` is the number of
+    slices; by default that of the shuffle partitions, fewer for small inputs."""
+    order = list(dict.fromkeys([*keys, *order_by]))
+    sliced = range_slices(df, [F.col(c).asc() for c in order], slices)
+    frame = Window.partitionBy(SLICE, *keys).orderBy(*[F.col(c).asc() for c in order_by]).rowsBetween(-(n - 1), 0)
+    added = [m.over(frame).alias(name) for name, m in measures.items()]
+    if n < 2:
+        return sliced.select(*df.columns, *added)
+    needed = list(dict.fromkeys([*order, *inputs]))
+    carried = _carries(sliced, order, n, needed).withColumn(CARRIED, F.lit(True))
+    rows = sliced.withColumn(CARRIED, F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    return rows.select("*", *added).filter(~F.col(CARRIED)).drop(SLICE, CARRIED)

@@ -292,6 +292,13 @@ def oracle_sql() -> dict[str, str]:
               + 0.3 * coalesce(CASE WHEN p0 IS NULL OR p0 = p1 THEN 0.5 ELSE (ppm - p0) / (p1 - p0) END, 0)
               + 0.3 * coalesce(fav, 0), 6) AS recommendation_score FROM base, m WHERE c_acctbal >= 0""",
         "top10": "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 10",
+        "customer_places": """
+            SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_acctbal DESC NULLS LAST, c_custkey) AS place
+            FROM customer""",
+        "line_places": """
+            SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, row_number() OVER (
+              ORDER BY l_quantity DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice)
+              AS place FROM lineitem""",
         "top20_per_segment": """
             SELECT c_mktsegment, place, c_custkey, c_acctbal FROM (
               SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS place

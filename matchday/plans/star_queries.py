@@ -20,7 +20,7 @@ from matchday.functions.scalars import (
 from matchday.operators import lineup, quality
 from matchday.operators.pruning import dominance_prune
 from matchday.operators.ranking import (
-    current_or_next, first_n_per_key, last_by, latest_n_agg, latest_where, next_n_agg, ordering, top_n, top_n_per_key,
+    current_or_next, first_n_per_key, global_rank, last_by, latest_n_agg, latest_where, next_n_agg, ordering, top_n, top_n_per_key,
 )
 from matchday.operators.rolling import rolling_last_n
 from matchday.operators.scaling import min_max_normalize
@@ -250,7 +250,7 @@ def rolling_series(t: League) -> DataFrame:
 
 @_query
 def rolling_series_skewed(t: League) -> DataFrame:
-    """One key for every third line item: the long-key path of the rolling window."""
+    """One key for every third line item, over more slices than the default."""
     lines = t.table("lineitem").select(
         F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey")).otherwise(F.lit(-1)).alias("series"),
         "l_shipdate", *LINE_KEY, "l_quantity",
@@ -258,7 +258,7 @@ def rolling_series_skewed(t: League) -> DataFrame:
     series = rolling_last_n(
         lines, ["series"], ["l_shipdate", *LINE_KEY, "l_quantity"], 3,
         {"sum_recent": F.sum("l_quantity"), "lines_in_window": F.count("l_quantity")}, ["l_quantity"],
-        split_rows=4096,
+        slices=16,
     )
     return series.groupBy("series").agg(
         F.count(F.lit(1)).alias("n"), F.sum("sum_recent").cast("bigint").alias("total"),
@@ -394,6 +394,21 @@ def top10(t: League) -> DataFrame:
     return top_n(t.table("customer"), "c_acctbal", 10, ["c_custkey"]).select("c_custkey", "c_acctbal")
 
 
+@_query
+def customer_places(t: League) -> DataFrame:
+    """The place of every customer by balance."""
+    placed = global_rank(t.table("customer"), "c_acctbal", ["c_custkey"])
+    return placed.select("c_custkey", "c_acctbal", F.col("place").cast("bigint").alias("place"))
+
+
+@_query
+def line_places(t: League) -> DataFrame:
+    """The place of every line item by quantity, a measure of few values."""
+    placed = global_rank(t.table("lineitem").select(*LINE_KEY, "l_shipdate", "l_extendedprice", "l_quantity"), "l_quantity",
+                         [*LINE_KEY, "l_shipdate", "l_extendedprice"], slices=16)
+    return placed.select(*LINE_KEY, "l_shipdate", F.col("place").cast("bigint").alias("place"))
+
+
 @_query
 def top20_per_segment(t: League) -> DataFrame:
     best = top_n_per_key(t.table("customer"), ["c_mktsegment"], "c_acctbal", 20, ["c_custkey"], rank="place")

@@ -3,9 +3,11 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from matchday.operators.rolling import rolling_last_n
+from matchday.operators.slices import SLICE, range_slices
 
 MEASURES = {"mean": F.avg, "n": F.count}
 
@@ -22,15 +24,19 @@ def series(spark, seed, keys=4, length=120):
     return spark.createDataFrame(data, "k INT, day INT, id BIGINT, v INT").repartition(4)
 
 
-def rolled(df, n, split_rows):
+def rolled(df, n, slices):
+    """Rolled over slices, or by a plain window for None."""
     measures = {name: make("v") for name, make in MEASURES.items()}
-    return rolling_last_n(df, ["k"], ["day", "id"], n, measures, ["v"], split_rows=split_rows)
+    if slices is None:
+        frame = Window.partitionBy("k").orderBy("day", "id").rowsBetween(-(n - 1), 0)
+        return df.select("*", *[m.over(frame).alias(name) for name, m in measures.items()])
+    return rolling_last_n(df, ["k"], ["day", "id"], n, measures, ["v"], slices=slices)
 
 
-@pytest.mark.parametrize("seed,n,split_rows", [(1, 3, 10), (2, 3, 1), (3, 5, 7), (4, 2, 25), (5, 1, 10), (6, 8, 3)])
-def test_split_keys_give_the_plain_window(spark, rows, seed, n, split_rows):
+@pytest.mark.parametrize("seed,n,slices", [(1, 3, 12), (2, 3, 100), (3, 5, 17), (4, 2, 5), (5, 1, 12), (6, 8, 40), (7, 30, 64)])
+def test_slices_give_the_plain_window(spark, rows, seed, n, slices):
     df = series(spark, seed)
-    assert rows(rolled(df, n, split_rows), "id") == rows(rolled(df, n, None), "id")
+    assert rows(rolled(df, n, slices), "id") == rows(rolled(df, n, None), "id")
 
 
 @pytest.mark.parametrize("kind", ["TIMESTAMP_NTZ", "TIMESTAMP", "DATE", "DOUBLE"])
@@ -38,7 +44,7 @@ def test_order_columns_of_any_type(spark, rows, kind):
     base = series(spark, 9)
     expr = "CAST(day AS DOUBLE)" if kind == "DOUBLE" else f"CAST(date_add(DATE'2024-01-01', day) AS {kind})"
     df = base.withColumn("day", F.expr(expr))
-    assert rows(rolled(df, 3, 10).drop("day"), "id") == rows(rolled(df, 3, None).drop("day"), "id")
+    assert rows(rolled(df, 3, 12).drop("day"), "id") == rows(rolled(df, 3, None).drop("day"), "id")
 
 
 def test_local_times_keep_their_order_across_a_clock_change(spark, rows):
@@ -48,28 +54,29 @@ def test_local_times_keep_their_order_across_a_clock_change(spark, rows):
         df = spark.range(90).selectExpr(
             "1 AS k", "TIMESTAMP_NTZ'2024-03-10 00:30:00' + make_dt_interval(0, 0, CAST(id * 2 AS INT), id % 7) AS day", "id",
             "CAST(id % 13 AS INT) AS v")
-        assert rows(rolled(df, 3, 5).drop("day"), "id") == rows(rolled(df, 3, None).drop("day"), "id")
+        assert rows(rolled(df, 3, 18).drop("day"), "id") == rows(rolled(df, 3, None).drop("day"), "id")
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
-def chunk_sizes(df, split_rows, order=("day", "id")):
-    from matchday.operators.rolling import CHUNK, _number_chunks
+def slice_sizes(df, slices):
+    cut = range_slices(df, [F.col(c) for c in ("k", "day", "id")], slices)
+    return [r["count"] for r in cut.groupBy(SLICE).count().collect()]
 
-    sizes = _number_chunks(df, ["k"], list(order), split_rows).groupBy("k", CHUNK).count().collect()
-    return sorted(r["count"] for r in sizes)
 
-
-def test_a_key_with_one_order_value_is_cut_by_the_next_column(spark, rows):
-    df = spark.range(60).selectExpr("1 AS k", "7 AS day", "(id * 37) % 60 AS id", "CAST(id AS INT) AS v")
-    assert rows(rolled(df, 3, 10), "id") == rows(rolled(df, 3, None), "id")
-    assert max(chunk_sizes(df, 10)) <= 20
+@pytest.mark.parametrize("day", ["CONCAT('day ', id % 7)", "7", "IF(id = 0, 1000000, id)", "POW(2.0, id / 10)", "IF(id % 3 = 0, NULL, 1)"])
+def test_no_slice_is_much_larger_than_the_others(spark, rows, day):
+    """Text, one value only, an outlier, exponential values, and NULLs, in one key."""
+    df = spark.range(4000).selectExpr("1 AS k", f"{day} AS day", "(id * 37) % 4000 AS id", "CAST(id % 11 AS INT) AS v").repartition(3)
+    sizes = slice_sizes(df, 20)
+    assert sum(sizes) == 4000 and max(sizes) <= 2 * 4000 / 20 and len(sizes) >= 18
+    assert rows(rolled(df, 4, 20), "id") == rows(rolled(df, 4, None), "id")
 
 
-def test_a_crowded_chunk_is_cut_again(spark, rows):
-    df = spark.range(400).selectExpr("1 AS k", "IF(id = 0, 1000000, id) AS day", "id", "CAST(id % 11 AS INT) AS v")
-    assert max(chunk_sizes(df, 20)) <= 40
-    assert rows(rolled(df, 4, 20), "id") == rows(rolled(df, 4, None), "id")
+def test_the_fact_is_scanned_once(spark, tmp_path):
+    spark.range(500).selectExpr("id % 3 AS k", "id AS day", "id", "CAST(id % 7 AS INT) AS v").write.parquet(str(tmp_path / "fact"))
+    plan = rolled(spark.read.parquet(str(tmp_path / "fact")), 3, 8)._jdf.queryExecution().executedPlan().toString()
+    assert str(tmp_path / "fact") not in plan and "Broadcast" not in plan
 
 
 @pytest.mark.parametrize("day", [
@@ -79,20 +86,15 @@ def test_a_crowded_chunk_is_cut_again(spark, rows):
 ])
 def test_awkward_order_values(spark, rows, day):
     df = spark.range(120).selectExpr("id % 2 AS k", f"{day} AS day", "(id * 71) % 120 AS id", "CAST(id AS INT) AS v")
-    split, plain = rolled(df, 3, 7), rolled(df, 3, None)
+    split, plain = rolled(df, 3, 17), rolled(df, 3, None)
     assert [str(r) for r in split.orderBy("id").collect()] == [str(r) for r in plain.orderBy("id").collect()]
 
 
-def test_chunks_rise_with_the_order(spark):
-    from pyspark.sql import Window
-
-    from matchday.operators.rolling import CHUNK, _number_chunks
-
-    df = series(spark, 21, length=400)
-    chunked = _number_chunks(df, ["k"], ["day", "id"], 12)
-    before = F.lag(CHUNK).over(Window.partitionBy("k").orderBy("day", "id"))
-    assert chunked.withColumn("before", before).filter(F.col("before") > F.col(CHUNK)).count() == 0
-    assert chunked.filter(F.col(CHUNK).isNotNull()).select(CHUNK).distinct().count() > 20
+def test_slices_rise_with_the_order(spark):
+    cut = range_slices(series(spark, 21, length=400), [F.col(c) for c in ("k", "day", "id")], 30)
+    before = F.lag(SLICE).over(Window.orderBy("k", "day", "id"))
+    assert cut.withColumn("before", before).filter(F.col("before") > F.col(SLICE)).count() == 0
+    assert cut.select(SLICE).distinct().count() > 20
 
 
 def test_columns_and_their_order(spark):
