@@ -42,12 +42,32 @@ def with_path_key(documents: DataFrame, name: str) -> DataFrame:
     return documents.withColumn(name, key.cast("bigint"))
 
 
+CORRUPT = "__corrupt"
+REASON = "reason"
+RECORD = "__record"
+REJECTED = (PATH, POS, REASON, RAW)
+
+# Why a document or a record was not accepted.
+NOT_JSON = "not a JSON document"
+NO_ARRAY = "no array of records"
+NO_RECORD = "null record"
+NOT_THE_SCHEMA = "record does not fit the schema"
+
+
+def _parsed_document(field: str | None) -> tuple[Column, Column]:
+    """The records as an array of JSON texts, and why there is none: one parse of the document."""
+    if field is WHOLE:
+        array = F.when(F.ltrim(DOCUMENT).startswith("["), F.from_json(DOCUMENT, "array<string>"))
+        return array, F.when(~F.ltrim(DOCUMENT).startswith("["), NO_ARRAY).otherwise(NOT_JSON)
+    fields = [T.StructField(field, T.ArrayType(T.StringType())), T.StructField(CORRUPT, T.StringType())]
+    parsed = F.from_json(DOCUMENT, T.StructType(fields), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return F.when(parsed[CORRUPT].isNull(), parsed[field]), F.when(parsed[CORRUPT].isNotNull(), NOT_JSON).otherwise(NO_ARRAY)
+
+
 def _record_array(field: str | None) -> Column:
     """The records as an array of JSON texts; NULL if the document is not valid JSON
     or does not hold the array."""
-    if field is WHOLE:
-        return F.when(F.ltrim(DOCUMENT).startswith("["), F.from_json(DOCUMENT, "array<string>"))
-    return F.from_json(DOCUMENT, T.StructType([T.StructField(field, T.ArrayType(T.StringType()))]))[field]
+    return _parsed_document(field)[0]
 
 
 def malformed_documents(documents: DataFrame, field: str | None) -> DataFrame:
@@ -59,7 +79,7 @@ def records(documents: DataFrame, field: str | None, keep: tuple[str, ...] = (),
     """One row per record: ``(*keep, pos, raw_payload)``, in document order.
 
     ``failfast`` fails the job on a malformed document; ``quarantine`` leaves it
-    out, to be read with :func:`malformed_documents`."""
+    out, to be read with :func:`malformed_documents` or, with the records that do not fit, :func:`sorted_out`."""
     if mode not in ("failfast", "quarantine"):
         raise ValueError(f"unknown mode {mode!r}")
     array = _record_array(field)
@@ -73,7 +93,44 @@ def typed(rows: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) ->
     """Parse ``raw_payload``: ``(*keep, declared fields, raw_payload)``. Fields
     outside the schema, nulls included, survive in the payload."""
     parsed = F.from_json(RAW, schema, {"mode": "FAILFAST"})
-    return rows.select(*keep, parsed.alias("__record"), RAW).select(*keep, "__record.*", RAW)
+    return rows.select(*keep, parsed.alias(RECORD), RAW).select(*keep, f"{RECORD}.*", RAW)
+
+
+def raw_records(documents: DataFrame, field: str | None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(*keep, source_path, pos, raw_payload, reason)``: one row per record, and one per document that has no records.
+
+    The reason is NULL for records; a rejected document has no position and its own text as payload. An empty array has no rows."""
+    array, reason = _parsed_document(field)
+    parsed = documents.select(*keep, PATH, DOCUMENT, array.alias("__records"), reason.alias(REASON))
+    exploded = parsed.select(*keep, PATH, DOCUMENT, REASON, F.col("__records").isNull().alias("__bad"),
+                             F.posexplode_outer("__records").alias(POS, RAW))
+    return exploded.filter(F.col("__bad") | F.col(POS).isNotNull()).select(
+        *keep, PATH, POS, F.when(F.col("__bad"), F.col(DOCUMENT)).otherwise(F.col(RAW)).alias(RAW),
+        F.when(F.col("__bad"), F.col(REASON)).alias(REASON))
+
+
+def sorted_out(raw: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of :func:`raw_records` with their parsed record: ``(*keep, source_path, pos, raw_payload, reason, __record)``.
+
+    Each record is parsed once; those that are null or do not fit the schema get a reason. Stage this table, and both
+    :func:`accepted` and :func:`rejected` read it without parsing again."""
+    fields = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parse = F.from_json(RAW, fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = raw.withColumn(RECORD, F.when(F.col(REASON).isNull(), parse))
+    reason = F.when(F.col(REASON).isNotNull(), F.col(REASON)).when(F.col(RAW).isNull() | (F.trim(RAW) == "null"), NO_RECORD).when(
+        F.col(f"{RECORD}.{CORRUPT}").isNotNull() | F.col(RECORD).isNull(), NOT_THE_SCHEMA)
+    record = F.struct(*[F.col(f"{RECORD}.`{f.name}`").alias(f.name) for f in schema.fields]).alias(RECORD)
+    return parsed.select(*keep, PATH, POS, RAW, reason.alias(REASON), record)
+
+
+def accepted(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The records of :func:`sorted_out` in the layout of :func:`typed`."""
+    return parsed.filter(F.col(REASON).isNull()).select(*keep, f"{RECORD}.*", RAW)
+
+
+def rejected(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """What :func:`sorted_out` did not accept: ``(*keep, source_path, pos, reason, raw_payload)``."""
+    return parsed.filter(F.col(REASON).isNotNull()).select(*keep, *REJECTED)
 
 
 def infer_schema(rows: DataFrame) -> T.StructType:
