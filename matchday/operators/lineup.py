@@ -2,129 +2,116 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchday.operators.ranking import first_n_per_key
-from matchday.operators.squad_rules import BUDGET, CandidateColumns, SquadRules, by_position
+from matchday.operators.squad_rules import BUDGET, CandidateColumns, SquadRules
 
 
-def _formation_name(rules: SquadRules) -> Callable[[Mapping[str, int]], str]:
-    """Names a formation by the positions whose number can vary, as in 4-4-2."""
+def _formations(rules: SquadRules) -> dict[str, dict[str, int]]:
+    """Every formation by name, as in 4-4-2: the positions whose number can vary."""
     varying = [p for p, (low, high) in rules.lineup_bounds.items() if low != high]
-    return lambda split: "-".join(str(split[p]) for p in varying)
+    named = {"-".join(str(split[p]) for p in varying): split for split in rules.formations()}
+    return dict(sorted(named.items()))
 
 
 def _no_formation() -> Column:
     return F.raise_error(F.lit("no valid formation: check the number of players per position"))
 
 
-def _formation_rows(df: DataFrame, rules: SquadRules) -> DataFrame:
-    """One row per formation and position (a few dozen rows, fixed by the rules)."""
-    name = _formation_name(rules)
-    rows = F.array(*[
-        F.struct(
-            F.lit(name(split)).alias("formation"),
-            F.lit(position).alias("position"), F.lit(count).alias("needed"),
-        )
-        for split in rules.formations() for position, count in split.items()
-    ])
-    return df.sparkSession.range(1, numPartitions=1).select(F.inline(rows))
-
+def _choices(squads: DataFrame, squad: Sequence[str], rules: SquadRules, cols: CandidateColumns) -> DataFrame:
+    """Per squad, ``formation``, ``total`` and ``__last``: by position, the last starter as (score, id).
 
-def _best_of_position(squads: DataFrame, squad: Sequence[str], rules: SquadRules, cols: CandidateColumns) -> DataFrame:
-    """The players a line-up can use: the best few of each position in each squad."""
+    A line-up uses the best few players of a position, so those are all that leaves the map side. They become one short array per
+    squad and position; each formation takes the beginnings of these arrays. Squads without a valid line-up have no row."""
+    positions = list(rules.lineup_bounds)
     most = max(high for _, high in rules.lineup_bounds.values())
-    usable = squads.filter(F.col(cols.position).isin(list(rules.lineup_bounds)) & F.col(cols.score).isNotNull())
-    usable = usable.select(*squad, cols.id, F.col(cols.position).alias("position"), F.col(cols.score).alias("__score"))
-    order = [F.col("__score").desc(), F.col(cols.id).asc()]
-    return first_n_per_key(usable, [*squad, "position"], order, most, rank="__place")
+    usable = squads.filter(F.col(cols.position).isin(positions) & F.col(cols.score).isNotNull())
+    usable = usable.select(*squad, F.col(cols.position).alias("__position"), F.col(cols.score).alias("score"), F.col(cols.id).alias("id"))
+    order = [F.col("score").desc(), F.col("id").asc()]
+    best = first_n_per_key(usable, [*squad, "__position"], order, most, rank="__place")
+    entry = F.struct("__place", "score", "id")
+    arrays = best.groupBy(*squad).agg(*[
+        F.sort_array(F.collect_list(F.when(F.col("__position") == p, entry))).alias(f"__p{i}") for i, p in enumerate(positions)])
+
+    def option(place: int, name: str, split: dict[str, int]) -> Column:
+        total: Column = F.lit(0.0)
+        for i, position in enumerate(positions):
+            taken = F.slice(F.col(f"__p{i}")["score"], 1, split[position]) if split[position] else F.array().cast("array<double>")
+            total = total + F.aggregate(taken, F.lit(0.0), lambda acc, x: acc + x)
+        filled = F.lit(True)
+        for i, position in enumerate(positions):
+            filled = filled & (F.size(f"__p{i}") >= split[position])
+        needed = F.array(*[F.lit(split[p]) for p in positions])
+        # Rounding keeps the choice independent of the order of summation.
+        return F.when(filled, F.struct(F.round(total, 6).alias("rounded"), F.lit(-place).alias("place"),
+                                       F.lit(name).alias("formation"), total.alias("total"), needed.alias("needed")))
+
+    options = [option(i, name, split) for i, (name, split) in enumerate(_formations(rules).items())]
+    chosen = arrays.withColumn("__best", F.array_max(F.array(*options))).filter(F.col("__best").isNotNull())
+    last = F.array(*[
+        F.when(F.col("__best.needed")[i] > 0, F.get(F.col(f"__p{i}"), F.col("__best.needed")[i] - 1)) for i in range(len(positions))])
+    return chosen.select(*squad, F.col("__best.formation").alias("formation"), F.col("__best.total").alias("total"),
+                         last.alias("__last"))
 
 
 def best_formation(squads: DataFrame, squad: Sequence[str], rules: SquadRules = SquadRules(),
                    cols: CandidateColumns = CandidateColumns()) -> DataFrame:
     """Per squad, the formation with the highest total: ``(squad, formation, total)``."""
-    return _formation_choice(_best_of_position(squads, squad, rules, cols), squad, rules)
-
-
-def _formation_choice(players: DataFrame, squad: Sequence[str], rules: SquadRules) -> DataFrame:
-    formations = F.broadcast(_formation_rows(players, rules))
-    filled = players.join(formations, "position").filter(F.col("__place") <= F.col("needed"))
-    totals = (
-        filled.groupBy(*squad, "formation")
-        .agg(F.sum("__score").alias("total"), F.count(F.lit(1)).alias("__filled"))
-        .filter(F.col("__filled") == rules.lineup_size)
-    )
-    # Rounding keeps the choice independent of the order of summation.
-    order = [F.round("total", 6).desc(), F.col("formation").asc()]
-    return first_n_per_key(totals, squad, order, 1).drop("__filled")
-
-
-def starters(squads: DataFrame, squad: Sequence[str], rules: SquadRules = SquadRules(),
-             cols: CandidateColumns = CandidateColumns()) -> DataFrame:
-    """The starters of every squad that has a valid line-up: ``(squad, id, formation)``."""
-    players = _best_of_position(squads, squad, rules, cols)
-    chosen = _formation_choice(players, squad, rules).drop("total")
-    needed = chosen.join(F.broadcast(_formation_rows(players, rules)), "formation")
-    joined, same = _same_keys(players, needed, [*squad, "position"])
-    return players.join(joined, same).filter(F.col("__place") <= F.col("needed")).select(*squad, cols.id, "formation")
-
-
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[Column]]:
-    """``right`` with its keys under other names, and the condition that they equal those of ``left``; NULL equals NULL."""
-    renamed = right.withColumnsRenamed({c: f"__right_{c}" for c in keys})
-    return renamed, [left[c].eqNullSafe(F.col(f"__right_{c}")) for c in keys]
+    return _choices(squads, squad, rules, cols).drop("__last")
 
 
 def mark_starters(squads: DataFrame, squad: Sequence[str], rules: SquadRules = SquadRules(),
                   cols: CandidateColumns = CandidateColumns(), strict: bool = False) -> DataFrame:
     """Add ``is_starter``; the rest of each squad is its bench. A squad without a
-    valid line-up has no starters, or fails the job when ``strict``."""
+    valid line-up has no starters, or fails the job when ``strict``.
+
+    A player starts who is not behind the last starter of their position by (score, id), so a row listed twice with one score starts
+    twice or not at all. Squads are matched with their line-up by their own columns, where NULL is a squad too."""
     if not squad:
         whole = mark_starters(squads.withColumn("__squad", F.lit(0)), ["__squad"], rules, cols, strict)
         return whole.drop("__squad")
-    # One row per player, so that an id listed twice in a squad keeps its two rows.
-    flags = starters(squads, squad, rules, cols).select(*squad, cols.id).distinct().withColumn("__starts", F.lit(True))
-    is_starter = F.coalesce("__starts", F.lit(False))
-    flags, same = _same_keys(squads, flags, [*squad, cols.id])
-    marked = squads.join(flags, same, "left")
-    if strict:
-        chosen = best_formation(squads, squad, rules, cols).select(*squad, F.lit(True).alias("__valid"))
-        chosen = chosen.withColumnsRenamed({c: f"__valid_{c}" for c in squad})
-        marked = marked.join(chosen, [F.col(c).eqNullSafe(F.col(f"__valid_{c}")) for c in squad], "left")
-        is_starter = F.when(F.col("__valid"), is_starter).otherwise(_no_formation())
-    return marked.select(*squads.columns, is_starter.alias("is_starter"))
-
-
-def mark_starters_of_small_squads(squads: DataFrame, squad: Sequence[str], rules: SquadRules = SquadRules(),
-                                  cols: CandidateColumns = CandidateColumns(), strict: bool = False) -> DataFrame:
-    """As :func:`mark_starters`, by windows over each whole squad instead of joins.
-
-    For squads of a size bounded by the rules, such as the solver's output: the
-    input is evaluated once, where the joins would evaluate it once per branch."""
-    formations = sorted(rules.formations(), key=_formation_name(rules))
-    in_position = Window.partitionBy(*squad, cols.position).orderBy(F.col(cols.score).desc(), F.col(cols.id).asc())
-    in_squad = Window.partitionBy(*squad)
-    ranked = squads.withColumn("__place", F.row_number().over(in_position))
-
-    def starts(split: dict[str, int]) -> Column:
-        needed = by_position(split, F.col(cols.position))
-        return F.coalesce(F.col(cols.score).isNotNull() & (F.col("__place") <= needed), F.lit(False))
-
-    options = []
-    for place, split in enumerate(formations):
-        filled = F.count_if(starts(split)).over(in_squad) == rules.lineup_size
-        total = F.round(F.sum(F.when(starts(split), F.col(cols.score))).over(in_squad), 6)
-        options.append(F.when(filled, F.struct(total.alias("total"), F.lit(-place).alias("rank"))))
-    best = ranked.withColumn("__best", F.array_max(F.array(*options))["rank"])
-    is_starter = F.lit(False)
-    for place, split in enumerate(formations):
-        is_starter = F.when(F.col("__best") == -place, starts(split)).otherwise(is_starter)
+    chosen = _choices(squads, squad, rules, cols).withColumnsRenamed({c: f"__chosen_{c}" for c in squad})
+    same = [squads[c].eqNullSafe(F.col(f"__chosen_{c}")) for c in squad]
+    score, player, starts = F.col(cols.score), F.col(cols.id), F.lit(False)
+    for i, position in enumerate(rules.lineup_bounds):
+        last = F.col("__last")[i]
+        ahead = (score > last["score"]) | ((score == last["score"]) & (player <= last["id"]))
+        starts = F.when(F.col(cols.position) == position, ahead).otherwise(starts)
+    is_starter = F.coalesce(starts, F.lit(False))
     if strict:
-        is_starter = F.when(F.col("__best").isNull(), _no_formation()).otherwise(is_starter)
-    return best.select(*squads.columns, is_starter.alias("is_starter"))
+        is_starter = F.when(F.col("__last").isNull(), _no_formation()).otherwise(is_starter)
+    marked = squads.join(chosen.drop("formation", "total"), same, "left")
+    return marked.select(*[squads[c] for c in squads.columns], is_starter.alias("is_starter"))
+
+
+def squad_order(position_place: Column, cols: CandidateColumns = CandidateColumns()) -> list[Column]:
+    """The order of a squad list: starters before the bench, then by position, score and id."""
+    return [F.col("is_starter").desc(), position_place.asc_nulls_last(), F.col(cols.score).desc_nulls_last(), F.col(cols.id).asc()]
+
+
+def squad_summary(marked: DataFrame, squad: Sequence[str], cols: CandidateColumns = CandidateColumns()) -> DataFrame:
+    """Totals per squad and position, per squad, and over all squads, in one pass.
+
+    ``(squad, position, level, players, starters, total_cost, starters_cost, starters_score)`` with level position, squad or all; the
+    columns that a level sums over are NULL, as are unknown squads and positions, which the level tells apart. Sums are of decimals, so
+    they do not depend on the order of rows."""
+    sets = [[*squad, cols.position], [*squad], []]
+    everything = [F.col(c) for c in (*squad, cols.position)]
+    started, exact = F.col("is_starter"), "decimal(28,6)"
+    cost, score = F.col(cols.cost).cast(exact), F.col(cols.score).cast(exact)
+    level = F.when(F.grouping(cols.position) == 0, "position")
+    level = level.when(F.grouping(squad[0]) == 0, "squad").otherwise("all") if squad else level.otherwise("all")
+    if not squad:
+        sets = sets[::2]
+    return marked.groupingSets([[F.col(c) for c in one] for one in sets], *everything).agg(
+        level.alias("level"), F.count(F.lit(1)).alias("players"), F.count_if(started).alias("starters"),
+        F.sum(cost).cast("double").alias("total_cost"),
+        F.sum(F.when(started, cost)).cast("double").alias("starters_cost"),
+        F.sum(F.when(started, score)).cast("double").alias("starters_score"))
 
 
 def squad_totals(marked: DataFrame, squad: Sequence[str], cols: CandidateColumns = CandidateColumns()) -> DataFrame:

@@ -1,25 +1,15 @@
-"""Best squad under budget, position and club limits, one task per scenario."""
+"""Candidates for a squad under budget, position and club limits."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import floor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from matchday.operators import kernels
 from matchday.operators.pruning import dominance_prune
 from matchday.operators.squad_rules import BUDGET, CandidateColumns, SquadRules
 
-OPTIMAL = kernels.OPTIMAL
-INFEASIBLE = kernels.INFEASIBLE
-InfeasibleSelection = kernels.InfeasibleSelection
-
-UNITS = "__units"
-
 
 def prune_candidates(candidates: DataFrame, scenario: Sequence[str] = (), max_budget: float = BUDGET,
                      rules: SquadRules = SquadRules(), cols: CandidateColumns = CandidateColumns()) -> DataFrame:
@@ -32,26 +22,3 @@ def prune_candidates(candidates: DataFrame, scenario: Sequence[str] = (), max_bu
         eligible, scenario, cols.position, cols.club, units, cols.score, cols.id,
         rules.same_club_bound(), rules.club_bound(),
     )
-
-
-def select_squads(candidates: DataFrame, scenario: Sequence[str], budgets: Sequence[float] = (BUDGET,),
-                  rules: SquadRules = SquadRules(), cols: CandidateColumns = CandidateColumns(),
-                  strict: bool = False) -> DataFrame:
-    """The best squad of every scenario and budget: the candidate columns plus
-    ``budget`` and ``solve_status``. An unsolvable scenario gives one row without a
-    player, or fails the job when ``strict``.
-
-    The full table is pruned by distributed ranking first; a scenario's remainder
-    is bounded by the rules and the budget, and is solved in one task."""
-    pruned = prune_candidates(candidates, scenario, max(budgets), rules, cols)
-    pool = pruned.withColumn(UNITS, cols.units(rules.units_per_cost))
-    fields = [T.StructField(f.name, f.dataType, True) for f in candidates.schema.fields]
-    schema = T.StructType([
-        *fields, T.StructField("budget", T.DoubleType()), T.StructField("solve_status", T.StringType())
-    ])
-    names = kernels.SolverColumns(cols.id, cols.position, cols.club, cols.score, UNITS)
-    spends = {float(b): floor(b * rules.units_per_cost + 1e-6) for b in budgets}
-    solve = kernels.group_solver(
-        names, dict(rules.position_limits), rules.club_limit, spends, list(scenario), strict, to_arrow_schema(schema)
-    )
-    return pool.groupBy(*scenario).applyInArrow(solve, schema)

@@ -1,38 +1,22 @@
-"""The recommended team: best squad, then its best line-up."""
+"""Line-ups of given squads, in the published layout."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from matchday.operators.lineup import mark_starters_of_small_squads
-from matchday.operators.squad import OPTIMAL, InfeasibleSelection, select_squads
-from matchday.operators.squad_rules import BUDGET, SquadRules
+from matchday.operators.lineup import mark_starters
+from matchday.operators.squad_rules import SquadRules
 
 CANDIDATE = [
     "player_id", "web_name", "position", "team_id", "team_code", "cost_millions", "photo", "recommendation_score",
 ]
 
 
-def optimal_teams(scores: DataFrame, scenario: Sequence[str] = (), budgets: Sequence[float] = (BUDGET,),
-                  rules: SquadRules = SquadRules(), strict: bool = False) -> DataFrame:
-    """For every scenario and budget, the squad with ``is_starter``. The squad is
-    chosen first and the line-up from it, not both together."""
-    candidates = scores.select(*scenario, *CANDIDATE)
-    squads = select_squads(candidates, scenario, budgets, rules, strict=strict)
-    return mark_starters_of_small_squads(squads, [*scenario, "budget"], rules, strict=strict)
-
-
-def require_candidates(scores: DataFrame, budget: float = BUDGET, rules: SquadRules = SquadRules()) -> None:
-    """Raise if there is nobody to choose from; the solver only sees existing pools."""
-    affordable = F.col("position").isin(list(rules.position_limits)) & (F.col("cost_millions") <= budget)
-    if scores.filter(affordable).isEmpty():
-        raise InfeasibleSelection(f"no valid squad within budget {budget}: no candidate can be chosen")
-
-
-def optimal_team(scores: DataFrame, budget: float = BUDGET, rules: SquadRules = SquadRules()) -> DataFrame:
-    """One squad, in the published layout; fails the job if there is none."""
-    team = optimal_teams(scores, (), (budget,), rules, strict=True)
-    return team.filter(F.col("solve_status") == OPTIMAL).select(*CANDIDATE, "is_starter")
+def lineups(scores: DataFrame, squads: DataFrame, squad: Sequence[str] = ("squad",), rules: SquadRules = SquadRules(),
+            strict: bool = False) -> DataFrame:
+    """``(squad, candidate columns, is_starter)`` of ``squads``, rows of (squad, player_id). Players without a score are left out of
+    the squad: they cannot be chosen."""
+    members = squads.select(*squad, "player_id").join(scores.select(*CANDIDATE), "player_id")
+    return mark_starters(members.select(*squad, *CANDIDATE), list(squad), rules, strict=strict)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matchday.functions.projection import Field, project
 from matchday.functions.scalars import decode_codes, pick_side
-from matchday.operators.quality import check_orphans, check_rules, check_unique, outside, report
+from matchday.operators.quality import TableChecks, check_tables, outside
 from matchday.operators.shaping import left_join_dim
 
 # Position code book.
@@ -102,18 +102,14 @@ def silver_stats(bronze_history: DataFrame, players: DataFrame, fixtures: DataFr
 
 def silver_quality(bronze_players: DataFrame, teams: DataFrame, players: DataFrame, fixtures: DataFrame,
                    stats: DataFrame) -> DataFrame:
-    """The checks that guard the silver and gold writes."""
-    difficulty = ["team_h_difficulty", "team_a_difficulty"]
-    return report([
-        check_unique(stats, "player_gameweek_stats", ["player_id", "fixture_id"]),
-        check_unique(teams, "teams", ["team_id"]),
-        check_unique(players, "players", ["player_id"]),
-        check_unique(fixtures, "fixtures", ["fixture_id"]),
-        check_orphans(players, "players", "team_id", teams, "team_id"),
-        check_orphans(fixtures, "fixtures", "team_h_id", teams, "team_id"),
-        check_orphans(fixtures, "fixtures", "team_a_id", teams, "team_id"),
-        check_rules(bronze_players, "players_snapshot", {
-            "range(element_type)": outside("element_type", min(POSITIONS), max(POSITIONS)),
-        }),
-        check_rules(fixtures, "fixtures", {f"range({c})": outside(c, 1, 5) for c in difficulty}),
+    """The checks that guard the silver and gold writes, with one scan of each table."""
+    return check_tables([
+        TableChecks("player_gameweek_stats", stats, unique=[["player_id", "fixture_id"]]),
+        TableChecks("teams", teams, unique=[["team_id"]]),
+        TableChecks("players", players, unique=[["player_id"]], references={"team_id": ("teams", "team_id")}),
+        TableChecks("fixtures", fixtures, unique=[["fixture_id"]],
+                    references={c: ("teams", "team_id") for c in ("team_h_id", "team_a_id")},
+                    rules={f"range({c})": outside(c, 1, 5) for c in ("team_h_difficulty", "team_a_difficulty")}),
+        TableChecks("players_snapshot", bronze_players, rules={
+            "range(element_type)": outside("element_type", min(POSITIONS), max(POSITIONS))}),
     ])

@@ -25,7 +25,7 @@ from matchday.operators.ranking import (
 from matchday.operators.rolling import rolling_last_n
 from matchday.operators.scaling import min_max_normalize
 from matchday.operators.shaping import left_join_dim, union_sides, unpivot_sides
-from matchday.operators.squad import OPTIMAL, prune_candidates, select_squads
+from matchday.operators.squad import prune_candidates
 from matchday.operators.squad_rules import CandidateColumns
 from matchday.plans import gold, reports, silver
 from matchday.plans.star import League

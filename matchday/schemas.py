@@ -78,11 +78,12 @@ GOLD_SCORES = _struct(
     (LONG, "player_id"), (TEXT, "web_name first_name second_name photo position"), (LONG, "team_id team_code"),
     (DOUBLE, "cost_millions avg_points_recent points_per_million avg_upcoming_difficulty recommendation_score"),
 )
-GOLD_OPTIMAL_TEAM = _struct(
-    (LONG, "player_id"), (TEXT, "web_name position"), (LONG, "team_id team_code"), (DOUBLE, "cost_millions"),
+GOLD_LINEUPS = _struct(
+    (TEXT, "squad"), (LONG, "player_id"), (TEXT, "web_name position"), (LONG, "team_id team_code"), (DOUBLE, "cost_millions"),
     (TEXT, "photo"), (DOUBLE, "recommendation_score"), (FLAG, "is_starter"),
 )
 RUN_LOG = _struct(
     (TEXT, "run_id step table status"), (TIME, "logged_at"), (DOUBLE, "duration_s"), (LONG, "row_count"),
-    (TEXT, "error_type error"),
+    (TEXT, "error_type error input_version"),
 )
+QUARANTINE = _struct((TEXT, "source source_path"), (LONG, "pos"), (TEXT, "reason raw_payload"), (TIME, "ingestion_ts"))

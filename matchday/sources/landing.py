@@ -14,9 +14,11 @@ distributed scan. Records are first cut out as raw JSON text, which is kept as
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+import json
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,19 +135,79 @@ def rejected(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return parsed.filter(F.col(REASON).isNotNull()).select(*keep, *REJECTED)
 
 
+ELEMENT = "[]"
+
+
+def _kinds_of(value, path: tuple[str, ...], seen: Counter) -> None:
+    """Count the type of a JSON value, and of all it holds, under their key paths."""
+    if isinstance(value, dict):
+        seen[path, "object"] += 1
+        for name, inner in value.items():
+            _kinds_of(inner, (*path, name), seen)
+    elif isinstance(value, list):
+        seen[path, "array"] += 1
+        for inner in value:
+            _kinds_of(inner, (*path, ELEMENT), seen)
+    elif value is None:
+        seen[path, "null"] += 1
+    elif isinstance(value, bool):
+        seen[path, "boolean"] += 1
+    elif isinstance(value, str):
+        seen[path, "string"] += 1
+    else:
+        seen[path, "bigint" if isinstance(value, int) and -2**63 <= value < 2**63 else "double"] += 1
+
+
+def observed_types(rows: DataFrame, column: str = RAW) -> DataFrame:
+    """``(path, type, n)``: how often each JSON type stands under each key path of the payloads, paths seen only as null included.
+
+    ``path`` is an array of keys, with ``[]`` for the elements of an array and empty for the payload itself; type is object, array,
+    null, boolean, bigint, double or string. Payloads that are NULL or no JSON have type invalid at the empty path. Every batch is
+    counted where it is read; what is shuffled grows with the number of paths, not of records."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                try:
+                    _kinds_of(json.loads(text), (), seen)
+                except (TypeError, ValueError):
+                    seen[(), "invalid"] += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([list(p) for p, _ in seen], pa.list_(pa.string())), pa.array([t for _, t in seen], pa.string()),
+                 pa.array(seen.values(), pa.int64())], names=["path", "type", "n"])
+
+    counted = rows.select(F.col(column).cast("string")).mapInArrow(count, "path array<string>, type string, n bigint")
+    return counted.groupBy("path", "type").agg(F.sum("n").alias("n"))
+
+
+def merged_type(path: tuple[str, ...], types: Mapping[tuple[str, ...], set[str]]) -> T.DataType:
+    """The least type that holds all seen under a path: null < anything, bigint < double, all else < string."""
+    seen = types.get(path, set()) - {"null", "invalid"}
+    if not seen:
+        return T.NullType()
+    if seen == {"object"}:
+        names = sorted({p[len(path)] for p in types if len(p) > len(path) and p[:len(path)] == path})
+        fields = [T.StructField(name, merged_type((*path, name), types)) for name in names]
+        return T.StructType(fields) if fields else T.StringType()
+    if seen == {"array"}:
+        return T.ArrayType(merged_type((*path, ELEMENT), types))
+    if seen <= {"bigint", "double"}:
+        return T.DoubleType() if "double" in seen else T.LongType()
+    return T.BooleanType() if seen == {"boolean"} else T.StringType()
+
+
 def infer_schema(rows: DataFrame) -> T.StructType:
     """Merged schema of the payloads, by one distributed aggregate.
 
     Fractional numbers are read as double, fields of mixed types as text, and
     fields that are always null keep the null type (see
     :func:`matchday.sources.frames.drop_null_type_columns`)."""
-    ddl = rows.agg(F.schema_of_variant_agg(F.parse_json(RAW)).alias("ddl")).first()["ddl"]
-    if ddl is None or not ddl.startswith("OBJECT<"):
-        return T.StructType([])
-    ddl = re.sub(r"\bOBJECT<", "STRUCT<", ddl)
-    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
-    ddl = re.sub(r"\bVARIANT\b", "STRING", ddl)
-    return T._parse_datatype_string(ddl)
+    types: dict[tuple[str, ...], set[str]] = {}
+    for r in observed_types(rows).collect():  # one row per key path and type: the size of the schema
+        types.setdefault(tuple(r["path"]), set()).add(r["type"])
+    whole = merged_type((), types)
+    return whole if isinstance(whole, T.StructType) else T.StructType([])
 
 
 def complete_schema(declared: T.StructType, inferred: T.StructType, taken: Sequence[str] = ()) -> T.StructType:

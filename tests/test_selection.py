@@ -1,210 +1,12 @@
 from __future__ import annotations
 
-from itertools import combinations, product
+from itertools import combinations
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 
-from matchday.operators import kernels, lineup, squad
-from matchday.operators.kernels import undominated
+from matchday.operators import lineup
 from matchday.operators.squad_rules import CandidateColumns, SquadRules
-from matchday.plans import selection
-
-SMALL = SquadRules({"A": 1, "B": 2, "C": 1}, club_limit=2, lineup_size=3,
-                   lineup_bounds={"A": (1, 1), "B": (0, 2), "C": (0, 1)})
-NAMES = list(SMALL.position_limits)
-CANDIDATES = (
-    "player_id BIGINT, web_name STRING, position STRING, team_id BIGINT, team_code BIGINT, cost_millions DOUBLE, "
-    "photo STRING, recommendation_score DOUBLE"
-)
-
-
-def random_pool(rng, n, clubs=5, low=40, high=70, names=NAMES):
-    return [
-        (int(i), names[rng.integers(len(names))], int(rng.integers(clubs)), int(rng.integers(low, high)),
-         float(rng.integers(0, 40)) / 8)
-        for i in range(n)
-    ]
-
-
-def as_arrays(pool, names=NAMES):
-    return kernels.Pool(
-        np.array([names.index(p) for _, p, _, _, _ in pool]), np.array([u for *_, u, _ in pool]),
-        np.array([s for *_, s in pool]), np.array([c for _, _, c, _, _ in pool]),
-    )
-
-
-def exhaustive(pool, rules, budget):
-    """Best total over every valid squad, or None."""
-    best = None
-    by_position = [[r for r in pool if r[1] == p] for p in rules.position_limits]
-    for parts in product(*[combinations(rows, n) for rows, n in zip(by_position, rules.position_limits.values())]):
-        team = [r for part in parts for r in part]
-        clubs = [r[2] for r in team]
-        if sum(r[3] for r in team) <= budget and max(clubs.count(c) for c in clubs) <= rules.club_limit:
-            total = sum(r[4] for r in team)
-            best = total if best is None else max(best, total)
-    return best
-
-
-@pytest.mark.parametrize("seed", range(12))
-def test_program_equals_exhaustive_search_for_every_budget(seed):
-    pool = random_pool(np.random.default_rng(seed), 14)
-    budgets = list(range(150, 290, 7))
-    limits = list(SMALL.position_limits.values())
-    found = kernels.best_squads(as_arrays(pool), limits, SMALL.club_limit, budgets)
-    for budget, members in zip(budgets, found):
-        expected = exhaustive(pool, SMALL, budget)
-        if expected is None:
-            assert members is None
-            continue
-        team = [pool[i] for i in members]
-        assert sum(r[4] for r in team) == pytest.approx(expected)
-        assert sum(r[3] for r in team) <= budget
-        assert [sum(r[1] == p for r in team) for p in NAMES] == limits
-
-
-@pytest.mark.parametrize("club_limit,clubs", [(1, 9), (3, 3), (4, 2), (6, 1)])
-@pytest.mark.parametrize("seed", range(4))
-def test_program_for_other_club_limits(seed, club_limit, clubs):
-    rules = SquadRules({"A": 2, "B": 2, "C": 2}, club_limit=club_limit)
-    pool = random_pool(np.random.default_rng(seed), 15, clubs)
-    budgets = list(range(240, 420, 15))
-    for budget, members in zip(budgets, kernels.best_squads(as_arrays(pool), [2, 2, 2], club_limit, budgets)):
-        expected = exhaustive(pool, rules, budget)
-        assert (members is None) == (expected is None)
-        if members is not None:
-            clubs_used = [pool[i][2] for i in members]
-            assert sum(pool[i][4] for i in members) == pytest.approx(expected)
-            assert max(clubs_used.count(c) for c in clubs_used) <= club_limit
-
-
-@pytest.mark.parametrize("seed", range(8))
-def test_pruning_keeps_the_optimum(seed):
-    rng = np.random.default_rng(100 + seed)
-    pool = random_pool(rng, 160, clubs=9, low=40, high=60)
-    keep = []
-    for name in NAMES:
-        rows = [i for i, r in enumerate(pool) if r[1] == name]
-        arrays = [np.array([pool[i][k] for i in rows]) for k in (3, 4, 0)]
-        kept = undominated(*arrays, [pool[i][2] for i in rows], SMALL.same_club_bound()[name], SMALL.club_bound()[name])
-        keep += [rows[i] for i in kept]
-    assert len(keep) < len(pool)
-    limits, budgets = list(SMALL.position_limits.values()), list(range(160, 240, 4))
-    full = kernels.best_squads(as_arrays(pool), limits, SMALL.club_limit, budgets)
-    pruned_pool = [pool[i] for i in sorted(keep)]
-    pruned = kernels.best_squads(as_arrays(pruned_pool), limits, SMALL.club_limit, budgets)
-    for a, b in zip(full, pruned):
-        assert (a is None) == (b is None)
-        if a is not None:
-            assert sum(pool[i][4] for i in a) == pytest.approx(sum(pruned_pool[i][4] for i in b))
-
-
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 8), st.integers(0, 6), st.integers(0, 5)), min_size=1, max_size=40),
-       st.integers(1, 3), st.integers(1, 4))
-def test_undominated_equals_pairwise_definition(rows, same_bound, club_bound):
-    units, score, club = (np.array(x) for x in zip(*rows))
-    ids = np.arange(len(rows))
-    expected = []
-    for p in ids:
-        better = [q for q in ids if q != p and units[q] <= units[p] and score[q] >= score[p]
-                  and (score[q] > score[p] or units[q] < units[p] or q < p)]
-        same = sum(club[q] == club[p] for q in better)
-        if same < same_bound and len({club[q] for q in better}) < club_bound:
-            expected.append(p)
-    assert undominated(units, score, ids, club.tolist(), same_bound, club_bound).tolist() == expected
-
-
-def candidates(spark, seed=0, n=400, clubs=20):
-    rng = np.random.default_rng(seed)
-    names = ["GKP", "DEF", "MID", "FWD"]
-    rows = [
-        (i, f"w{i}", names[rng.integers(4)], int(rng.integers(clubs)), 7, float(rng.integers(40, 130)) / 10, "1.jpg",
-         float(rng.random()))
-        for i in range(n)
-    ]
-    return spark.createDataFrame(rows, CANDIDATES)
-
-
-def test_squads_satisfy_every_rule_and_improve_with_the_budget(spark, rows):
-    teams = selection.optimal_teams(candidates(spark), budgets=(75.0, 85.0, 100.0)).cache()
-    for budget in (75.0, 85.0, 100.0):
-        checks = lineup.squad_check(teams.filter(f"budget = {budget}"), ["budget"], budget)
-        assert not any(r["violated"] for r in rows(checks))
-    totals = rows(lineup.squad_totals(teams, ["budget"]), "budget")
-    assert [(r["starters"], r["players"]) for r in totals] == [(11, 15)] * 3
-    scores = [sum(r["recommendation_score"] for r in rows(teams.filter(f"budget = {b}"))) for b in (75.0, 85.0, 100.0)]
-    assert scores == sorted(scores)
-
-
-def test_spark_prune_equals_the_helper_and_keeps_the_objective(spark):
-    pool = candidates(spark, 3, 600)
-    kept = {r["player_id"] for r in squad.prune_candidates(pool).collect()}
-    rules = SquadRules()
-    every = [r for r in pool.collect() if r["cost_millions"] <= 100]
-    expected = set()
-    for name in rules.position_limits:
-        part = [r for r in every if r["position"] == name]
-        at = undominated(
-            np.array([round(r["cost_millions"] * 10) for r in part]), np.array([r["recommendation_score"] for r in part]),
-            np.array([r["player_id"] for r in part]), [r["team_id"] for r in part],
-            rules.same_club_bound()[name], rules.club_bound()[name])
-        expected |= {part[i]["player_id"] for i in at}
-    assert kept == expected and len(kept) < 500
-
-
-def test_scenarios_are_solved_separately(spark, rows):
-    one = candidates(spark, 1, 200).selectExpr("'one' AS scenario", "*")
-    two = candidates(spark, 2, 200).selectExpr("'two' AS scenario", "*")
-    both = squad.select_squads(one.union(two), ["scenario"])
-    alone = squad.select_squads(two, ["scenario"])
-    pick = lambda df: {r["player_id"] for r in rows(df) if r["scenario"] == "two"}
-    assert pick(both) == pick(alone) and len(pick(alone)) == 15
-
-
-def test_spark_selection_equals_exhaustive_search(spark, rows):
-    """Scenarios of 14 candidates each, several budgets, every valid squad tried."""
-    data, pools = [], {}
-    for s in range(8):
-        pools[s] = random_pool(np.random.default_rng(50 + s), 14)
-        data += [(s, i, p, c, u / 10, v) for i, p, c, u, v in pools[s]]
-    df = spark.createDataFrame(data, "s INT, player_id BIGINT, position STRING, team_id INT, cost_millions DOUBLE, "
-                                     "recommendation_score DOUBLE")
-    budgets = (16.0, 19.5, 22.0, 28.0)
-    chosen = rows(squad.select_squads(df, ["s"], budgets, SMALL))
-    for s in pools:
-        for budget in budgets:
-            team = [r for r in chosen if r["s"] == s and r["budget"] == budget]
-            best = exhaustive(pools[s], SMALL, round(budget * 10))
-            if best is None:
-                assert [r["solve_status"] for r in team] == ["infeasible"]
-            else:
-                assert sum(r["recommendation_score"] for r in team) == pytest.approx(best)
-                assert round(sum(r["cost_millions"] for r in team), 6) <= budget
-
-
-def test_infeasible_pool_is_reported_or_raised(spark, rows):
-    pool = candidates(spark, 0, 300)
-    [row] = rows(squad.select_squads(pool.selectExpr("1 AS scenario", "*"), ["scenario"], [20.0]).drop("photo")) or [None]
-    assert row["solve_status"] == "infeasible" and row["player_id"] is None and row["scenario"] == 1
-    with pytest.raises(Exception, match="no valid squad"):
-        squad.select_squads(pool, [], [60.0], strict=True).collect()
-
-
-def test_null_club_is_a_club_and_null_position_is_never_chosen(spark, rows):
-    pool = candidates(spark, 5, 300)
-    odd = pool.selectExpr("player_id + 1000 AS player_id", "web_name", "CAST(NULL AS STRING) AS position",
-                          "team_id", "team_code", "4.0D AS cost_millions", "photo", "9.0D AS recommendation_score")
-    stray = pool.filter("player_id < 40").selectExpr(
-        "player_id + 2000 AS player_id", "web_name", "position", "CAST(NULL AS BIGINT) AS team_id", "team_code",
-        "4.0D AS cost_millions", "photo", "9.0D AS recommendation_score")
-    chosen = rows(squad.select_squads(pool.union(odd).union(stray), []))
-    assert sum(r["team_id"] is None for r in chosen) == 3
-    assert all(r["position"] for r in chosen)
-
 
 LINE = CandidateColumns("id", "position", "club", "cost", "score")
 
@@ -259,21 +61,43 @@ def test_squad_check_names_each_broken_rule(spark, rows):
     }
 
 
-def test_both_ways_to_mark_starters_agree(spark, rows):
+def test_starters_of_odd_squads_equal_a_plain_choice(spark, rows):
+    """Unknown positions, missing and equal scores, squads of any size and without a line-up."""
     rng = np.random.default_rng(11)
     data = [
         (s, s * 100 + i, ["GKP", "DEF", "MID", "FWD", None][rng.integers(5)], 0, 1.0,
-         None if rng.random() < 0.05 else float(rng.integers(0, 12)))
-        for s in range(40) for i in range(18)
+         None if rng.random() < 0.05 else float(rng.integers(-3, 12)))
+        for s in range(60) for i in range(rng.integers(8, 26))
     ]
-    squads = spark.createDataFrame(data, "squad INT, id INT, position STRING, club INT, cost DOUBLE, score DOUBLE")
-    joined = lineup.mark_starters(squads, ["squad"], cols=LINE)
-    windowed = lineup.mark_starters_of_small_squads(squads, ["squad"], cols=LINE)
-    assert rows(joined, "id") == rows(windowed, "id")
-    bad = squads.filter("position = 'MID'")
-    assert not any(r["is_starter"] for r in rows(lineup.mark_starters_of_small_squads(bad, ["squad"], cols=LINE)))
-    with pytest.raises(Exception, match="no valid formation"):
-        lineup.mark_starters_of_small_squads(bad, ["squad"], cols=LINE, strict=True).collect()
+    expected = set()
+    for s in range(60):
+        listed = {p: sorted((r for r in data if r[0] == s and r[2] == p and r[5] is not None), key=lambda r: (-r[5], r[1]))
+                  for p in SquadRules().lineup_bounds}
+        best = None
+        for split in SquadRules().formations():
+            team = [r for p, n in split.items() for r in listed[p][:n]]
+            name = "-".join(str(split[p]) for p in ("DEF", "MID", "FWD"))
+            if len(team) == 11 and (best is None or (-sum(r[5] for r in team), name) < best[0]):
+                best = (-sum(r[5] for r in team), name), team
+        expected |= {r[1] for r in best[1]} if best else set()
+    squads = spark.createDataFrame(data, "squad INT, id INT, position STRING, club INT, cost DOUBLE, score DOUBLE").repartition(3)
+    assert {r["id"] for r in rows(lineup.mark_starters(squads, ["squad"], cols=LINE)) if r["is_starter"]} == expected
+    assert lineup.mark_starters(squads, ["squad"], cols=LINE).count() == len(data)
+    assert lineup.mark_starters(squads.limit(0), ["squad"], cols=LINE).count() == 0
+
+
+def test_summary_levels(spark, rows):
+    data = [("a", 1, "GKP", 1, 0.1, 3.0, True), ("a", 2, "DEF", 1, 0.2, None, False), (None, 3, None, 1, 0.7, 1.5, True),
+            (None, 4, "DEF", 1, None, 1.25, True)]
+    marked = spark.createDataFrame(data, "squad STRING, id INT, position STRING, club INT, cost DOUBLE, score DOUBLE, is_starter BOOLEAN")
+    found = {(r["level"], r["squad"], r["position"]): (r["players"], r["starters"], r["total_cost"], r["starters_cost"], r["starters_score"])
+             for r in rows(lineup.squad_summary(marked, ["squad"], LINE))}
+    assert found == {
+        ("position", "a", "GKP"): (1, 1, 0.1, 0.1, 3.0), ("position", "a", "DEF"): (1, 0, 0.2, None, None),
+        ("position", None, None): (1, 1, 0.7, 0.7, 1.5), ("position", None, "DEF"): (1, 1, None, None, 1.25),
+        ("squad", "a", None): (2, 1, 0.3, 0.1, 3.0), ("squad", None, None): (2, 2, 0.7, 0.7, 2.75),
+        ("all", None, None): (4, 3, 1.0, 0.8, 5.75)}
+    assert {r["level"] for r in rows(lineup.squad_summary(marked, [], LINE))} == {"position", "all"}
 
 
 def test_a_squad_without_a_name_and_a_repeated_player(spark, rows):

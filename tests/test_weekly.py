@@ -28,9 +28,20 @@ def landed(tmp_path_factory, data):
     return land(tmp_path_factory.mktemp("landing"), data)
 
 
+def squads_of(spark, data):
+    """Two given squads: per position, the first players of different clubs."""
+    chosen = []
+    for squad, skip in (("one", 0), ("two", 4)):
+        for code, n in ((1, 2), (2, 5), (3, 5), (4, 3)):
+            fit = [p for p in data["bootstrap"]["elements"] if p["element_type"] == code and p["status"] == "a"]
+            one_each = {p["team"]: p["id"] for p in reversed(fit)}
+            chosen += [(squad, one_each[t]) for t in sorted(one_each)[skip + code:skip + code + n]]
+    return spark.createDataFrame(chosen, "squad STRING, player_id BIGINT")
+
+
 @pytest.fixture(scope="module")
-def run(spark, landed):
-    return weekly.run_weekly(spark, landed, "full_", RUN_TS)
+def run(spark, landed, data):
+    return weekly.run_weekly(spark, landed, "full_", RUN_TS, squads=squads_of(spark, data))
 
 
 @pytest.fixture(scope="module")
@@ -103,7 +114,7 @@ def test_tables_have_the_declared_layout(tables):
         ("silver", "current_gameweek"): schemas.CURRENT_GAMEWEEK, ("bronze", "current_gameweek"): schemas.CURRENT_GAMEWEEK,
         ("gold", "current_gameweek"): schemas.CURRENT_GAMEWEEK, ("gold", "player_form"): schemas.GOLD_FORM,
         ("gold", "player_value"): schemas.GOLD_VALUE, ("gold", "upcoming_fixtures_difficulty"): schemas.GOLD_DIFFICULTY,
-        ("gold", "player_recommendation_scores"): schemas.GOLD_SCORES, ("gold", "optimal_team"): schemas.GOLD_OPTIMAL_TEAM,
+        ("gold", "player_recommendation_scores"): schemas.GOLD_SCORES, ("gold", "lineups"): schemas.GOLD_LINEUPS,
     }
     for (layer, table), schema in expected.items():
         assert tables.read(layer, table).dtypes == [(f.name, f.dataType.simpleString()) for f in schema.fields], table
@@ -115,7 +126,7 @@ def test_counts_and_one_ingestion_time(rows, run, tables, data):
     assert counts["bronze.players_snapshot"] == counts["silver.players"] == len(players)
     assert counts["silver.player_gameweek_stats"] == sum(map(len, data["history"].values()))
     assert counts["gold.player_recommendation_scores"] == sum(p["status"] == "a" for p in players)
-    assert counts["gold.optimal_team"] == 15
+    assert counts["gold.lineups"] == 30
     for table in ("players_snapshot", "teams_snapshot", "fixtures_snapshot", "player_gameweek_history"):
         times = tables.read("bronze", table).selectExpr("unix_seconds(ingestion_ts) AS at").distinct().collect()
         assert [t["at"] for t in times] == [int(RUN_TS.timestamp())]
@@ -126,12 +137,14 @@ def test_current_gameweek_is_carried_through(rows, tables):
         assert [r["name"] for r in rows(tables.read(layer, "current_gameweek"))] == ["Gameweek 3"]
 
 
-def test_team_obeys_the_rules(rows, tables):
-    team = tables.read("gold", "optimal_team")
-    assert not any(r["violated"] for r in rows(lineup.squad_check(team, [])))
-    starting = [r["position"] for r in rows(team) if r["is_starter"]]
-    assert len(starting) == 11
-    assert all(low <= starting.count(p) <= high for p, (low, high) in SquadRules().lineup_bounds.items())
+def test_lineups_obey_the_rules(rows, tables):
+    team = tables.read("gold", "lineups")
+    checked = rows(lineup.squad_check(team, ["squad"], budget=10_000.0))
+    assert len(checked) == 14 and not any(r["violated"] for r in checked)
+    for squad in ("one", "two"):
+        starting = [r["position"] for r in rows(team) if r["is_starter"] and r["squad"] == squad]
+        assert len(starting) == 11
+        assert all(low <= starting.count(p) <= high for p, (low, high) in SquadRules().lineup_bounds.items())
 
 
 def test_quality_is_clean(rows, tables):
@@ -143,31 +156,36 @@ def test_audit_rows(rows, run, tables, data):
     assert {r["status"] for r in log} == {"started", "completed"}
     done = {(r["step"], r["table"]): r for r in log if r["status"] == "completed"}
     assert done[("bronze_write", "players_snapshot")]["row_count"] == len(data["bootstrap"]["elements"])
-    assert {"bronze", "silver", "gold", "selection"} <= {step for step, _ in done}
+    assert {"bronze", "silver", "gold", "lineups"} <= {step for step, _ in done}
     assert all(r["duration_s"] >= 0 for r in done.values())
 
 
 def test_reports(spark, rows, tables):
-    scores, team = tables.read("gold", "player_recommendation_scores"), tables.read("gold", "optimal_team")
+    scores = tables.read("gold", "player_recommendation_scores")
+    both = tables.read("gold", "lineups")
     ranking = rows(reports.rankings(scores), "position_order", "place")
     assert [p for p in dict.fromkeys(r["position"] for r in ranking)] == ["GKP", "DEF", "MID", "FWD"]
     assert all([r["place"] for r in ranking if r["position"] == p] == list(range(1, 21)) for p in ("DEF", "MID"))
     first = ranking[0]
     assert first["cost"].endswith("M") and first["calendar"].endswith("/5") and first["full_name"].startswith("First ")
-    assert len(rows(reports.lineup_cards(team))) == 11
-    [totals] = rows(reports.team_totals(team))
+    cards = rows(reports.lineup_cards(both, ["squad"]), "squad", "place")
+    assert [r["place"] for r in cards] == [*range(1, 12)] * 2
+    assert [r["position_order"] for r in cards[:11]] == sorted(r["position_order"] for r in cards[:11])
+    team = both.filter("squad = 'one'")
+    totals = {r["position"]: r for r in rows(reports.team_totals(team))}
     members = rows(team)
-    assert totals["total_cost"] == pytest.approx(sum(r["cost_millions"] for r in members))
+    assert totals[None]["total_cost"] == pytest.approx(sum(r["cost_millions"] for r in members))
     starters = [r for r in members if r["is_starter"]]
-    assert totals["total_score_text"] == f"{sum(r['recommendation_score'] for r in starters):.3f}"
-    assert totals["starters_cost_text"] == f"{sum(r['cost_millions'] for r in starters):.1f}M / 100.0M"
+    assert totals[None]["starters_score_text"] == f"{sum(r['recommendation_score'] for r in starters):.3f}"
+    assert totals[None]["starters_cost_text"] == f"{sum(r['cost_millions'] for r in starters):.1f}M / 100.0M"
+    assert totals["GKP"]["starters"] == 1 and totals["GKP"]["players"] == 2
     assert [r["is_starter"] for r in reports.squad_list(team).collect()] == [True] * 11 + [False] * 4
     assert len(reports.top_players(scores).collect()) == 10
     assert rows(reports.gameweek_badge(tables.read("gold", "current_gameweek"))) == [{"name": "Gameweek 3"}]
     assert rows(reports.gameweek_badge(tables.read("gold", "current_gameweek").limit(0))) == [{"name": None}]
-    reports.register_views(tables)
-    assert spark.sql("SELECT * FROM serving_rankings").columns[:3] == ["first_name", "second_name", "web_name"]
-    assert spark.sql("SELECT count(*) AS n FROM serving_team WHERE is_starter").first()["n"] == 11
+    assert reports.register_views(tables) == ["serving_rankings", "serving_lineups", "serving_gameweek"]
+    assert "player_id" not in spark.table("serving_rankings").columns
+    assert spark.sql("SELECT count(*) AS n FROM serving_lineups WHERE is_starter").first()["n"] == 22
     assert spark.sql("SELECT name FROM serving_gameweek").first()["name"] == "Gameweek 3"
 
 
@@ -219,8 +237,89 @@ def test_blocking_quality_stops_before_gold(spark, tmp_path):
     assert not Warehouse(spark, "broken_").exists("gold", "player_form")
 
 
-@pytest.mark.parametrize("budget", [40.0, 1.0])
-def test_infeasible_budget_fails_the_selection(spark, landed, budget):
-    with pytest.raises(Exception, match="no valid squad"):
-        weekly.run_weekly(spark, landed, "poor_", RUN_TS, budget=budget)
-    assert not Warehouse(spark, "poor_").exists("gold", "optimal_team")
+def test_quarantine_keeps_the_good_and_writes_the_bad(spark, rows, tmp_path):
+    data = league(seed=6)
+    path = land(tmp_path / "bad", data)
+    elements = data["bootstrap"]["elements"]
+    broken = {**elements[0], "id": 9001, "now_cost": "dear"}
+    (tmp_path / "bad" / "bootstrap.json").write_text(json.dumps({**data["bootstrap"], "elements": [*elements, broken, None]}))
+    (tmp_path / "bad" / "element-summary" / "9002.json").write_text("<html>")
+    (tmp_path / "bad" / "element-summary" / "9003.json").write_text('{"history_past":[]}')
+    whole = json.dumps(data["fixtures"])
+    (tmp_path / "bad" / "fixtures.json").write_text(whole[:-40])
+    with pytest.raises(Exception, match="malformed|MALFORMED"):
+        weekly.run_weekly(spark, path, "bad_", RUN_TS)
+    result = weekly.run_weekly(spark, path, "bad_", RUN_TS, mode="quarantine")
+    tables = Warehouse(spark, "bad_")
+    assert result.completed
+    assert tables.read("bronze", "players_snapshot").count() == len(elements)
+    assert tables.read("bronze", "fixtures_snapshot").count() == len(data["fixtures"]) - 1
+    assert tables.read("bronze", "player_gameweek_history").count() == sum(map(len, data["history"].values()))
+    found = rows(tables.read("audit", "quarantine"))
+    assert all(r["ingestion_ts"] is not None for r in found)
+    assert sorted((r["source"], r["source_path"].rsplit("/", 1)[1], r["pos"], r["reason"]) for r in found if r["pos"] is not None) == [
+        ("bootstrap.json:elements", "bootstrap.json", len(elements), landing.NOT_THE_SCHEMA),
+        ("bootstrap.json:elements", "bootstrap.json", len(elements) + 1, landing.NO_RECORD),
+        ("fixtures.json:[]", "fixtures.json", len(data["fixtures"]) - 1, landing.NOT_JSON)]
+    assert sorted((r["source_path"].rsplit("/", 1)[1], r["reason"], r["raw_payload"]) for r in found if r["pos"] is None) == [
+        ("9002.json", landing.NOT_JSON, "<html>"), ("9003.json", landing.NO_ARRAY, '{"history_past":[]}')]
+
+
+def test_a_failing_write_leaves_the_old_table(spark, rows):
+    warehouse = Warehouse(spark, "swap_")
+    warehouse.create_layers()
+    sink = TableSink(warehouse, RunLog(warehouse))
+    sink.write(spark.range(5), "silver", "t")
+    bad = spark.range(9).selectExpr("IF(id = 7, CAST(raise_error('no') AS BIGINT), id) AS id")
+    with pytest.raises(Exception, match="no"):
+        sink.write(bad, "silver", "t")
+    assert tables_of(spark, "swap_silver") == ["t"] and warehouse.read("silver", "t").count() == 5
+    # A table may be rewritten from itself; a run cut off between the renames is put right.
+    assert sink.write(warehouse.read("silver", "t").selectExpr("id + 1 AS id"), "silver", "t").agg({"id": "max"}).first()[0] == 5
+    spark.sql("ALTER TABLE swap_silver.t RENAME TO swap_silver.t__old")
+    assert warehouse.exists("silver", "t") and warehouse.read("silver", "t").count() == 5
+    assert tables_of(spark, "swap_silver") == ["t"]
+
+
+def tables_of(spark, database):
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+
+
+def test_resume_after_a_failure_in_gold(spark, rows, tmp_path, monkeypatch):
+    path = land(tmp_path / "again", league(seed=8))
+    tables = Warehouse(spark, "again_")
+
+    def fails(*_):
+        raise RuntimeError("gold is broken")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(weekly.gold, "player_value", fails)
+        with pytest.raises(RuntimeError):
+            weekly.run_weekly(spark, path, "again_", RUN_TS)
+    files = sorted(tables.read("silver", "players").inputFiles())
+    second = weekly.run_weekly(spark, path, "again_", RUN_TS, resume=True)
+    assert second.completed and sorted(tables.read("silver", "players").inputFiles()) == files
+    events = [r for r in rows(tables.read("audit", "run_log")) if r["run_id"] == second.run_id]
+    assert {(r["step"], r["status"]) for r in events if r["table"] is None} == {
+        ("bronze", "reused"), ("silver", "reused"), ("gold", "started"), ("gold", "completed")}
+    assert not any(r["step"] in ("bronze_write", "silver_write") for r in events)
+    # Everything is finished, then the input changes.
+    third = weekly.run_weekly(spark, path, "again_", RUN_TS, resume=True)
+    assert {r["status"] for r in rows(tables.read("audit", "run_log")) if r["run_id"] == third.run_id} == {"reused"}
+    (tmp_path / "again" / "event" / "4.json").write_text('{"elements": []}')
+    fourth = weekly.run_weekly(spark, path, "again_", RUN_TS, resume=True)
+    assert any(r["step"] == "bronze_write" for r in rows(tables.read("audit", "run_log")) if r["run_id"] == fourth.run_id)
+    assert sorted(tables.read("silver", "players").inputFiles()) != files
+
+
+def test_types_of_all_key_paths(spark, rows):
+    texts = ['{"a":1,"b":{"c":null,"VARIANT":2},"d":[1,2.5,null],"e":[]}', '{"a":2.5,"b":{"c":null},"d":null,"f":{}}', '{"a":null,"g":1}',
+             '{"g":"x","h":[{"i":true},{"j":12345678901234567890}]}', None, "no json"]
+    df = spark.createDataFrame([(t,) for t in texts], f"{landing.RAW} STRING").repartition(3)
+    seen = {(".".join(r["path"]), r["type"]): r["n"] for r in rows(landing.observed_types(df))}
+    assert seen[("", "object")] == 4 and seen[("", "invalid")] == 2 and seen[("b.c", "null")] == 2 and seen[("d.[]", "double")] == 1
+    inferred = landing.infer_schema(df.filter("raw_payload LIKE '{%'"))
+    assert inferred.simpleString() == (
+        "struct<a:double,b:struct<VARIANT:bigint,c:void>,d:array<double>,e:array<void>,f:string,g:string,"
+        "h:array<struct<i:boolean,j:double>>>")
+    assert landing.infer_schema(df.limit(0)).names == []
