@@ -25,37 +25,41 @@ def _no_formation() -> Column:
 def _choices(squads: DataFrame, squad: Sequence[str], rules: SquadRules, cols: CandidateColumns) -> DataFrame:
     """Per squad, ``formation``, ``total`` and ``__last``: by position, the last starter as (score, id).
 
-    A line-up uses the best few players of a position, so those are all that leaves the map side. They become one short array per
-    squad and position; each formation takes the beginnings of these arrays. Squads without a valid line-up have no row."""
-    positions = list(rules.lineup_bounds)
+    A line-up uses the best few players of a position, so those are all that leaves the map side. One aggregation adds up the best k of
+    each position for every k that a formation asks for; a formation's total is the sum of four of them."""
     most = max(high for _, high in rules.lineup_bounds.values())
-    usable = squads.filter(F.col(cols.position).isin(positions) & F.col(cols.score).isNotNull())
+    formations = _formations(rules)
+    wanted = sorted({(p, k) for split in formations.values() for p, k in split.items() if k})
+    usable = squads.filter(F.col(cols.position).isin(list(rules.lineup_bounds)) & F.col(cols.score).isNotNull())
     usable = usable.select(*squad, F.col(cols.position).alias("__position"), F.col(cols.score).alias("score"), F.col(cols.id).alias("id"))
-    order = [F.col("score").desc(), F.col("id").asc()]
-    best = first_n_per_key(usable, [*squad, "__position"], order, most, rank="__place")
-    entry = F.struct("__place", "score", "id")
-    arrays = best.groupBy(*squad).agg(*[
-        F.sort_array(F.collect_list(F.when(F.col("__position") == p, entry))).alias(f"__p{i}") for i, p in enumerate(positions)])
-
-    def option(place: int, name: str, split: dict[str, int]) -> Column:
-        total: Column = F.lit(0.0)
-        for i, position in enumerate(positions):
-            taken = F.slice(F.col(f"__p{i}")["score"], 1, split[position]) if split[position] else F.array().cast("array<double>")
-            total = total + F.aggregate(taken, F.lit(0.0), lambda acc, x: acc + x)
-        filled = F.lit(True)
-        for i, position in enumerate(positions):
-            filled = filled & (F.size(f"__p{i}") >= split[position])
-        needed = F.array(*[F.lit(split[p]) for p in positions])
+    best = first_n_per_key(usable, [*squad, "__position"], [F.col("score").desc(), F.col("id").asc()], most, rank="__place")
+    place, score = F.col("__place"), F.col("score").cast("double")
+    sums = []
+    for i, (position, k) in enumerate(wanted):
+        here = F.col("__position") == position
+        sums += [F.sum(F.when(here & (place <= k), score)).alias(f"__sum{i}"),
+                 F.max(F.when(here & (place == k), F.struct("score", "id"))).alias(f"__last{i}")]
+    summed = best.groupBy(*squad).agg(*sums)
+
+    options, lasts = [], []
+    for number, (name, split) in enumerate(formations.items()):
+        used = [wanted.index((p, k)) for p, k in split.items() if k]
+        total = F.lit(0.0)
+        for i in used:
+            # A position with fewer players has no k-th one, and the formation no total.
+            total = total + F.when(F.col(f"__last{i}").isNotNull(), F.col(f"__sum{i}"))
         # Rounding keeps the choice independent of the order of summation.
-        return F.when(filled, F.struct(F.round(total, 6).alias("rounded"), F.lit(-place).alias("place"),
-                                       F.lit(name).alias("formation"), total.alias("total"), needed.alias("needed")))
-
-    options = [option(i, name, split) for i, (name, split) in enumerate(_formations(rules).items())]
-    chosen = arrays.withColumn("__best", F.array_max(F.array(*options))).filter(F.col("__best").isNotNull())
-    last = F.array(*[
-        F.when(F.col("__best.needed")[i] > 0, F.get(F.col(f"__p{i}"), F.col("__best.needed")[i] - 1)) for i in range(len(positions))])
+        options.append(F.when(total.isNotNull(), F.struct(
+            F.round(total, 6).alias("rounded"), F.lit(-number).alias("place"), F.lit(name).alias("formation"), total.alias("total"))))
+    chosen = summed.withColumn("__best", F.array_max(F.array(*options))).filter(F.col("__best").isNotNull())
+    for position in rules.lineup_bounds:
+        last = F.lit(None)
+        for name, split in formations.items():
+            if split[position]:
+                last = F.when(F.col("__best.formation") == name, F.col(f"__last{wanted.index((position, split[position]))}")).otherwise(last)
+        lasts.append(last)
     return chosen.select(*squad, F.col("__best.formation").alias("formation"), F.col("__best.total").alias("total"),
-                         last.alias("__last"))
+                         F.array(*lasts).alias("__last"))
 
 
 def best_formation(squads: DataFrame, squad: Sequence[str], rules: SquadRules = SquadRules(),

@@ -59,16 +59,14 @@ def _running_tops(rows: DataFrame, before: Window, new: Column, old: Column | No
     A row adds ``new`` (NULL: nothing) and, with ``old``, takes that lower value away. The highest never falls; below it, the value
     that the row pushes out takes the place of ``new``, unless ``old`` was the highest itself."""
     added, removed = f"__{name}_new", f"__{name}_old"
-    rows = rows.withColumn(added, new)
-    rows = rows.withColumn(removed, F.lit(None).cast(rows.schema[added].dataType) if old is None else old)
+    rows = rows.withColumns({added: new, removed: F.lit(None) if old is None else old})
     for i in range(1, k + 1):
-        top = f"{name}{i}"
-        rows = rows.withColumn(top, F.max(added).over(before))
-        up = _greater(F.col(added), F.col(top))
-        pushed = F.when(F.col(removed).eqNullSafe(F.col(top)), None).otherwise(F.col(top))
-        rows = rows.withColumn("__pushed", F.when(up, pushed).otherwise(F.col(added)))
-        rows = rows.withColumn(removed, F.when(F.col("__pushed").isNotNull(), F.col(removed)))
-        rows = rows.withColumn(added, F.col("__pushed")).drop("__pushed")
+        top = F.col(f"{name}{i}")
+        rows = rows.withColumn(f"{name}{i}", F.max(added).over(before))
+        up = _greater(F.col(added), top)
+        out = F.when(F.col(removed).eqNullSafe(top), None).otherwise(top) if old is not None else top
+        pushed = F.when(up, out).otherwise(F.col(added))
+        rows = rows.withColumns({added: pushed, removed: F.when(pushed.isNotNull(), F.col(removed))} if old is not None else {added: pushed})
     return rows.drop(added, removed)
 
 

@@ -48,7 +48,7 @@ customer_value AS (
 _CALENDAR = """
 calendar AS (
   SELECT id, 'Gameweek ' || id AS name, strftime(min(o_orderdate), '%Y-%m-%d') AS deadline_time, id < 24000 AS finished,
-         id % 2 = 0 AS data_checked, id = 24001 AS is_next
+         id % 2 = 0 AS data_checked, id = 24000 AS is_current, id = 24001 AS is_next
   FROM (SELECT CAST(year(o_orderdate) * 12 + month(o_orderdate) AS BIGINT) AS id, o_orderdate FROM orders) GROUP BY id)
 """
 
@@ -158,6 +158,9 @@ _PORTRAIT = "https://resources.premierleague.com/premierleague/photos/players/11
 _BADGE = "https://resources.premierleague.com/premierleague/badges/50/t"
 
 
+_PLACE = "CASE position WHEN 'GKP' THEN 1 WHEN 'DEF' THEN 2 WHEN 'MID' THEN 3 WHEN 'FWD' THEN 4 END::BIGINT"
+
+
 def _dominance(pool: str, same: str, clubs: str) -> str:
     """Candidates kept, by comparing every pair. ``pool`` has id, pos, club, cost, score."""
     return f"""{pool},
@@ -192,13 +195,40 @@ def oracle_sql() -> dict[str, str]:
                    ('t', 'true', 'y', 'yes', '1', 'f', 'false', 'n', 'no', '0')
             UNION ALL SELECT 'o_totalprice', 0""",
         "raw_payload": """
-            SELECT c_custkey, CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name,
-                   'c_mktsegment': nullif(c_mktsegment, 'MACHINERY')}) AS VARCHAR) AS raw_payload FROM customer""",
+            SELECT c_custkey, CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey,
+                   'c_acctbal': c_acctbal, 'c_mktsegment': nullif(c_mktsegment, 'MACHINERY')}) AS VARCHAR) AS raw_payload
+            FROM customer""",
         "json_fields": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
         "document_records": """
             SELECT o_custkey AS customer_id, 0 AS pos, o_orderkey AS id, o_orderpriority AS name,
                    o_orderstatus = 'F' AS finished, o_orderstatus = 'P' AS is_current FROM orders
             UNION ALL SELECT o_custkey, 1, o_orderkey + 1, NULL, NULL, NULL FROM orders""",
+        "quarantined_records": """
+            WITH o AS (SELECT o_orderkey AS k, '{"id":' || o_orderkey || ',"name":"' || o_orderpriority || '"}' AS rec FROM orders)
+            SELECT k AS order_id, NULL::BIGINT AS pos, 'not a JSON document' AS reason, '{"events":[' || rec AS raw_payload
+            FROM o WHERE k % 11 = 0
+            UNION ALL SELECT k, NULL, 'no array of records', '{"other":[]}' FROM o WHERE k % 11 = 1
+            UNION ALL SELECT k, 1, 'record does not fit the schema', '{"id":"x' || k || '"}' FROM o WHERE k % 11 > 1 AND k % 3 = 0
+            UNION ALL SELECT k, 1, 'null record', NULL FROM o WHERE k % 11 > 1 AND k % 3 = 1""",
+        "accepted_records": """
+            SELECT o_orderkey AS order_id, 0::BIGINT AS pos, o_orderkey AS id, o_orderpriority AS name, NULL::BOOLEAN AS finished
+            FROM orders WHERE o_orderkey % 11 > 1""",
+        "array_records": """
+            SELECT o_custkey % 4 AS part, row_number() OVER (PARTITION BY o_custkey % 4 ORDER BY o_orderkey) - 1 AS pos,
+                   o_orderkey AS id, '},{"' || o_orderpriority AS name, o_orderkey % 3 AS n FROM orders""",
+        "observed_types": """
+            WITH e AS (SELECT props::JSON AS j FROM events), n AS (SELECT count(*) AS n FROM orders)
+            SELECT 'events' AS source, '' AS path, 'object' AS type, count(*) AS n FROM e WHERE json_type(j) = 'OBJECT'
+            UNION ALL SELECT 'events', k, t, count(*) FROM (
+              SELECT k, CASE json_type(j -> k) WHEN 'UBIGINT' THEN 'bigint' WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double'
+                        WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' ELSE lower(json_type(j -> k)) END AS t
+              FROM (SELECT j, unnest(json_keys(j)) AS k FROM e)) GROUP BY k, t
+            UNION ALL SELECT 'orders', x.path, x.type, n FROM n, LATERAL (VALUES ('', 'object'), ('id', 'bigint'), ('total', 'double'),
+              ('none', 'null'), ('tags', 'array'), ('tags.[]', 'string'), ('tags.[]', 'null'), ('inner', 'object')) x(path, type)
+            UNION ALL SELECT 'orders', 'mixed', CASE WHEN o_orderkey % 2 = 0 THEN 'bigint' ELSE 'string' END AS t, count(*)
+            FROM orders GROUP BY t
+            UNION ALL SELECT 'orders', 'inner.done', CASE WHEN o_orderstatus = 'F' THEN 'boolean' ELSE 'null' END AS t, count(*)
+            FROM orders GROUP BY t""",
         "display_fields": f"""
             SELECT c_custkey, nullif(c_mktsegment, 'MACHINERY') || ' ' || c_name AS full_name,
                    CASE WHEN c_custkey % 7 <> 0 THEN '{_PORTRAIT}' || c_custkey || '.png' END AS portrait_url,
@@ -230,6 +260,8 @@ def oracle_sql() -> dict[str, str]:
         "gameweek_gate": f"""
             WITH {_CALENDAR} SELECT id, name, data_checked FROM calendar WHERE finished ORDER BY id DESC LIMIT 1""",
         "gameweek_current": f"""
+            WITH {_CALENDAR} SELECT deadline_time, finished, id AS gameweek_id, name FROM calendar WHERE is_current""",
+        "gameweek_upcoming": f"""
             WITH {_CALENDAR} SELECT deadline_time, finished, id AS gameweek_id, name FROM calendar WHERE is_next""",
         "rolling_series": """
             SELECT o_custkey, o_orderkey, round(avg(o_totalprice) OVER w, 6) AS avg_recent,
@@ -337,10 +369,46 @@ def oracle_sql() -> dict[str, str]:
               round(sum(c_acctbal) FILTER (is_starter), 2) AS total_score,
               round(sum(cost) FILTER (is_starter), 2) AS starters_cost,
               count(*) FILTER (is_starter) AS starters, count(c_custkey) AS players FROM marked GROUP BY c_nationkey""",
+        "lineup_cards": f"""
+            WITH {_LINEUP} SELECT c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY {_PLACE}, m.c_acctbal DESC, c_custkey)
+              AS place, c_custkey, c_name AS web_name, position, {_PLACE} AS position_order,
+              '{_PORTRAIT}' || c_custkey || '.png' AS portrait_url, '{_BADGE}' || (c_nationkey + 100) || '.png' AS badge_url,
+              printf('%.1fM', cost) AS cost, m.c_acctbal AS recommendation_score
+            FROM marked m JOIN (SELECT c_custkey, c_name FROM customer) USING (c_custkey) WHERE is_starter""",
+        "squad_places": f"""
+            WITH {_LINEUP} SELECT c_nationkey, c_custkey, is_starter, row_number() OVER (
+              PARTITION BY c_nationkey ORDER BY is_starter DESC, {_PLACE} NULLS LAST, c_acctbal DESC, c_custkey) AS place FROM marked""",
+        "squad_summary": f"""
+            WITH {_LINEUP}, s AS (
+              SELECT c_nationkey, position, CASE WHEN grouping(position) = 0 THEN 'position' WHEN grouping(c_nationkey) = 0 THEN 'squad'
+                       ELSE 'all' END AS level, count(*) AS players, count(*) FILTER (is_starter) AS starters,
+                CAST(sum(CAST(cost AS DECIMAL(28,6))) AS DOUBLE) AS total_cost,
+                CAST(sum(CAST(cost AS DECIMAL(28,6))) FILTER (is_starter) AS DOUBLE) AS starters_cost,
+                CAST(sum(CAST(c_acctbal AS DECIMAL(28,6))) FILTER (is_starter) AS DOUBLE) AS starters_score
+              FROM marked GROUP BY GROUPING SETS ((c_nationkey, position), (c_nationkey), ()))
+            SELECT *, printf('%.1fM / 100.0M', total_cost) AS total_cost_text, printf('%.1fM / 100.0M', starters_cost) AS starters_cost_text,
+              printf('%.3f', starters_score) AS starters_score_text FROM s""",
+        "given_lineups": f"""
+            WITH {_GOLD},
+            members AS (SELECT player_id % 40 AS squad, player_id, position, round(recommendation_score, 6) AS score FROM scores),
+            placed AS (SELECT *, row_number() OVER (PARTITION BY squad, position ORDER BY score DESC, player_id) AS rn FROM members
+                       WHERE position IS NOT NULL),
+            formations AS (
+              SELECT concat_ws('-', d, m, w) AS formation, x.position, x.needed
+              FROM (SELECT * FROM range(3, 6) a(d), range(2, 6) b(m), range(1, 4) c(w) WHERE d + m + w = 10),
+              LATERAL (VALUES ('GKP', 1), ('DEF', d), ('MID', m), ('FWD', w)) x(position, needed)),
+            totals AS (SELECT squad, formation, sum(score) AS total FROM placed p JOIN formations f ON p.position = f.position AND rn <= needed
+                       GROUP BY squad, formation HAVING count(*) = 11),
+            chosen AS (SELECT squad, formation FROM (
+              SELECT *, row_number() OVER (PARTITION BY squad ORDER BY round(total, 6) DESC, formation) AS z FROM totals) WHERE z = 1),
+            starting AS (SELECT p.player_id FROM placed p JOIN chosen c USING (squad)
+                         JOIN formations f ON f.formation = c.formation AND f.position = p.position AND rn <= needed)
+            SELECT squad, player_id, position, player_id IN (SELECT player_id FROM starting) AS is_starter, score AS recommendation_score
+            FROM members""",
         "squad_check": """
-            WITH p AS (SELECT p_size AS squad, p_brand, p_type FROM part),
+            WITH p AS (SELECT p_size AS squad, p_brand, p_type, p_retailprice / 100 AS price FROM part),
             s AS (
-              SELECT squad, count(*) AS n, squad * count(*) / 10.0 AS cost, count(*) FILTER (p_type = 'ECONOMY') AS g,
+              SELECT squad, count(*) AS n, CAST(sum(CAST(price AS DECIMAL(28,6))) AS DOUBLE) AS cost, count(*) FILTER (p_type = 'ECONOMY') AS g,
                      count(*) FILTER (p_type = 'SMALL') AS d, count(*) FILTER (p_type = 'STANDARD') AS m,
                      count(*) FILTER (p_type = 'PROMO') AS f FROM p GROUP BY squad),
             k AS (SELECT squad, max(n) AS club FROM (SELECT squad, p_brand, count(*) AS n FROM p GROUP BY squad, p_brand)
@@ -416,9 +484,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT player_id, position, CAST(CASE position WHEN 'GKP' THEN 1 WHEN 'DEF' THEN 2 WHEN 'MID' THEN 3 ELSE 4 END
                 AS BIGINT) AS position_order, place, first_name || ' ' || second_name AS full_name,
               '{_PORTRAIT}' || player_id || '.png' AS portrait_url, '{_BADGE}' || team_code || '.png' AS badge_url,
-              printf('%.1fM', cost_millions) AS cost FROM listed WHERE place <= 20""",
+              printf('%.1fM', cost_millions) AS cost, printf('%.1f', avg_points_recent) AS form,
+              printf('%.2f', points_per_million) AS points_per_million, printf('%.1f/5', avg_upcoming_difficulty) AS calendar,
+              printf('%.3f', round(recommendation_score, 6)) AS score FROM listed WHERE place <= 20""",
         "report_top10": f"""
             WITH {_GOLD} SELECT player_id, web_name, round(recommendation_score, 6) AS recommendation_score
             FROM scores ORDER BY round(recommendation_score, 6) DESC, player_id LIMIT 10""",
-        "report_gameweek": f"WITH {_CALENDAR} SELECT max(name) AS name FROM calendar WHERE is_next",
+        "report_gameweek": f"WITH {_CALENDAR} SELECT max(name) AS name FROM calendar WHERE is_current",
     }

@@ -7,10 +7,12 @@ match of a player's history, line item = fixture. The ``silver_*``, ``gold_*`` a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchday import schemas
 from matchday.functions.projection import Field, cast_failures, project
@@ -28,10 +30,13 @@ from matchday.operators.shaping import left_join_dim, union_sides, unpivot_sides
 from matchday.operators.squad import prune_candidates
 from matchday.operators.squad_rules import CandidateColumns
 from matchday.plans import gold, reports, silver
+from matchday.plans.selection import lineups
 from matchday.plans.star import League
 from matchday.plans.weekly import current_gameweek, last_finished
 from matchday.sources import landing
+from matchday.sources.arrays import array_records
 from matchday.sources.frames import with_payload
+from matchday.sources.staging import shared_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,9 +99,7 @@ def cast_report(t: League) -> DataFrame:
 
 @_query
 def raw_payload(t: League) -> DataFrame:
-    rows = t.table("customer").select(
-        "c_custkey", "c_name", F.nullif("c_mktsegment", F.lit("MACHINERY")).alias("c_mktsegment")
-    )
+    rows = t.table("customer").withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("MACHINERY")))
     return with_payload(rows).select("c_custkey", "raw_payload")
 
 
@@ -123,6 +126,70 @@ def document_records(t: League) -> DataFrame:
     return typed.select("customer_id", landing.POS, "id", "name", "finished", "is_current")
 
 
+def _mixed_documents(t: League) -> DataFrame:
+    """A document per order: cut short, without the array, or with records that do not fit the schema or are null."""
+    key = F.col("o_orderkey")
+    record = F.to_json(F.struct(key.alias("id"), F.col("o_orderpriority").alias("name")))
+    second = F.when(key % 3 == 0, F.concat(F.lit(',{"id":"x'), key, F.lit('"}'))).when(key % 3 == 1, F.lit(",null")).otherwise("")
+    whole = F.concat(F.lit('{"events":['), record, second, F.lit("]}"))
+    text = F.when(key % 11 == 0, F.concat(F.lit('{"events":['), record)).when(key % 11 == 1, F.lit('{"other":[]}')).otherwise(whole)
+    documents = t.table("orders").select(
+        text.alias(landing.DOCUMENT), F.concat(F.lit("event/"), key, F.lit(".json")).alias(landing.PATH))
+    return landing.with_path_key(documents, "order_id")
+
+
+def _sorted_out(t: League) -> DataFrame:
+    raw = landing.raw_records(_mixed_documents(t), "events", ("order_id",))
+    return staged(landing.sorted_out(raw, schemas.GAMEWEEK_RECORD, ("order_id",)), "parsed")
+
+
+@_query
+def quarantined_records(t: League) -> DataFrame:
+    return landing.rejected(_sorted_out(t), ("order_id",)).select(
+        "order_id", F.col(landing.POS).cast("bigint").alias(landing.POS), landing.REASON, landing.RAW)
+
+
+@_query
+def accepted_records(t: League) -> DataFrame:
+    return landing.accepted(_sorted_out(t), ("order_id", landing.POS)).select(
+        "order_id", F.col(landing.POS).cast("bigint").alias(landing.POS), "id", "name", "finished")
+
+
+@_query
+def array_records_query(t: League) -> DataFrame:
+    """The orders as four JSON arrays, one file each, read by many tasks; texts hold braces and quotes."""
+    part, key = F.col("o_custkey") % 4, F.col("o_orderkey")
+    in_file = Window.partitionBy("part").orderBy("o_orderkey")
+    record = F.to_json(F.struct(key.alias("id"), F.concat(F.lit('},{"'), F.col("o_orderpriority")).alias("name"),
+                                F.struct((key % 3).alias("n")).alias("inner")))
+    lines = t.table("orders").withColumn("part", part).select(
+        "part", "o_orderkey", F.concat(
+            F.when(F.row_number().over(in_file) == 1, "[").otherwise(","), record,
+            F.when(F.lead("o_orderkey").over(in_file).isNull(), "]").otherwise("")).alias("value"))
+    path = f"{shared_folder(t.spark)}/arrays-{uuid.uuid4().hex}"
+    lines.repartition("part").sortWithinPartitions("part", "o_orderkey").drop("o_orderkey").write.partitionBy("part").text(path)
+    found = array_records(t.spark, path)
+    inner = T.StructField("inner", T.StructType([T.StructField("n", T.LongType())]))
+    schema = T.StructType([*schemas.GAMEWEEK_RECORD.fields, inner])
+    typed = landing.typed(found.filter(F.col(landing.REASON).isNull()), schema, (landing.PATH, landing.POS))
+    return typed.select(F.regexp_extract(landing.PATH, r"part=(\d+)", 1).cast("bigint").alias("part"),
+                        F.col(landing.POS).cast("bigint").alias(landing.POS), "id", "name", F.col("inner.n").alias("n"))
+
+
+@_query
+def observed_types(t: League) -> DataFrame:
+    """The JSON types under every key path of the events' properties and of documents made of the orders."""
+    key = F.col("o_orderkey")
+    mixed = F.when(key % 2 == 0, key.cast("string")).otherwise(F.concat(F.lit('"'), key, F.lit('"')))
+    text = F.concat(
+        F.lit('{"id":'), key, F.lit(',"total":'), F.col("o_totalprice").cast("decimal(20,2)"), F.lit(',"mixed":'), mixed,
+        F.lit(',"none":null,"tags":["'), F.col("o_orderpriority"), F.lit('",null],"inner":{"done":'),
+        F.when(F.col("o_orderstatus") == "F", "true").otherwise("null"), F.lit("}}"))
+    found = [landing.observed_types(df).withColumn("source", F.lit(name)) for name, df in (
+        ("events", t.table("events").select(F.col("props").alias(landing.RAW))), ("orders", t.table("orders").select(text.alias(landing.RAW))))]
+    return found[0].unionByName(found[1]).select("source", F.concat_ws(".", "path").alias("path"), "type", "n")
+
+
 @_query
 def display_fields(t: League) -> DataFrame:
     photo = F.concat(F.col("c_custkey"), F.lit(".jpg"))
@@ -214,8 +281,8 @@ def current_or_next_query(t: League) -> DataFrame:
     )
 
 
-def _calendar(t: League) -> DataFrame:
-    """Months of the orders as gameweeks; the middle of the calendar is in progress."""
+def _calendar(t: League, current: bool = True) -> DataFrame:
+    """Months of the orders as gameweeks; the middle of the calendar is in progress, or just over."""
     month = F.year("o_orderdate") * 12 + F.month("o_orderdate")
     months = t.table("orders").groupBy(month.cast("bigint").alias("id")).agg(
         F.count(F.lit(1)).alias("matches"), F.min("o_orderdate").alias("first_day")
@@ -223,7 +290,7 @@ def _calendar(t: League) -> DataFrame:
     return months.select(
         "id", F.col("id").alias(landing.POS), F.concat(F.lit("Gameweek "), F.col("id")).alias("name"),
         F.date_format("first_day", "yyyy-MM-dd").alias("deadline_time"), (F.col("id") < 24000).alias("finished"),
-        (F.col("id") % 2 == 0).alias("data_checked"), F.lit(False).alias("is_current"),
+        (F.col("id") % 2 == 0).alias("data_checked"), (F.lit(current) & (F.col("id") == 24000)).alias("is_current"),
         (F.col("id") == 24001).alias("is_next"),
     )
 
@@ -238,6 +305,12 @@ def gameweek_current(t: League) -> DataFrame:
     return current_gameweek(_calendar(t))
 
 
+@_query
+def gameweek_upcoming(t: League) -> DataFrame:
+    """Between two gameweeks, the next one."""
+    return current_gameweek(_calendar(t, current=False))
+
+
 @_query
 def rolling_series(t: League) -> DataFrame:
     orders = t.table("orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
@@ -490,11 +563,50 @@ def lineup_totals(t: League) -> DataFrame:
     return totals.select("c_nationkey", *[_r(c, 2).alias(c) for c in sums], "starters", "players")
 
 
+def _nation_team(t: League) -> tuple[DataFrame, CandidateColumns]:
+    """The nations' squads with their starters and what a card shows."""
+    squads, cols = _nation_squads(t)
+    shown = squads.select("*", F.col("c_name").alias("web_name"), F.concat("c_custkey", F.lit(".jpg")).alias("photo"),
+                          (F.col("c_nationkey") + 100).alias("team_code"))
+    return lineup.mark_starters(shown, ["c_nationkey"], cols=cols), cols
+
+
+@_query
+def lineup_cards(t: League) -> DataFrame:
+    team, cols = _nation_team(t)
+    cards = reports.lineup_cards(team, ["c_nationkey"], cols)
+    whole = {c: F.col(c).cast("bigint").alias(c) for c in ("place", "position_order")}
+    return cards.select(*[whole.get(c, F.col(c)) for c in cards.columns])
+
+
+@_query
+def squad_places(t: League) -> DataFrame:
+    """Every player's place in the list of their nation, starters before the bench."""
+    team, cols = _nation_team(t)
+    placed = reports.squad_places(team, ["c_nationkey"], cols)
+    return placed.select("c_nationkey", "c_custkey", "is_starter", F.col("place").cast("bigint").alias("place"))
+
+
+@_query
+def squad_summary(t: League) -> DataFrame:
+    """Totals per nation and position, per nation, and in all, with their texts."""
+    team, cols = _nation_team(t)
+    return reports.with_total_texts(lineup.squad_summary(team, ["c_nationkey"], cols))
+
+
+@_query
+def given_lineups(t: League) -> DataFrame:
+    """The line-ups of given squads: every fortieth player."""
+    scores = t.scores.withColumn("recommendation_score", _r("recommendation_score"))
+    squads = t.table("part").select((F.col("p_partkey") % 40).alias("squad"), F.col("p_partkey").alias("player_id"))
+    return lineups(scores, squads).select("squad", "player_id", "position", "is_starter", "recommendation_score")
+
+
 @_query
 def squad_check(t: League) -> DataFrame:
     cols = CandidateColumns("p_partkey", "position", "team_id", "cost_millions", "p_size")
     squads = t.table("part").selectExpr(
-        "p_size AS squad", "p_partkey", "p_brand AS team_id", "p_size / 10 AS cost_millions", "p_size",
+        "p_size AS squad", "p_partkey", "p_brand AS team_id", "p_retailprice / 100 AS cost_millions", "p_size",
         "CASE p_type WHEN 'ECONOMY' THEN 'GKP' WHEN 'SMALL' THEN 'DEF' WHEN 'STANDARD' THEN 'MID' "
         "WHEN 'PROMO' THEN 'FWD' END AS position",
     )
@@ -566,10 +678,8 @@ def report_rankings(t: League) -> DataFrame:
     """Ranked on the rounded score, so that equal scores rank by player."""
     rounded = t.scores.withColumn("recommendation_score", _r("recommendation_score"))
     listed = reports.rankings(rounded)
-    return listed.select(
-        "player_id", "position", F.col("position_order").cast("bigint").alias("position_order"),
-        F.col("place").cast("bigint").alias("place"), "full_name", "portrait_url", "badge_url", "cost",
-    )
+    whole = {c: F.col(c).cast("bigint").alias(c) for c in ("place", "position_order")}
+    return listed.select(*[whole.get(c, F.col(c)) for c in listed.columns])
 
 
 @_query
