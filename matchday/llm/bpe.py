@@ -13,6 +13,7 @@ encoded as themselves. A NULL or empty text has no tokens; the decoded text of n
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import sys
@@ -47,7 +48,7 @@ def _byte_symbols() -> list[str]:
 class TrieBpe:
     """Encoder and decoder of a BPE vocabulary with word ends, from a tokenizer's JSON text."""
 
-    def __init__(self, definition: str, max_words: int = 600_000):
+    def __init__(self, definition: str, max_words: int = 200_000):
         spec = json.loads(definition)
         model = spec["model"]
         self.end = model["end_of_word_suffix"] or ""
@@ -61,13 +62,9 @@ class TrieBpe:
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.halves = {a + b: (a, b) for a, b in self.ranks}
         self.bytes_to_symbols = str.maketrans({chr(b): s for b, s in enumerate(_byte_symbols())})
-        self.endings: dict = {}
-        for token in self.ids:
-            if not token.endswith(self.end) or not self.end:
-                node = self.endings
-                for symbol in reversed(token):
-                    node = node.setdefault(symbol, {})
-                node[""] = token
+        self.inner = {t for t in self.ids if not self.end or not t.endswith(self.end)}
+        #: All that an inner token ends with: a longer stretch of a word cannot be a token if a shorter one is not among them.
+        self.endings = {token[at:] for token in self.inner for at in range(len(token))}
         self.apart_cache: dict[tuple[str, str], bool] = {}
         self.max_words = max_words
         self.words: dict[str, bytes] = {}
@@ -96,7 +93,7 @@ class TrieBpe:
         pair = (left, right)
         known = self.apart_cache.get(pair)
         if known is None:
-            if len(self.apart_cache) > 2_000_000:
+            if len(self.apart_cache) > 500_000:
                 self.apart_cache.clear()
             known = self.apart_cache[pair] = (self._seam(left, right) if left
                                               else self._merged(self._split(right)) == [right])
@@ -123,19 +120,15 @@ class TrieBpe:
 
     def _last(self, word: str, depth: int, states: list[str], ending: str) -> str:
         """The last token of the encoding of ``word[:depth]``; ``ending`` is the word end if the word ends there."""
-        node, at, apart, ids = self.endings, depth - 1, self._apart, self.ids
+        apart, ids = self._apart, self.ids
         if not ending:
-            found = None
-            while at >= 0:
-                node = node.get(word[at])
-                if node is None:
+            for at in range(depth - 1, -1, -1):
+                token = word[at:depth]
+                if token not in self.endings:
                     break
-                token = node.get("")
-                if token is not None and apart(states[at], token):
-                    found = token
-                    break
-                at -= 1
-            return found
+                if token in self.inner and apart(states[at], token):
+                    return token
+            return None
         for at in range(depth):
             token = word[at:depth] + ending
             if token in ids and apart(states[at], token):
@@ -241,6 +234,18 @@ class TrieBpe:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
+_encoder: dict[bytes, TrieBpe] = {}
+
+
+def encoder_of(definition: str) -> TrieBpe:
+    """The encoder of a tokenizer, kept from task to task of a Python worker, with its bounded tables; one at a time."""
+    digest = hashlib.sha256(definition.encode()).digest()
+    if digest not in _encoder:
+        _encoder.clear()
+        _encoder[digest] = TrieBpe(definition)
+    return _encoder[digest]
+
+
 def encode_documents(docs: DataFrame, definition: str, column: str = "text", finish=None, schema: str | None = None,
                      keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns with ``token_ids`` (binary, little-endian unsigned 32-bit) and ``decoded``.
@@ -253,7 +258,7 @@ def encode_documents(docs: DataFrame, definition: str, column: str = "text", fin
     kept_schema = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in keep)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = TrieBpe(sent.value)
+        bpe = encoder_of(sent.value)
         for batch in batches:
             for start in range(0, len(batch), 500):
                 part = batch.iloc[start:start + 500]

@@ -78,6 +78,11 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
+def forget_words() -> None:
+    """Empty the table of word hashes: a task that ends leaves no memory behind in its reused Python worker."""
+    _hashes.clear()
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of a text's words, A-Z lower-cased, in order (bytes.split() splits at SPACE)."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()

@@ -272,10 +272,12 @@ def test_likelihood_finds_the_similarity():
         assert (np.maximum(a, b) == merged).all()
 
 
-def test_connected_components_of_a_long_path(spark):
-    edges = [(i, i + 1) for i in range(60)] + [(100, 105), (105, 103), (7, 7)]
-    out = {r["node"]: r["label"] for r in connected(spark.createDataFrame(edges, "u long, v long")).collect()}
+@pytest.mark.parametrize("in_one_task", [0, 1000])
+def test_connected_components_of_a_long_path(spark, in_one_task):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 105), (105, 103), (7, 7)], "u long, v long").repartition(3)
+    out = {r["node"]: r["label"] for r in connected(edges, in_one_task).collect()}
     assert out == {**{i: 0 for i in range(61)}, 100: 100, 103: 100, 105: 100}
+    assert connected(edges.limit(0), in_one_task).count() == 0
 
 
 def test_mixing(docs, texts, nothing):
@@ -389,8 +391,8 @@ def test_every_batch_of_lines_goes_through_the_runs(spark, docs):
     assert plan.count("SortMergeJoin") == 3 and plan.count("LeftAnti") == 3
 
 
-def test_near_dedup_comparison_by_low_bits_loses_no_pair():
-    """Many small blocks and one large, against the estimate of every pair of a stray and a member of another component."""
+def test_near_dedup_comparison_joins_all_that_is_similar():
+    """Many small blocks and one large, against the exact similarity of every pair of a stray and a member of another component."""
     rng = np.random.default_rng(3)
     sets, keys = [], []
     for family in range(60):
@@ -403,17 +405,29 @@ def test_near_dedup_comparison_by_low_bits_loses_no_pair():
             keys.append(family if family < 40 else 99)
     registers = near_dedup.registers_of(sets)
     n = np.array([len(s) for s in sets])
-    frame = pd.DataFrame({"key": keys, "node": np.arange(len(sets)), "label": np.arange(len(sets)) // 2, "n": n,
-                          "registers": [r.tobytes() for r in registers], "block": 0})
-    strays = frame.rename(columns={"key": "k", "block": "piece"})
+    frame = pd.DataFrame({"unit": keys, "node": np.arange(len(sets)), "label": np.arange(len(sets)) // 2, "n": n,
+                          "registers": [r.tobytes() for r in registers], "shingles": [s.astype("<u8").tobytes() for s in sets]})
+    strays = frame.rename(columns={"unit": "of"})
     limit = 0.8 - near_dedup.SLACK
-    found = near_dedup._compared(limit)(frame, strays)
-    wanted = set()
-    for x in range(len(sets)):
-        y = np.array([i for i in range(len(sets)) if keys[i] == keys[x] and i // 2 != x // 2])
-        j = near_dedup.likely_similarity((registers[x] > registers[y]).sum(1), (registers[x] < registers[y]).sum(1), n[x], n[y])
-        exact = [len(np.intersect1d(sets[x], sets[i])) / len(np.union1d(sets[x], sets[i])) for i in y]
-        wanted |= {(min(x, i), max(x, i)) for i, e, s in zip(y, j, exact) if s >= limit and e >= 0.8}
-    assert wanted and wanted <= set(zip(found["a"], found["b"]))
-    empty = near_dedup._compared(limit)(frame[:0], strays)
-    assert len(empty) == 0 and list(empty.columns) == ["a", "b"]
+    found = near_dedup._compared(limit, 80)(frame, strays)
+
+    def parts(links):
+        root = {i: i // 2 * 2 for i in range(len(sets))}
+
+        def top(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for x, y in links:
+            a, b = top(x), top(y)
+            root[max(a, b)] = min(a, b)
+        return [top(i) for i in range(len(sets))]
+
+    similar = lambda x, y: len(np.intersect1d(sets[x], sets[y])) >= 0.8 * len(np.union1d(sets[x], sets[y]))
+    wanted = [(x, y) for x in range(len(sets)) for y in range(x) if keys[x] == keys[y] and x // 2 != y // 2 and similar(x, y)]
+    links = list(zip(found["u"], found["v"]))
+    assert wanted and parts(links) == parts(wanted)
+    assert all(similar(x, y) for x, y in links) and len(links) < len(sets) // 2
+    empty = near_dedup._compared(limit, 80)(frame[:0], strays)
+    assert len(empty) == 0 and list(empty.columns) == ["u", "v"]
