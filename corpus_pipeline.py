@@ -13,6 +13,20 @@ from matchday.llm.common import stored, table
 from matchday.llm.queries import token_digests
 
 
+#: Rows that go to a Python worker at a time: texts are whole and long, and several stages run in one worker.
+BATCH_ROWS = 1000
+
+
+def _batched(stage):
+    """``stage`` with batches of BATCH_ROWS, in this session from then on."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5."""
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
@@ -38,13 +52,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_digests(docs)
 
 
-STAGES = [
+STAGES = [(name, _batched(stage)) for name, stage in (
     ("toxicity", drop_toxic),
     ("line_dedup", drop_lines),
     ("near_dedup", drop_near_copies),
     ("mixing", mix),
     ("bpe", encode),
-]
+)]
 
 #: The first stage's classifier is not expressible in SQL; tests/llm checks the stages one by one.
 ORACLE_SQL = None
