@@ -48,7 +48,7 @@ def _byte_symbols() -> list[str]:
 class TrieBpe:
     """Encoder and decoder of a BPE vocabulary with word ends, from a tokenizer's JSON text."""
 
-    def __init__(self, definition: str, max_words: int = 200_000):
+    def __init__(self, definition: str, max_words: int = 450_000):
         spec = json.loads(definition)
         model = spec["model"]
         self.end = model["end_of_word_suffix"] or ""
