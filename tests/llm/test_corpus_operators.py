@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import json
 import math
 import os
@@ -204,6 +205,53 @@ def test_url_rules_of_any_length_and_share(spark):
         assert out == {0: "block", 1: "allow"}
 
 
+def plain_url_rules(baskets, least, min_confidence):
+    """Every combination of tokens counted over all labelled baskets of ``(tokens, bad)``, pruned as the rules are."""
+    share, found = sum(bad for _, bad in baskets) / len(baskets), {}
+    for tokens in {frozenset(t) for t, bad in baskets if bad}:
+        for size in range(1, len(tokens) + 1):
+            found |= dict.fromkeys(map(frozenset, itertools.combinations(sorted(tokens), size)))
+    for part in found:
+        hit = [bad for tokens, bad in baskets if part <= set(tokens)]
+        sure = sum(hit) / len(hit)
+        found[part] = sure if sum(hit) >= least and sure >= min_confidence and (sure > share or sure == 1) else None
+    found = {part: sure for part, sure in found.items() if sure is not None}
+    return {part: sure for part, sure in found.items() if not any(p < part and s >= sure for p, s in found.items())}
+
+
+def test_url_rules_equal_enumeration(spark, monkeypatch):
+    rnd = random.Random(8)
+    for most in (url_filter.MOST_SETS, -1):
+        monkeypatch.setattr(url_filter, "MOST_SETS", most)
+        known = []
+        for _ in range(220):
+            words = sorted(rnd.sample("abcdefg", rnd.randint(1, 5)))
+            words += ["h", "i"] if "a" in words else []
+            known.append((words, len(words) > 3 and rnd.random() < 0.8 or "d" in words))
+        known += [(["k"], True)] * 40 + [(["k"], False)] * 3
+        table = lambda rows: spark.createDataFrame(
+            [(i, "x://0/" + "/".join(w), b) for i, (w, b) in enumerate(rows)], "page_id long, url string, bad boolean")
+        rules = plain_url_rules([(["host:0", *("path:" + w for w in ws)], bad) for ws, bad in known], 5, 0.6)
+        assert max(map(len, rules)) > 1
+        seen = [(list(w), None) for n in (1, 3, 7) for w in itertools.combinations("abcdefghik", n)]
+        out = {r["page_id"]: (r["mined_rules"], r["mined_confidence"]) for r in url_filter.judge(table(seen), table(known), []).collect()}
+        for i, (words, _) in enumerate(seen):
+            has = {"host:0", *("path:" + w for w in words)}
+            fit = [sure for rule, sure in rules.items() if rule <= has]
+            assert out[i] == (len(fit), max(fit, default=None)), words
+
+
+def test_repeated_long_urls_are_mined(spark):
+    long = lambda k: "http://x.net/" + "/".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}{k}" for i in range(40))
+    urls = [(long("p"), True)] * 10 + [(long("q"), False)] * 10 + [(long("r"), i < 16) for i in range(20)]
+    urls += [(f"http://g{i}.org/a", False) for i in range(50)]
+    labelled = spark.createDataFrame(urls, "url string, bad boolean")
+    pages = spark.createDataFrame(list(enumerate(map(long, "pqr"))), "page_id long, url string")
+    out = {r["page_id"]: (r["verdict"], r["mined_rules"], r["mined_confidence"]) for r in url_filter.judge(pages, labelled, []).collect()}
+    common = 1  # host:x.net, bad in 26 of 40
+    assert out == {0: ("block", 40 + common, 1.0), 1: ("block", common, 26 / 40), 2: ("block", 40 + common, 0.8)}
+
+
 def test_knn_equals_brute_force(spark):
     rnd = np.random.default_rng(3)
     vectors = [[float(x) for x in rnd.normal(size=8)] for _ in range(150)]
