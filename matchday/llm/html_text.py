@@ -4,14 +4,15 @@ A page is a sequence of words and tags. Each token has a weight, learned from la
 likely it is inside the main text and outside; words mostly score positive, tags and words in links negative. One
 linear scan finds the contiguous region with the highest total (the first of equal ones).
 
-Labelled pages are those that mark their own main text with exactly one ``article`` or ``main`` element; the weights are
-per class of token, so a bounded sample of pages is enough (``max_pages``, smallest hashes of their ids). At prediction
+Labelled pages are those that mark their own main text with exactly one ``article`` or ``main`` element (of nested ones the
+innermost counts, if it is the only one there); the weights are per class of token, so a bounded sample of pages is enough (``max_pages``, smallest hashes of their ids). At prediction
 words outside the only such element of a page score -1, and inside it nothing scores below 0: links and other text weigh at
 least INSIDE of a word, tags 0, so the region holds all of its text. A page without the mark goes by the weights alone.
 
 The region is widened to whole blocks, and elements that never hold main text are left out wherever they are:
 menus, headers of the page, footers, sidebars, notices, adverts, forms, scripts, styles and comments, by element name, role,
-class or id. Math, the texts of drawings and the content of objects are part of the text around them. An element without an end
+class or id. Inside an article or main element ids say nothing, and a class counts only if each part of its name does: there
+``alert-levels`` or ``side-effects`` are what the article is about. Math, the texts of drawings and the content of objects are part of the text around them. An element without an end
 tag ends with the block around it, or, in math and drawings, at the next tag of HTML; only what HTML reads as raw text goes on
 to the end of the page. References are decoded, white space inside a block becomes one space, blocks are joined in page order
 by one \\n. NULL or empty html gives an empty text. Repeated rows are extracted alike; other columns are kept.
@@ -46,6 +47,7 @@ BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em emb
 HOLDS_HTML = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 #: Content of math and svg that is not shown.
 NOT_SHOWN = frozenset("annotation annotation-xml desc metadata defs symbol".split())
+MARKS = frozenset(("article", "main"))
 NEVER = frozenset("nav footer aside form button select input option menu dialog head fieldset audio video map template canvas".split()) | RAW
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Elements that a start tag of the key closes when they are open in the same block (fixed values of HTML).
@@ -60,6 +62,8 @@ NOT_MAIN = re.compile(
     r"disclaimer|tags|tagcloud|toc)(?=$|[\s_-]|\d)", re.IGNORECASE)
 #: Those that name no menu, header, footer, sidebar, notice, advert, form or comment: inside an article they leave nothing out.
 OUTSIDE_ONLY = frozenset("related recommended share sharing social skip copyright legal disclaimer tags tagcloud toc".split())
+#: Parts of a class name that only say that it holds something (fixed values).
+HOLDERS = frozenset("block box container content list wrap wrapper".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
                     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|([^<]+|<)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([^\s=\"'<>/]+)")
@@ -79,39 +83,64 @@ def _is_other(name: str, attributes: dict[str, str], in_main: bool) -> bool:
         return True
     if name in ("html", "body", "article", "main"):
         return False
-    named = (m[1].lower() for a in ("class", "id") for m in NOT_MAIN.finditer(attributes.get(a, "")))
-    return any(not in_main or word not in OUTSIDE_ONLY for word in named)
+    if not in_main:
+        return any(NOT_MAIN.search(attributes.get(a, "")) for a in ("class", "id"))
+    return any(_names_other(c) for c in attributes.get("class", "").lower().split())
 
 
-def tokens(page: str):
-    """Tokens of a page: ``(kind, text, block number, marked, other)``.
+def _names_other(name: str) -> bool:
+    """Whether a class name, in lower case, names nothing but other text."""
+    parts = {part.rstrip("0123456789") for part in re.split(r"[_-]+", name)} - HOLDERS - {""}
+    return bool(parts) and all(NOT_MAIN.fullmatch(part) and part not in OUTSIDE_ONLY for part in parts)
 
-    kind: the class the weights are for, ``word``, ``link`` (a word in a link) or ``<name``. marked: inside an article or main
-    element. other: inside an element that never holds main text.
+
+Token = tuple[str, str, int, bool, bool]
+
+
+def tokens(page: str) -> tuple[list[Token], bool]:
+    """Tokens of a page, ``(kind, text, block number, marked, other)``, and whether the page marks exactly one region.
+
+    kind: the class the weights are for, ``word``, ``link`` (a word in a link) or ``<name``. marked: inside the only article or
+    main element that holds no other one; in any of them, if there are several. other: inside an element that never holds main
+    text; marks there do not count. Linear in the length of the page, however its tags are nested.
     """
-    out: list[tuple[str, str, int, bool, bool]] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, other, marked
-    block, at, links, marked, other = 0, 0, 0, 0, 0
-    foreign = 0  # open svg and math elements
+    out: list[tuple[str, str, int, int, bool]] = []  # with the number of the innermost mark, 0 outside
+    open_tags: list[list] = []  # name, other, mark (0: none), still open
+    # Places in open_tags: of each name, of blocks, of elements that decide the vocabulary.
+    places: dict[str, list[int]] = {}
+    blocks: list[int] = []
+    deciding: list[int] = []
+    marks: list[int] = [0]  # open marks, innermost last
+    holding: set[int] = set()  # marks with marks inside
+    n_marks = depth_marked = 0
+    block, at, links, other = 0, 0, 0, 0
+
+    def end(entry: list) -> None:
+        nonlocal links, other, depth_marked
+        name, is_other, mark, _ = entry
+        places[name].pop()
+        entry[3] = False
+        links -= name == "a"
+        other -= is_other
+        depth_marked -= name in MARKS
+        if mark:
+            marks.pop()  # marks are blocks, which close in turn
 
     def close(depth: int) -> None:
-        nonlocal links, marked, other, foreign
         while len(open_tags) > depth:
-            name, is_other, is_marked = open_tags.pop()
-            links -= name == "a"
-            other -= is_other
-            marked -= is_marked
-            foreign -= name in FOREIGN
+            entry = open_tags.pop()
+            if entry[3]:
+                end(entry)
+            if blocks and blocks[-1] == len(open_tags):
+                blocks.pop()
+            if deciding and deciding[-1] == len(open_tags):
+                deciding.pop()
 
     def vocabulary() -> int | None:
         """Place of the open math or svg element that the next tag belongs to; None in HTML."""
-        if foreign:
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] in HOLDS_HTML:
-                    return None
-                if open_tags[i][0] in FOREIGN:
-                    return i
-        return None
+        while deciding and not open_tags[deciding[-1]][3]:
+            deciding.pop()
+        return deciding[-1] if deciding and open_tags[deciding[-1]][0] in FOREIGN else None
 
     while at < len(page):
         m = _TOKEN.match(page, at)
@@ -122,26 +151,22 @@ def tokens(page: str):
         if m[4] is not None:
             text = m[4]
             if text == "<":
-                out.append(("text", "<", block, marked > 0, other > 0))
+                out.append(("text", "<", block, marks[-1], other > 0))
                 continue
-            out.append(("link" if links else "word", text, block, marked > 0, other > 0))
+            out.append(("link" if links else "word", text, block, marks[-1], other > 0))
             continue
         if m[2] is None:
             continue
         name = m[2].lower()
         if m[1]:
-            depth = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == name), None)
-            if name in BLOCKS or name == "br":
-                block += name in BLOCKS
-            out.append((f"</{name}", "", block, marked > 0, other > 0))
-            if depth is not None and (name in BLOCKS or not any(o[0] in BLOCKS for o in open_tags[depth:])):
-                close(depth)
-            elif depth is not None:  # an inline end tag does not end the blocks opened since
-                gone = open_tags.pop(depth)
-                links -= gone[0] == "a"
-                other -= gone[1]
-                marked -= gone[2]
-                foreign -= gone[0] in FOREIGN
+            block += name in BLOCKS
+            out.append((f"</{name}", "", block, marks[-1], other > 0))
+            if places.get(name):
+                depth = places[name][-1]
+                if name in BLOCKS or not (blocks and blocks[-1] >= depth):
+                    close(depth)
+                else:  # an inline end tag does not end the blocks opened since
+                    end(open_tags[depth])
             continue
         closed = (m[3] or "").rstrip().endswith("/")
         inner = vocabulary()
@@ -150,36 +175,38 @@ def tokens(page: str):
             inner = None
         if name in BLOCKS and inner is None:
             block += 1
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] == "p":  # a block ends an open paragraph
-                    close(i)
-                    break
-                if open_tags[i][0] in CLOSES.get(name, ()):
-                    close(i)
-                    break
-                if open_tags[i][0] in BLOCKS:
-                    break
+            around = open_tags[blocks[-1]][0] if blocks else None
+            if around == "p" or around in CLOSES.get(name, ()):  # a block ends an open paragraph
+                close(blocks[-1])
         attributes = _attributes(m[3]) if m[3] else {}
-        is_other = _is_other(name, attributes, marked > 0) or (inner is not None and name in NOT_SHOWN)
-        is_marked = name in ("article", "main")
-        out.append((f"<{name}", "", block, marked > 0, other > 0 or is_other))
+        is_other = _is_other(name, attributes, depth_marked > 0) or (inner is not None and name in NOT_SHOWN)
+        mark = 0
+        if name in MARKS and not (other or is_other):
+            n_marks += 1
+            mark = n_marks
+            if marks[-1]:
+                holding.add(marks[-1])
+        out.append((f"<{name}", "", block, marks[-1], other > 0 or is_other))
         if name in RAW and inner is None:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else len(page)
+            found = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
+            at = found.end() if found else len(page)
             continue
         if name in VOID or closed:
             continue
-        open_tags.append((name, is_other, is_marked))
+        places.setdefault(name, []).append(len(open_tags))
+        if name in BLOCKS:
+            blocks.append(len(open_tags))
+        if name in FOREIGN or name in HOLDS_HTML:
+            deciding.append(len(open_tags))
+        open_tags.append([name, is_other, mark, True])
         links += name == "a"
         other += is_other
-        marked += is_marked
-        foreign += name in FOREIGN
-    return out
-
-
-def _has_one_mark(found: list[tuple[str, str, int, bool, bool]]) -> bool:
-    """Whether exactly one article or main element is not inside an element that never holds main text."""
-    return sum(kind in ("<article", "<main") and not other for kind, _, _, _, other in found) == 1
+        depth_marked += name in MARKS
+        if mark:
+            marks.append(mark)
+    innermost = set(range(1, n_marks + 1)) - holding
+    chosen = innermost if len(innermost) == 1 else range(1, n_marks + 1)
+    return [(kind, text, n, mark in chosen, is_other) for kind, text, n, mark, is_other in out], len(innermost) == 1
 
 
 def _pieces(kind: str, text: str) -> int:
@@ -188,8 +215,8 @@ def _pieces(kind: str, text: str) -> int:
 
 def count_tokens(page: str) -> dict[str, list[int]] | None:
     """``{kind: [inside, outside]}`` of a page with exactly one marked region; None for any other page."""
-    found = tokens(page)
-    if not _has_one_mark(found):
+    found, one_mark = tokens(page)
+    if not one_mark:
         return None
     out: dict[str, list[int]] = {}
     for kind, text, _, marked, other in found:
@@ -235,8 +262,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     """The main text of a page."""
     if not page:
         return ""
-    found = tokens(page)
-    one_mark = _has_one_mark(found)
+    found, one_mark = tokens(page)
     least = INSIDE * max(weights.get("word", 0.0), 0.2)
     scores = []
     for kind, text, _, marked, other in found:

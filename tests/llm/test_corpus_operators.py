@@ -10,6 +10,7 @@ import math
 import os
 import random
 import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -135,6 +136,69 @@ def test_html_text_elements_without_an_end_tag(inside, lines):
     assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS).split("\n") == lines
 
 
+@pytest.mark.parametrize("inside, lines", [
+    ('<h2 id="search-algorithms">A</h2><p class="side-effects">b</p><h2 id="notice-periods">C</h2><div id="alert-levels">d</div>',
+     ["A", "b", "C", "d"]),
+    ('<p id="comments">One</p><div class="comments x">no</div><div class="ad-banner2">no</div><div class="Comment_List">no</div>Two',
+     ["One", "Two"]),
+    ('<div role="search">no</div><div class="content">One</div><div class="form-factor list">Two</div>', ["One", "Two"]),
+])
+def test_html_text_names_inside_the_article(inside, lines):
+    for page in (f"<body><p>Out of it</p><article>{inside}</article>", f"<main><p>Out of it</p><article>{inside}</article>out</main>",
+                 f"<article>{inside}<div class=comments><article>no</article></div></article><p>Out of it"):
+        assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS).split("\n") == lines
+    outside = "".join(f'<div class="{c}">no</div>' for c in ("side-effects", "my-ad"))
+    assert html_text.main_text(f"<p>One two</p>{outside}", html_text.DEFAULT_WEIGHTS) == "One two"
+
+
+def test_html_text_marks():
+    marked = lambda page: [t for kind, t, _, m, _ in html_text.tokens(page)[0] if m and kind == "word"]
+    for page, one, words in (("<main>a<article>b</article>c</main>d", True, ["b"]), ("<article>a</article><article>b</article>c", False, ["a", "b"]),
+                             ("<main>a<article>b</article><article>c</article></main>", False, ["a", "b", "c"]),
+                             ("<nav><article>a</article></nav><main>b</main>", True, ["b"]), ("a<article/>", True, []), ("a", False, [])):
+        assert (marked(page), html_text.tokens(page)[1]) == (words, one), page
+
+
+def plain_nesting(page):
+    """Open elements at each word of a page, by a stack that is searched from its end; links, blocks and others from it."""
+    stack, out = [], []
+    for end, name, text in re.findall(r"<(/?)(\w+)>|([^<]+)", page):
+        if text:
+            out.append(("link" if "a" in stack else "word", text, "nav" in stack, "article" in stack))
+        elif end and name in stack:
+            at = len(stack) - 1 - stack[::-1].index(name)
+            if name in html_text.BLOCKS or not html_text.BLOCKS & set(stack[at:]):
+                del stack[at:]
+            else:
+                del stack[at]
+        elif not end:
+            if name in html_text.BLOCKS:
+                around = [i for i, n in enumerate(stack) if n in html_text.BLOCKS]
+                if around and (stack[around[-1]] == "p" or stack[around[-1]] in html_text.CLOSES.get(name, ())):
+                    del stack[around[-1]:]
+            stack.append(name)
+    return out
+
+
+def test_html_text_nesting_equals_a_plain_stack():
+    rnd = random.Random(11)
+    for _ in range(3000):
+        page = "".join(rnd.choice((f"<{n}>", f"</{n}>", f"<{n}>", f"w{i}")) for i in range(rnd.randint(1, 40))
+                       for n in [rnd.choice("a b i p div li td tr nav".split())])
+        found = [(k, t, o) for k, t, _, _, o in html_text.tokens(page)[0] if k in ("word", "link")]
+        assert found == [row[:3] for row in plain_nesting(page)], page
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 200_000 + "</i>" * 200_000, "<i>" * 100_000 + "<b>" * 100_000 + "</i>" * 100_000, "<b>" * 100_000 + "<div></div>" * 100_000,
+    "<svg>" * 100_000 + "<g>" * 100_000, "<i>" * 100_000 + "<div>" * 100_000 + "</i>" * 100_000, "<article>" * 100_000 + "x",
+    "<p>word <b>word</b></p>" * 100_000])
+def test_html_text_is_linear(page):
+    started = time.process_time()
+    html_text.main_text(page, html_text.DEFAULT_WEIGHTS)
+    assert time.process_time() - started < 20
+
+
 def test_best_region_is_the_maximum():
     rnd = random.Random(1)
     for _ in range(300):
