@@ -11,7 +11,8 @@ interval reaches. The order by words makes the copies cover all lengths evenly,
 The position of a document is a sum of three counts (shorter documents, earlier remainders, rank in the remainder), so no
 task ever orders a whole source: the largest window group holds 1 / SPREAD of the documents of one length in one source,
 or the distinct lengths of one source. A NULL text has no words; a NULL id is spread by a checksum of its text. Repeated rows
-are documents of their own. An empty table gives an empty result.
+are documents of their own; among rows of one id and length those with the smaller checksum of all columns (but maps) come
+first, so reruns take the same rows however the table is laid out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -60,8 +61,9 @@ def planned_copies(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap:
 def _planned(docs: DataFrame, weights, share: float, cap: float, seed: str) -> DataFrame:
     """``docs`` with ``__size``, ``__source_size``, ``__target`` and ``__copies``."""
     src = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
     keyed = docs.select(
-        "*", word_count(F.col("text")).alias("__size"), src.alias("__src"),
+        "*", F.xxhash64(*hashed).alias("__row"), word_count(F.col("text")).alias("__size"), src.alias("__src"),
         F.coalesce(F.pmod(F.col("doc_id"), F.lit(SPREAD)),
                    F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")) % SPREAD).alias("__part"))
     per_part = keyed.groupBy(F.col("__src").alias("src"), F.col("__size").alias("size"), F.col("__part").alias("part")).agg(
@@ -82,7 +84,7 @@ def _planned(docs: DataFrame, weights, share: float, cap: float, seed: str) -> D
         (F.col("shorter") + F.col("earlier")).alias("__start"), F.col("rate").alias("__rate"),
         F.col("offset").alias("__offset"))
     ranked = keyed.withColumn("__rank", F.row_number().over(
-        Window.partitionBy("__src", "__size", "__part").orderBy("doc_id")))
+        Window.partitionBy("__src", "__size", "__part").orderBy("doc_id", "__row")))
     place = F.col("__start") + F.col("__rank")
     reach = lambda p: F.floor(F.col("__offset") + p * F.col("__rate"))
     copies = F.least(reach(place) - reach(place - 1), F.lit(math.ceil(cap)))

@@ -19,11 +19,14 @@ from matchday.llm import (
 )
 from matchday.llm.common import held_out, table
 
-TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
-
-
-def tokenizer_definition(name: str = "word_bpe_49k.json", folder: str = TOKENIZERS) -> str:
-    with open(os.path.join(folder, name), encoding="utf-8") as file:
+def tokenizer_definition(name: str = "word_bpe_49k.json", folder: str | None = os.environ.get("TOKENIZER_FOLDER")) -> str:
+    """The text of a tokenizer file of ``folder``; where none is given, of the installed ``public_tokenizers``."""
+    if folder is None:
+        import public_tokenizers  # only needed here, on the driver
+        path = public_tokenizers.path(name)
+    else:
+        path = os.path.join(folder, name)
+    with open(path, encoding="utf-8") as file:
         return file.read()
 
 

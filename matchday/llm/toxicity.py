@@ -119,9 +119,9 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = 2000, max_unla
     chosen = known.filter("toxic = 1").select("doc_id").orderBy(order).limit(max_positive).withColumn(
         "positive", F.lit(True)).unionByName(
         ids.orderBy(order).limit(max_unlabelled).withColumn("positive", F.lit(False)))
-    # At most max_positive + max_unlabelled ids are broadcast; one text per id is taken.
+    # At most max_positive + max_unlabelled ids are broadcast; of the texts of an id the smallest is taken, in every run.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    texts = stored(texts.dropDuplicates(["doc_id", "positive"]), "toxic-sample")
+    texts = stored(texts.groupBy("doc_id", "positive").agg(F.min("text").alias("text")), "toxic-sample")
     n = {bool(r["positive"]): r["n"] for r in texts.groupBy("positive").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos, n_unl = n.get(True, 0), n.get(False, 0)
     # Words must be more frequent in positives than chance would have it, by so many standard deviations.

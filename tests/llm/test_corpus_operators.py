@@ -409,6 +409,13 @@ def test_mixing(docs, texts, nothing):
     assert mixing.planned_copies(nothing.drop("size")).count() == 0
 
 
+def test_mixing_takes_the_same_rows_of_repeated_ids(spark):
+    rows = [(k % 3 if k % 4 else None, f"w{k} two three", "a", {"k": k}) for k in range(300)] + [(7, "b " * 100, "b", None)] * 9
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, notes map<string, int>")
+    mixes = [collections.Counter((r["doc_id"], r["text"]) for r in mixing.mix_sources(docs.repartition(n, F.rand(n))).collect()) for n in (2, 7)]
+    assert mixes[0] == mixes[1] and 1 < len(mixes[0]) and max(mixes[0].values()) > 1
+
+
 def test_toxicity_on_held_out_rows(spark, nothing):
     rnd = random.Random(9)
     vocabulary = ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(300)]
@@ -434,6 +441,26 @@ def test_toxicity_on_held_out_rows(spark, nothing):
     assert toxicity.score_documents(nothing, model).count() == 0
 
 
+def test_toxicity_of_repeated_ids_does_not_change(spark):
+    rows = [(i % 300, f"w{i % 11} {'vilest' if i % 5 == 0 and i < 1100 else 'plain'} v{i}", None, None) for i in range(1200)]
+    rows += [(i, None, None, None) for i in range(20)]
+    docs = spark.createDataFrame(rows, DOCS)
+    known = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)], "doc_id long, toxic int")
+    models = [toxicity.train(docs.repartition(n, F.rand(n)), known) for n in (2, 9)]
+    assert models[0] == models[1] and models[0].weights
+
+
+def test_risk_is_the_non_negative_one():
+    """Weights learned from separable samples separate them, whatever share of the unlabelled ones is positive."""
+    rnd = np.random.default_rng(6)
+    positive = (rnd.random((300, 4)) < [0.9, 0.5, 0.1, 0.5]).astype(np.float32)
+    negative = (rnd.random((900, 4)) < [0.1, 0.5, 0.9, 0.5]).astype(np.float32)
+    for hidden in (30, 300):
+        unlabelled = np.vstack([negative, positive[:hidden]])
+        weights, bias = toxicity.nnpu_fit(positive, unlabelled, hidden / len(unlabelled))
+        assert weights[0] > 0 > weights[2] and abs(weights[1]) + abs(weights[3]) < weights[0] - weights[2]
+
+
 def test_line_dedup(spark, nothing):
     rows = [(i, f"own {i}\n  Shared\tLine \r\n\nshared\tline\nlast", "s", "x") for i in range(12)]
     rows += [(50, None, None, None), (51, "", None, None), (52, "x\n" * 2000 + "rare", None, None), (12, "LAST\n\x0b last", None, None)]
