@@ -8,8 +8,9 @@ any vector of a cell lies within q.pivot +- |q| * radius (Cauchy-Schwarz), so
    threshold from below;
 2. then only in the cells whose upper bound reaches the threshold. Cells that no query of a group needs are not sent to it.
 
-Cells are cut into blocks of bounded size (a cell may hold a third of all vectors), and queries into groups of cells near each
-other, cut as well; one block meets one group in one task, and returns no more than k rows a query.
+Neighbouring cells share blocks of bounded size, and a cell larger than a block is cut (it may hold a third of all vectors); queries
+are in groups of cells near each other, cut as well. One block meets one group in one task, which merges its cells to no more than k
+rows a query.
 
 Vectors that are NULL, have NULL or non-finite components or a NULL id take no part. Shorter vectors count as padded
 with zeros. Rows with the query's own id are no candidates of it. Ties go to the smaller id.
@@ -17,6 +18,8 @@ with zeros. Rows with the query's own id are no candidates of it. Ties go to the
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -24,10 +27,10 @@ from pyspark.sql import functions as F
 
 from matchday.llm.common import stored
 
-#: Pivots, and the rows of the sample they are chosen from.
-PIVOTS, SAMPLE = 64, 4096
-#: Queries in one group.
-GROUP = 2000
+#: The least and the most pivots, and the rows of the sample they are chosen from.
+PIVOTS, SAMPLE = (64, 1024), 4096
+#: Blocks of the data, as long as a block has no more than MOST_ROWS rows then; queries in one group; scores held at a time.
+BLOCKS, MOST_ROWS, GROUP, SCORES = 24, 50_000, 2000, 4_000_000
 
 
 def whole_numbers(embeddings: DataFrame) -> DataFrame:
@@ -54,7 +57,7 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
-def choose_pivots(vectors: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE) -> np.ndarray:
+def choose_pivots(vectors: DataFrame, pivots: int = PIVOTS[0], sample: int = SAMPLE) -> np.ndarray:
     """Pivots from the ``sample`` vectors with the smallest hashes of their ids: centres after a few rounds of k-means."""
     rows = vectors.orderBy(F.xxhash64(F.lit("pivot"), F.col("vec_id")), "vec_id").limit(sample).select("packed").collect()
     x = np.unique(_matrix([bytes(r[0]) for r in rows]).astype(np.float64), axis=0) if rows else np.zeros((0, 0))
@@ -99,33 +102,68 @@ def _bounds(packed, pivots: np.ndarray, radii: np.ndarray) -> tuple[np.ndarray,
     return q @ p.T, half * (1 + 1e-9) + 1e-6
 
 
+def _best(scores: np.ndarray, ids: np.ndarray, good: np.ndarray, k: int) -> np.ndarray:
+    """The k of ``good`` with the highest scores, ties to the smaller id."""
+    if len(good) > k:
+        good = good[scores[good] >= np.partition(scores[good], len(good) - k)[len(good) - k]]
+        good = good[np.lexsort((ids[good], -scores[good]))[:k]]
+    return good
+
+
 def _solve(k: int):
+    """The k best of each query in one block, from the cells of the block that the query needs."""
     def run(data: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "vec_id": [], "score": []}
+        found = []
         if len(data) and len(queries):
-            data = data.sort_values("vec_id", kind="stable")
-            ids = data["vec_id"].to_numpy()
-            scores = _products(_matrix(queries["packed"]), _matrix(data["packed"]))
-            for row, (query, least) in enumerate(zip(queries["query_id"], queries["least"])):
-                own = scores[row]
-                good = np.flatnonzero((ids != query) if pd.isna(least) else (ids != query) & (own >= least))
-                if len(good) > k:  # a stable sort leaves ties in the order of ids
-                    good = good[np.argsort(-own[good], kind="stable")[:k]]
-                out["query_id"] += [query] * len(good)
-                out["vec_id"] += ids[good].tolist()
-                out["score"] += own[good].tolist()
-        return pd.DataFrame(out).astype("int64")
+            data = data.sort_values("cell", kind="stable")
+            ids, vectors, cells = data["vec_id"].to_numpy(), _matrix(data["packed"]), data["cell"].to_numpy()
+            present = np.unique(cells)
+            spans = list(zip(np.searchsorted(cells, present), np.searchsorted(cells, present, side="right")))
+            step = max(SCORES // len(ids), 1)
+            for start in range(0, len(queries), step):
+                asked = queries.iloc[start:start + step]
+                needs = np.array([np.isin(present, own) for own in asked["cells"]])
+                scores = np.zeros((len(asked), len(ids)), dtype=np.int64)
+                open_ = np.zeros(scores.shape, dtype=bool)
+                own = _matrix(asked["packed"])
+                for needed, (low, high) in zip(needs.T, spans):
+                    rows = np.flatnonzero(needed)
+                    scores[rows, low:high] = _products(own[rows], vectors[low:high])
+                    open_[rows, low:high] = True
+                least = asked["least"].to_numpy(dtype=np.float64, na_value=-np.inf)
+                open_ &= (scores >= least[:, None]) & (ids[None, :] != asked["query_id"].to_numpy()[:, None])
+                for row, query in enumerate(asked["query_id"]):
+                    best = _best(scores[row], ids, np.flatnonzero(open_[row]), k)
+                    found.append(pd.DataFrame({"query_id": query, "vec_id": ids[best], "score": scores[row][best]}))
+        return pd.concat(found).astype("int64") if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
     return run
 
 
-def top_k(embeddings: DataFrame, is_query=None, k: int = 20, pivots: int = PIVOTS) -> DataFrame:
-    """``(query_id, rank, vec_id, score)`` of the k best of each query among all other rows."""
+def _blocks_of(cells: list[int], sizes: dict[int, int], line: np.ndarray, block: int) -> tuple[dict[int, int], dict[int, int]]:
+    """Block of each cell and pieces of each block: neighbouring cells share a block, a cell larger than one is cut."""
+    of, pieces, held = {}, {}, 0
+    for at in line:
+        cell = cells[at]
+        if not pieces or held + sizes[cell] > block:
+            pieces[len(pieces)], held = 1, 0
+        of[cell] = len(pieces) - 1
+        held += sizes[cell]
+        pieces[of[cell]] = -(-held // block)
+    return of, pieces
+
+
+def top_k(embeddings: DataFrame, is_query=None, k: int = 20, pivots: int | None = None) -> DataFrame:
+    """``(query_id, rank, vec_id, score)`` of the k best of each query among all other rows.
+
+    ``pivots``: their number; by default the square root of the number of vectors, between PIVOTS[0] and PIVOTS[1].
+    """
     is_query = F.col("vec_id") % 20 == 0 if is_query is None else is_query
     pack = F.udf(lambda v: np.asarray(v, dtype="<i8").tobytes(), "binary", useArrow=True)
     vectors = whole_numbers(embeddings).select("vec_id", pack("v").alias("packed"))
     vectors = stored(vectors, "vectors")
-    centres = choose_pivots(vectors, pivots)
+    total = vectors.count()
+    centres = choose_pivots(vectors, pivots or min(max(math.isqrt(total), PIVOTS[0]), PIVOTS[1]))
     empty = "query_id long, rank int, vec_id long, score long"
     if not len(centres):
         return embeddings.sparkSession.createDataFrame([], empty)
@@ -137,23 +175,24 @@ def top_k(embeddings: DataFrame, is_query=None, k: int = 20, pivots: int = PIVOT
     cells = sorted(summary)
     centres, radii = centres[cells], np.array([summary[c]["radius"] for c in cells])
     sizes = np.array([summary[c]["n"] for c in cells])
-    block = int(min(max(sizes.sum() // 200, 256), 8192))
-    parts = {c: -(-summary[c]["n"] // block) for c in cells}
-    # Groups of queries: cells along the line of most spread, cut every GROUP queries.
+    # Cells along the line of most spread: neighbours share blocks of data and groups of queries.
     spread = centres - centres.mean(0)
-    line = np.linalg.svd(spread, full_matrices=False)[2][0] if len(cells) > 1 else np.zeros(centres.shape[1])
+    direction = np.linalg.svd(spread, full_matrices=False)[2][0] if len(cells) > 1 else np.zeros(centres.shape[1])
+    line = np.argsort(spread @ direction, kind="stable")
+    block_of, pieces = _blocks_of(cells, {c: summary[c]["n"] for c in cells}, line, min(max(total // BLOCKS, 1), MOST_ROWS))
     groups, passed = {}, 0
-    for at in np.argsort(spread @ line, kind="stable"):
+    for at in line:
         n = summary[cells[at]]["queries"]
         groups[cells[at]] = (passed // GROUP, max(passed + n - 1, passed) // GROUP)
         passed += n
-    lookup = lambda values: F.create_map(*[F.lit(int(x)) for c in cells for x in (c, values[c])])
+    lookup = lambda values: F.create_map(*[F.lit(int(x)) for pair in values.items() for x in pair])
 
     first = lookup({c: groups[c][0] for c in cells})[F.col("cell")]
     last = lookup({c: groups[c][1] for c in cells})[F.col("cell")]
     queries = data.filter(is_query).select(
         F.col("vec_id").alias("query_id"), "packed",
         (first + F.pmod(F.xxhash64("vec_id"), last - first + 1)).cast("int").alias("group"))
+    enough = max(k + 1, total // PIVOTS[0])
 
     def home(batches):
         for batch in batches:
@@ -162,7 +201,7 @@ def top_k(embeddings: DataFrame, is_query=None, k: int = 20, pivots: int = PIVOT
             centre, half = _bounds(batch["packed"], centres, radii)
             order = np.argsort(-centre, axis=1, kind="stable")
             held = np.cumsum(sizes[order], axis=1)
-            upto = 1 + np.minimum((held < k + 1).sum(1), len(cells) - 1)
+            upto = 1 + np.minimum((held < enough).sum(1), len(cells) - 1)
             yield batch.assign(least=None, need=[[cells[c] for c in row[:n]] for row, n in zip(order, upto)])
 
     def others(batches):
@@ -173,20 +212,33 @@ def top_k(embeddings: DataFrame, is_query=None, k: int = 20, pivots: int = PIVOT
             least = batch["least"].to_numpy(dtype=np.float64, na_value=-np.inf)
             wanted = centre + half >= least[:, None]
             yield batch.drop(columns=["done"]).assign(need=[
-                [cells[c] for c in np.flatnonzero(row) if cells[c] not in set(done)]
-                for row, done in zip(wanted, batch["done"])])
-
-    part_of = F.pmod(F.xxhash64("vec_id"), lookup(parts)[F.col("cell")]).cast("int")
-    blocks = data.select("vec_id", "packed", "cell", part_of.alias("part"))
-
-    def solved(asked: DataFrame) -> DataFrame:
-        asked = asked.withColumn("cell", F.explode("need"))
-        wanted = asked.select(F.col("cell").alias("at"), F.col("group").alias("team")).distinct()  # at most a row per cell and group
-        sent = blocks.join(wanted, F.col("cell") == F.col("at")).select(
-            F.col("at"), F.col("part").alias("piece"), "team", F.col("vec_id").alias("vec_id"), "packed")
-        asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), lookup(parts)[F.col("cell")] - 1)))
+                [cells[c] for c in np.flatnonzero(row) if cells[c] not in own]
+                for row, own in zip(wanted, map(set, batch["done"]))])
+
+    def by_block(batches):
+        """One row for each query and block, with the cells needed there."""
+        for batch in batches:
+            rows = []
+            for at, need in enumerate(batch["need"]):
+                own: dict[int, list[int]] = {}
+                for cell in need:
+                    own.setdefault(block_of[cell], []).append(cell)
+                rows += [(at, block, asked) for block, asked in own.items()]
+            if rows:
+                at, block, asked = zip(*rows)
+                yield batch.drop(columns=["need"]).iloc[list(at)].assign(block=block, cells=asked)
+
+    block = lookup(block_of)[F.col("cell")]
+    blocks = data.select("vec_id", "packed", "cell", block.alias("at"), F.pmod(
+        F.xxhash64("vec_id"), lookup(pieces)[block]).cast("int").alias("piece"))
+
+    def solved(needed: DataFrame) -> DataFrame:
+        asked = needed.mapInPandas(by_block, "query_id long, packed binary, group int, least double, block int, cells array<int>")
+        wanted = asked.select("block", F.col("group").alias("team")).distinct()  # at most a row per block and group
+        sent = blocks.join(wanted, F.col("at") == F.col("block")).select("at", "piece", "team", "vec_id", "packed", "cell")
+        asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), lookup(pieces)[F.col("block")] - 1)))
         return sent.groupBy("at", "piece", "team").cogroup(
-            asked.select("cell", "part", "group", "query_id", "packed", "least").groupBy("cell", "part", "group")).applyInPandas(
+            asked.select("block", "part", "group", "query_id", "packed", "least", "cells").groupBy("block", "part", "group")).applyInPandas(
             _solve(k), "query_id long, vec_id long, score long")
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -196,6 +248,6 @@ def top_k(embeddings: DataFrame, is_query=None, k: int = 20, pivots: int = PIVOT
     least = found.groupBy("query_id").agg(
         F.when(F.count(F.lit(1)) >= k, F.min("score")).cast("double").alias("least"))
     again = asked.select("query_id", "packed", "group", F.col("need").alias("done")).join(least, "query_id", "left")
-    more = solved(again.select("query_id", "packed", "group", "least", "done").mapInPandas(others, head))
+    more = solved(stored(again.select("query_id", "packed", "group", "least", "done").mapInPandas(others, head), "others"))
     return found.select("query_id", "vec_id", "score").unionByName(more).withColumn(
         "rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
