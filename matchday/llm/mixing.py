@@ -10,7 +10,8 @@ interval reaches. The order by words makes the copies cover all lengths evenly,
 
 The position of a document is a sum of three counts (shorter documents, earlier remainders, rank in the remainder), so no
 task ever orders a whole source: the largest window group holds 1 / SPREAD of the documents of one length in one source,
-or the distinct lengths of one source. A NULL text has no words; a NULL id is spread by a checksum of its text. Repeated rows
+or the distinct lengths of one source. A NULL text has no words; a NULL id is spread by a checksum of its text, or of its row
+where the words were counted before. Repeated rows
 are documents of their own; among rows of one id and length those with the smaller checksum of all columns (but maps) come
 first, so reruns take the same rows however the table is laid out. An empty table gives an empty result.
 """
@@ -51,21 +52,24 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap:
 
 
 def planned_copies(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: float = 2.0,
-                   seed: str = "mix") -> DataFrame:
+                   seed: str = "mix", size: str | None = None) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` (0 to ``cap``, rounded up), in place of columns of
-    these names in ``docs``; ``mix_sources`` returns those of ``docs``."""
-    planned = _planned(docs, weights, share, cap, seed)
+    these names in ``docs``; ``mix_sources`` returns those of ``docs``. ``size`` names a column of word counts, for documents
+    whose words were counted before; the texts are then not needed."""
+    planned = _planned(docs, weights, share, cap, seed, size)
     return planned.select(*others(docs, *PLAN), *[F.col(f"__{name}").alias(name) for name in PLAN])
 
 
-def _planned(docs: DataFrame, weights, share: float, cap: float, seed: str) -> DataFrame:
+def _planned(docs: DataFrame, weights, share: float, cap: float, seed: str, size: str | None = None) -> DataFrame:
     """``docs`` with ``__size``, ``__source_size``, ``__target`` and ``__copies``."""
     src = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
     hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    spread = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")) if size is None else F.pmod(
+        F.xxhash64(*hashed), F.lit(1 << 32))
     keyed = docs.select(
-        "*", F.xxhash64(*hashed).alias("__row"), word_count(F.col("text")).alias("__size"), src.alias("__src"),
-        F.coalesce(F.pmod(F.col("doc_id"), F.lit(SPREAD)),
-                   F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")) % SPREAD).alias("__part"))
+        "*", F.xxhash64(*hashed).alias("__row"), src.alias("__src"),
+        (word_count(F.col("text")) if size is None else F.coalesce(F.col(f"`{size}`").cast("long"), F.lit(0))).alias("__size"),
+        F.coalesce(F.pmod(F.col("doc_id"), F.lit(SPREAD)), spread % SPREAD).alias("__part"))
     per_part = keyed.groupBy(F.col("__src").alias("src"), F.col("__size").alias("size"), F.col("__part").alias("part")).agg(
         F.count(F.lit(1)).alias("n"))
     per_size = per_part.groupBy("src", "size").agg(F.sum("n").alias("n"))

@@ -17,7 +17,7 @@ from matchday.llm import (
     bpe, fingerprints, html_text, knn, lexical_search, license_scan, line_dedup, mixing, near_dedup, ngram_lm, periodic_runs,
     toxicity, url_filter,
 )
-from matchday.llm.common import held_out, table
+from matchday.llm.common import held_out, stored, table
 
 def tokenizer_definition(name: str = "word_bpe_49k.json", folder: str | None = os.environ.get("TOKENIZER_FOLDER")) -> str:
     """The text of a tokenizer file of ``folder``; where none is given, of the installed ``public_tokenizers``."""
@@ -91,7 +91,8 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = mixing.planned_copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("n_words"))
+    planned = mixing.planned_copies(stored(docs, "sizes"), size="n_words")
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
