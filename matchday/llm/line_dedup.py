@@ -24,8 +24,9 @@ from matchday.llm.common import new_path, others, stored
 
 _STRIP = b" \t\n\x0b\x0c\r"
 #: A key in more than 1 / HOT of all documents is looked up by broadcast. A document with k lines has at most k keys, so
-#: there are at most HOT * (mean lines per document) such keys, whatever the number of documents.
-HOT = 500
+#: there are at most HOT * (mean lines per document) such keys, whatever the number of documents; they are counted, and beyond
+#: MOST_HOT shuffled like the others.
+HOT, MOST_HOT = 500, 1_000_000
 
 
 def line_hash(line: str, min_chars: int) -> int | None:
@@ -121,6 +122,8 @@ def _dropped(lines: DataFrame, frequent: DataFrame, n_documents: int) -> DataFra
     """``(key, hashes)`` of the documents that lose lines. The few very frequent keys are broadcast (see HOT)."""
     limit = max(n_documents // HOT, 1)
     hot = frequent.filter(F.col("n") > limit).select("hash", F.lit(True).alias("hot"))
+    if hot.count() > MOST_HOT:
+        return lines.join(frequent.select("hash"), "hash").groupBy("key").agg(F.collect_set("hash").alias("hashes"))
     rest = frequent.filter(F.col("n") <= limit).select("hash")
     marked = lines.join(F.broadcast(hot), "hash", "left")
     found = marked.filter("hot").select("key", "hash").unionByName(
