@@ -8,9 +8,9 @@ The likeness of two fingerprints is the share of equal hashes among the sub-lexi
 fingerprints without any terms are alike if equal.
 
 Terms are runs of letters and digits, lower-cased, known by 64-bit hashes. NULL and empty texts have no terms. Rows may
-repeat. The band bounds the lexicon: a term in more than N * exp(-max_idf) documents is one of at most
-(mean distinct terms of a document) * exp(max_idf), whatever N is, so the lexicon may be broadcast. Everything runs as DataFrame
-operations.
+repeat; a NULL id counts as the smallest, and rows of one id follow each other by the hash of their text. The band bounds the
+lexicon: a term in more than N * exp(-max_idf) documents is one of at most (mean distinct terms of a document) * exp(max_idf),
+whatever N is. It is counted, and broadcast up to MOST_TERMS terms. Everything runs as DataFrame operations.
 """
 
 from __future__ import annotations
@@ -27,7 +27,12 @@ SUBSETS = ((0, 1), (1, 2), (2, 4), (3, 8), (4, 9))
 _LEVELS = [level for level, n in SUBSETS for _ in range(n)]
 #: Documents of neighbouring ids that are handled together, and the most such buckets (which bounds what is broadcast).
 BUCKET, MOST_BUCKETS = 1000, 200_000
+#: Terms of the lexicon that are broadcast at most (16 bytes each); a larger lexicon is joined by a shuffle.
+MOST_TERMS = 2_000_000
 _NO_TERM = 0  # hash of the row that every text has
+#: A bucket's number has places for the hot ids of a range of ids, and for the pieces of a hot id.
+_PLACES = 1 << 22
+_SMALLEST = -(1 << 63)
 
 
 def terms(text: Column) -> Column:
@@ -67,9 +72,8 @@ def fingerprint_text(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.lower(F.hex(h))), "-")
 
 
-def _buckets(docs: DataFrame, n_documents: int) -> Column:
-    """A bucket number that grows with doc_id, about BUCKET documents each: quantiles, evenly divided between."""
-    per_bucket = max(BUCKET, n_documents // MOST_BUCKETS)
+def _id_ranges(docs: DataFrame, per_bucket: int, n_documents: int) -> Column:
+    """The number of a range of ids, growing with doc_id, about ``per_bucket`` documents each: quantiles, evenly divided between."""
     wanted = max(n_documents // per_bucket, 1)
     segments = min(wanted, 64)
     shares = [i / segments for i in range(segments + 1)]
@@ -84,27 +88,50 @@ def _buckets(docs: DataFrame, n_documents: int) -> Column:
     return F.coalesce(bucket, F.lit(0).cast("long"))
 
 
+def _bucketed(docs: DataFrame, n_documents: int) -> DataFrame:
+    """``(doc_id, text, id, hash, bucket)``: bucket numbers grow along the order (id, hash), and none holds much more than others.
+
+    A hot id, one of more rows than a bucket should have, gets buckets of its own, by even ranges of the hash of the text. Hot ids
+    are at most as many as buckets, so they are broadcast: for each range of ids, the sorted list of (hot id, pieces).
+    """
+    per_bucket = max(BUCKET, n_documents // MOST_BUCKETS)
+    keyed = docs.select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(_SMALLEST)).cast("long").alias("id"),
+        _id_ranges(docs, per_bucket, n_documents).alias("range"))
+    hot = stored(keyed.groupBy("range", "id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > per_bucket).groupBy("range").agg(
+        F.sort_array(F.collect_list(F.struct("id", F.ceil(F.col("n") / per_bucket).alias("pieces")))).alias("hot")), "hot-ids")
+    listed = keyed.withColumn("hash", F.xxhash64("text")).join(F.broadcast(hot), "range", "left")
+    before = F.filter("hot", lambda h: h["id"] <= F.col("id"))
+    nearest = F.element_at("before", F.size("before"))
+    share = (F.shiftright(F.col("hash"), 32) + F.lit(1 << 31)) / F.lit(float(1 << 32))  # 0 to 1, in the order of the hashes
+    piece = F.when(nearest["id"] == F.col("id"), F.floor(share * nearest["pieces"])).otherwise(F.lit(_PLACES - 1))
+    inside = F.when(F.coalesce(F.size("before"), F.lit(0)) > 0, F.size("before") * F.lit(_PLACES) + piece).otherwise(F.lit(0))
+    return listed.withColumn("before", before).select(
+        "doc_id", "text", "id", "hash", (F.col("range") * F.lit(_PLACES * _PLACES) + inside).cast("long").alias("bucket"))
+
+
 def with_next(docs: DataFrame, n_documents: int) -> DataFrame:
-    """``(bucket, place, last, doc_id, text, next_text)`` of ``docs``; ties of doc_id go by text, NULL comes first.
+    """``(bucket, place, last, doc_id, text, next_text)`` of ``docs``; ties of doc_id go by the hash of the text, NULL comes first.
 
     Buckets hold neighbouring ids. The first document of each is also put at the end of the bucket before (of the last one for
     the very first), so that every document finds its next one in its own bucket; ``last`` marks those copies.
     """
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _buckets(docs, n_documents).alias("bucket"))
-    firsts = keyed.groupBy("bucket").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id")).alias("low"))
-    # One row per bucket, at most MOST_BUCKETS and a few.
+    keyed = _bucketed(docs, n_documents)
+    firsts = keyed.groupBy("bucket").agg(F.min(F.struct("id", "hash")).alias("low"))
+    # One row per bucket, at most MOST_BUCKETS, three for each hot id, and a few.
     order = Window.orderBy("bucket")
     whole = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     firsts = stored(firsts.select(F.coalesce(F.lag("bucket").over(order), F.last("bucket").over(whole)).alias("before"),
-                                  F.col("bucket").alias("own"), F.col("low.doc_id").alias("first_id")), "firsts")
-    marked = keyed.join(F.broadcast(firsts), (F.col("own") == F.col("bucket")) & F.col("first_id").eqNullSafe(F.col("doc_id")),
-                        "left")
+                                  F.col("bucket").alias("own"), F.col("low.id").alias("first_id"), F.col("low.hash").alias("first_hash")),
+                    "firsts")
+    marked = keyed.join(F.broadcast(firsts), (F.col("own") == F.col("bucket")) & (F.col("first_id") == F.col("id")) & (
+        F.col("first_hash") == F.col("hash")), "left")
     here = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("last"))
     there = F.struct(F.col("before").alias("bucket"), F.lit(True).alias("last"))
-    placed = marked.select("doc_id", "text", F.explode(
+    placed = marked.select("doc_id", "text", "id", "hash", F.explode(
         F.when(F.col("before").isNotNull(), F.array(here, there)).otherwise(F.array(here))).alias("at")).select(
-        "at.bucket", "at.last", "doc_id", "text")
-    row = Window.partitionBy("bucket").orderBy("last", F.asc_nulls_first("doc_id"), "text")
+        "at.bucket", "at.last", "doc_id", "text", "id", "hash")
+    row = Window.partitionBy("bucket").orderBy("last", "id", "hash", "text")
     return placed.select("bucket", F.row_number().over(row).alias("place"), "last", "doc_id", "text",
                          F.lead("text").over(row).alias("next_text"))
 
@@ -118,6 +145,8 @@ def fingerprints(docs: DataFrame, min_idf: float = 2.3, max_idf: float = 6.5) ->
     band = stored(lexicon(docs, max(n_documents, 1), min_idf, max_idf), "lexicon")
     known = band.unionByName(docs.sparkSession.range(1).select(F.lit(_NO_TERM).cast("long").alias("term"),
                                                                F.lit(-1).cast("long").alias("subsets")))
+    if band.count() <= MOST_TERMS:
+        known = F.broadcast(known)
     half = F.floor(F.length("text") / 2).cast("int")
     rows = with_next(docs, n_documents).withColumn("edited", F.when(~F.col("last"), F.concat(
         F.substring(F.col("text"), F.lit(1), F.length("text") - half),
@@ -134,8 +163,8 @@ def fingerprints(docs: DataFrame, min_idf: float = 2.3, max_idf: float = 6.5) ->
         *head, F.col("of.which").alias("which"), F.col("of.whole").alias("whole"),
         F.array_append("of.terms", F.lit(_NO_TERM).cast("long")).alias("terms"))
     each = both.select(*head, "which", "whole", F.explode("terms").alias("term"))
-    # The rows of a bucket are in one task already: grouping by document in a bucket moves nothing.
-    found = each.join(F.broadcast(known), "term")
+    # The rows of a bucket are in one task already: after a broadcast, grouping by document in a bucket moves nothing.
+    found = each.join(known, "term")
     of = lambda which: F.sort_array(F.collect_list(F.when(
         (F.col("which") == which) & (F.col("subsets") != -1), F.struct("term", "subsets"))))
     whole = lambda which: F.max(F.when(F.col("which") == which, F.col("whole")))
