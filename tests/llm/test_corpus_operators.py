@@ -84,6 +84,70 @@ def test_fingerprints(docs, texts, nothing):
     assert fingerprints.fingerprints(nothing).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_fingerprints_recomputed_with_hot_ids(spark, monkeypatch, broadcast):
+    """Every hash and likeness by plain Python, over xxhash64 of the words; a third of the rows with no id, a third with one id."""
+    monkeypatch.setattr(fingerprints, "BUCKET", 10)
+    monkeypatch.setattr(fingerprints, "MOST_TERMS", 10**6 if broadcast else 0)
+    rnd = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(60)]
+    rows = [(None if k % 3 == 0 else 50 if k % 3 == 1 else k, " ".join(rnd.choices(vocabulary, k=rnd.randint(0, 25)))) for k in range(150)]
+    rows += [(50, None), (50, ""), (None, None), (50, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    buckets = fingerprints._bucketed(docs, len(rows)).collect()
+    fullest = collections.Counter(r["bucket"] for r in buckets).most_common(1)[0][1]
+    in_order = sorted(buckets, key=lambda r: (r["id"], r["hash"]))
+    assert fullest < 30 and [r["bucket"] for r in in_order] == sorted(r["bucket"] for r in buckets)
+
+    known = {w: h for w, h in spark.createDataFrame([(w,) for w in vocabulary], "w string").select("w", F.xxhash64("w")).collect()}
+    texts = sorted(((-(1 << 63) if i is None else i, t or "") for i, t in rows), key=lambda r: r[0])
+    hashed = dict(spark.createDataFrame([(t,) for _, t in texts], "t string").select("t", F.xxhash64("t")).distinct().collect())
+    texts.sort(key=lambda r: (r[0], hashed[r[1]], r[1]))
+    own = lambda t: {known[w] for w in re.findall(r"w\d+", t) if w in known} | set()
+    df = collections.Counter(h for _, t in texts for h in own(t))
+    low, high = 0.5, 2.5
+    band = {h for h, n in df.items() if len(rows) * math.exp(-high) <= n <= len(rows) * math.exp(-low)}
+    assert 0 < len(band)
+    edits = []
+    for k, (_, t) in enumerate(texts):
+        half = len(t) // 2
+        edits.append(t[:len(t) - half] + texts[(k + 1) % len(texts)][1][:half])
+    # Words that an edit cuts get hashes too, and every list that is hashed as a whole or for a sub-lexicon.
+    words = sorted({w for t in edits for w in t.split()} - known.keys())
+    known |= dict(spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w")).collect())
+    levels = fingerprints._LEVELS
+    chance = {(r["h"], s): r[f"s{s}"] for r in spark.createDataFrame([(h,) for h in band], "h long").select("h", *[
+        F.pmod(F.xxhash64(F.lit(f"subset {s}"), "h"), F.lit(4**level)).alias(f"s{s}") for s, level in enumerate(levels)]).collect()
+        for s in range(len(levels))}
+    masks = {h: sum(1 << s for s in range(len(levels)) if chance[h, s] == 0) for h in band}
+    masks = {h: m - (1 << 64) if m >= 1 << 63 else m for h, m in masks.items()}
+    lists = []
+    for t in [t for _, t in texts] + edits:
+        mine = {known[w] for w in t.split()}
+        kept = sorted(mine & band)
+        lists.append(([[(h, masks[h]) for h in kept if masks[h] >> s & 1] for s in range(len(levels))], sorted(mine), bool(kept)))
+    table = spark.createDataFrame([(k, *x) for k, x in enumerate(lists)],
+                                  "k int, subs array<array<struct<term:bigint,subsets:bigint>>>, mine array<bigint>, some boolean")
+    prints = {r["k"]: tuple(
+        [h if subs else 0 for h, subs in zip(r["hashes"], r["subs"])] if r["some"] else [r["whole"] if r["mine"] else 0] + [0] * (len(levels) - 1))
+        for r in table.select("*", F.transform("subs", lambda a: F.xxhash64(a)).alias("hashes"), F.xxhash64("mine").alias("whole")).collect()}
+
+    def alike(a, b):
+        either = sum(x != 0 or y != 0 for x, y in zip(a, b))
+        return sum(x == y != 0 for x, y in zip(a, b)) / either if either else 1.0
+
+    n = len(texts)
+    expected = sorted((-(1 << 63) if i is None else i, hashlib.sha256(e.encode()).hexdigest(), prints[k], prints[n + k],
+                       alike(prints[k], prints[n + k]), alike(prints[k], prints[(k + 1) % n]))
+                      for k, ((i, _), e) in enumerate(zip([(None if x == -(1 << 63) else x, t) for x, t in texts], edits)))
+    out = fingerprints.fingerprints(docs, min_idf=low, max_idf=high).select(
+        "*", fingerprints.likeness(F.col("hashes"), F.col("edited_hashes")).alias("near"),
+        fingerprints.likeness(F.col("hashes"), F.col("next_hashes")).alias("next")).collect()
+    found = sorted((-(1 << 63) if r["doc_id"] is None else r["doc_id"], r["edited_sha256"], tuple(r["hashes"]), tuple(r["edited_hashes"]),
+                    r["near"], r["next"]) for r in out)
+    assert found == expected
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><nav><a href=/>Home page</a></nav>
 <div class="ad">Buy many things here today</div><article><h1>Head &amp; line</h1><p>First   text
 of the <b>page</b> &#233;.<p>Second &lt;b&gt; one<ul><li>item one<li>item two</ul></article><section class="comments"><p>nice
@@ -316,7 +380,7 @@ def test_repeated_long_urls_are_mined(spark):
     assert out == {0: ("block", 40 + common, 1.0), 1: ("block", common, 26 / 40), 2: ("block", 40 + common, 0.8)}
 
 
-def test_knn_equals_brute_force(spark):
+def test_knn_equals_brute_force(spark, monkeypatch):
     rnd = np.random.default_rng(3)
     vectors = [[float(x) for x in rnd.normal(size=8)] for _ in range(150)]
     vectors[20:90] = [vectors[20]] * 70  # a third and more in one place
@@ -330,6 +394,14 @@ def test_knn_equals_brute_force(spark):
     out = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in knn.top_k(table, pivots=7).collect())
     assert out == expected
     assert knn.top_k(table.limit(0)).count() == 0
+    monkeypatch.setattr(knn, "SCORES", 200)  # several slices of queries in a task
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in knn.top_k(table).collect()) == expected
+
+
+def test_knn_blocks_are_bounded():
+    sizes = {0: 5, 1: 100, 2: 3, 3: 4, 4: 30}
+    of, pieces = knn._blocks_of(list(sizes), sizes, np.array([0, 2, 1, 4, 3]), 10)
+    assert of == {0: 0, 2: 0, 1: 1, 4: 2, 3: 3} and pieces == {0: 1, 1: 10, 2: 3, 3: 1}
 
 
 def test_ngram_scores_equal_brute_force(docs, texts, nothing):
@@ -407,6 +479,9 @@ def test_mixing(docs, texts, nothing):
     mix = collections.Counter(r["doc_id"] for r in mixing.mix_sources(docs.drop("size")).collect())
     assert mix == {i: r["copies"] for i, r in planned.items() if r["copies"]}
     assert mixing.planned_copies(nothing.drop("size")).count() == 0
+    counted = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("n_words"))
+    assert {i: [r[c] for c in mixing.PLAN] for i, r in by_id(mixing.planned_copies(counted, size="n_words")).items()} == {
+        i: [r[c] for c in mixing.PLAN] for i, r in planned.items()}
 
 
 def test_mixing_takes_the_same_rows_of_repeated_ids(spark):
