@@ -19,7 +19,7 @@ import re
 import sys
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -53,21 +53,26 @@ class TrieBpe:
         model = spec["model"]
         self.end = model["end_of_word_suffix"] or ""
         self.ids: dict[str, int] = model["vocab"]
-        self.tokens = {i: t for t, i in self.ids.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens.update({i: t for t, i in self.special.items()})
+        texts = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
+        self.tokens = np.array([texts.get(i) for i in range(max(texts) + 1)], dtype=object)
         self.ranks = {tuple(m) if isinstance(m, list) else tuple(m.split(" ")): r for r, m in enumerate(model["merges"])}
         (pattern,) = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.pieces = regex.compile(pattern)
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.halves = {a + b: (a, b) for a, b in self.ranks}
         self.bytes_to_symbols = str.maketrans({chr(b): s for b, s in enumerate(_byte_symbols())})
-        self.inner = {t for t in self.ids if not self.end or not t.endswith(self.end)}
-        #: All that an inner token ends with: a longer stretch of a word cannot be a token if a shorter one is not among them.
-        self.endings = {token[at:] for token in self.inner for at in range(len(token))}
-        self.apart_cache: dict[tuple[str, str], bool] = {}
-        self.max_words = max_words
+        self.packed = {t: self._packed([i]) for t, i in self.ids.items()}
+        inner = [t for t in self.ids if not self.end or not t.endswith(self.end)]
+        #: Of each stretch that ends a token inside a word, or one at its end (less the word end): if it is a token, whether it stays
+        #: apart from the tokens met to its left; else None. A stretch that is not here ends no token, nor does a longer one.
+        self.inner_seams = self._seams(inner)
+        self.final_seams = self._seams(t[: -len(self.end)] for t in self.ids if t.endswith(self.end)) if self.end else {}
+        self.known_seams = 0
+        #: Words in use and, of as many at most, those in use before: a word met again is taken over, the others leave.
+        self.table_words = max_words // 2
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _merged(self, symbols: list[str]) -> list[str]:
         """Plain BPE of a short symbol sequence: the merge of lowest rank first, the leftmost of equals."""
@@ -84,20 +89,31 @@ class TrieBpe:
             return [*head[:-1], head[-1] + self.end]
         return list(token)
 
+    @staticmethod
+    def _seams(tokens: Iterable[str]) -> dict[str, dict[str, bool] | None]:
+        tokens = list(tokens)
+        seams: dict[str, dict[str, bool] | None] = {token[at:]: None for token in tokens for at in range(len(token))}
+        seams.update((token, {}) for token in tokens)
+        return seams
+
     def _apart(self, left: str, right: str) -> bool:
         """Whether ``left`` and ``right`` are the encoding of their concatenation (``left`` empty: of ``right``).
 
         The symbols at the seam have a history: each is made by a merge and used up by another, and merges happen in order of
         rank. The two tokens stay apart unless the symbols that face each other at some time could have merged then.
         """
-        pair = (left, right)
-        known = self.apart_cache.get(pair)
-        if known is None:
-            if len(self.apart_cache) > 500_000:
-                self.apart_cache.clear()
-            known = self.apart_cache[pair] = (self._seam(left, right) if left
-                                              else self._merged(self._split(right)) == [right])
-        return known
+        return self._seam(left, right) if left else self._merged(self._split(right)) == [right]
+
+    def _keep_seam(self, seams: dict[str, bool], left: str, right: str) -> bool:
+        """``_apart``, kept in ``seams`` of ``right``; all are forgotten when there are too many."""
+        if self.known_seams >= 500_000:
+            for known in (*self.inner_seams.values(), *self.final_seams.values()):
+                if known:
+                    known.clear()
+            self.known_seams = 0
+        self.known_seams += 1
+        seams[left] = apart = self._apart(left, right)
+        return apart
 
     def _seam(self, left: str, right: str) -> bool:
         halves, ranks, never = self.halves, self.ranks, len(self.ranks)
@@ -118,26 +134,11 @@ class TrieBpe:
             else:
                 right, right_used = right_half[0], right_made
 
-    def _last(self, word: str, depth: int, states: list[str], ending: str) -> str:
-        """The last token of the encoding of ``word[:depth]``; ``ending`` is the word end if the word ends there."""
-        apart, ids = self._apart, self.ids
-        if not ending:
-            for at in range(depth - 1, -1, -1):
-                token = word[at:depth]
-                if token not in self.endings:
-                    break
-                if token in self.inner and apart(states[at], token):
-                    return token
-            return None
-        for at in range(depth):
-            token = word[at:depth] + ending
-            if token in ids and apart(states[at], token):
-                return token
-        raise ValueError(f"no token ends {word!r}")
-
-    def encode_words(self, words: list[str]) -> dict[str, list[int]]:
-        """Ids of distinct words, each given as its byte symbols, by one depth-first pass over their trie."""
-        out: dict[str, list[int]] = {}
+    def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Packed ids of distinct words, each given as its byte symbols, by one depth-first pass over their trie."""
+        out: dict[str, bytes] = {}
+        inner_seams, final_seams, end, packed = self.inner_seams, self.final_seams, self.end, self.packed
+        keep_seam = self._keep_seam
         states: list[str] = [""]
         path = ""
         for word in sorted(words):
@@ -146,44 +147,77 @@ class TrieBpe:
                 if a != b:
                     break
                 shared += 1
-            inner = len(word) - 1 if self.end else len(word)
+            size = len(word)
+            inner = size - 1 if end else size
             shared = min(shared, inner, len(states) - 1)
             del states[shared + 1:]
             for depth in range(shared + 1, inner + 1):
-                states.append(self._last(word, depth, states, ""))
+                last = None
+                for at in range(depth - 1, -1, -1):
+                    token = word[at:depth]
+                    if token not in inner_seams:
+                        break
+                    seams = inner_seams[token]
+                    if seams is not None:
+                        left = states[at]
+                        apart = seams.get(left)
+                        if apart or apart is None and keep_seam(seams, left, token):
+                            last = token
+                            break
+                states.append(last)
             path = word[:inner]
-            last = self._last(word, len(word), states, self.end) if self.end else states[len(word)]
-            ids, depth = [], len(word)
-            while True:
-                ids.append(self.ids[last])
-                depth -= len(last) - (len(self.end) if self.end and depth == len(word) else 0)
-                if depth == 0:
-                    break
+            if end:
+                for at in range(size - 1, -1, -1):
+                    token = word[at:]
+                    if token not in final_seams:
+                        raise ValueError(f"no token ends {word!r}")
+                    seams = final_seams[token]
+                    if seams is not None:
+                        left = states[at]
+                        apart = seams.get(left)
+                        if apart or apart is None and keep_seam(seams, left, token + end):
+                            break
+                else:
+                    raise ValueError(f"no token ends {word!r}")
+                parts, depth = [packed[token + end]], at
+            else:
+                parts, depth = [], size
+            while depth:
                 last = states[depth]
-            out[word] = ids[::-1]
+                parts.append(packed[last])
+                depth -= len(last)
+            parts.reverse()
+            out[word] = b"".join(parts)
         return out
 
-    def _normal(self, chunk: str) -> str:
-        """NFC, then each character lower-cased on its own."""
-        if chunk.isascii():
-            return chunk.lower()
-        return "".join([c.lower() for c in unicodedata.normalize("NFC", chunk)])
+    def _normal(self, text: str) -> str:
+        """NFC, then each character lower-cased on its own: only a capital sigma goes by its neighbours otherwise."""
+        if text.isascii():
+            return text.lower()
+        text = unicodedata.normalize("NFC", text)
+        return "".join(map(str.lower, text)) if "\u03a3" in text else text.lower()
 
     def _learn(self, chunks: set[str]) -> None:
-        """Encode chunks (text between white space) that are not in the table yet, and the pieces they consist of."""
-        words, pieces_of, new = self.words, {}, {}
+        """Encode normalised chunks (text between white space) that are not in the table yet, and the pieces they consist of."""
+        words, older, findall, pieces_of, new = self.words, self.older, self.pieces.findall, {}, set()
         for chunk in chunks:
-            normal = self._normal(chunk)
-            pieces = [normal] if normal.isalpha() else self.pieces.findall(normal)
-            pieces_of[chunk] = pieces
-            for piece in pieces:
-                if piece not in words and piece not in new:
-                    new[piece] = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.bytes_to_symbols)
-        encoded = self.encode_words(list(new.values()))
-        for piece, symbols in new.items():
-            words[piece] = self._packed(encoded[symbols])
+            if chunk in older:
+                words[chunk] = older[chunk]
+            elif chunk.isalpha():
+                new.add(chunk)
+            else:
+                pieces_of[chunk] = pieces = findall(chunk)
+                new.update(pieces)
+        words.update((piece, older[piece]) for piece in new & older.keys())
+        symbols_of = {
+            piece: piece if piece.isascii() and piece.isprintable()
+            else piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.bytes_to_symbols)
+            for piece in new if piece not in words}
+        encoded = self.encode_words(symbols_of.values())
+        for piece, symbols in symbols_of.items():
+            words[piece] = encoded[symbols]
         for chunk, pieces in pieces_of.items():
-            if chunk not in new:
+            if chunk not in symbols_of:
                 words[chunk] = b"".join([words[p] for p in pieces])
 
     @staticmethod
@@ -194,6 +228,8 @@ class TrieBpe:
         return packed.tobytes()
 
     def chunks(self, text: str) -> list[str]:
+        """The normalised text between white space; normalising leaves white space what it is."""
+        text = self._normal(text)
         if _OTHER_SPACES.search(text):
             return [c for c in _SPACES.split(text) if c]
         return text.split()
@@ -211,15 +247,15 @@ class TrieBpe:
         while done < len(parts_of):
             # As many texts at a time as the word table may hold new words of, but one at least.
             new: set[str] = set()
-            upto, room = done, self.max_words
+            upto, room = done, self.table_words
             split = []
             while upto < len(parts_of) and (upto == done or len(new) < room):
                 split.append([(part if special else self.chunks(part), special) for part, special in parts_of[upto]])
                 new.update(c for part, special in split[-1] if not special for c in part)
                 upto += 1
             missing = new - self.words.keys()
-            if len(self.words) + len(missing) > self.max_words:
-                self.words.clear()
+            if len(self.words) + len(missing) > self.table_words:
+                self.older, self.words = self.words, {}
                 missing = new
             self._learn(missing)
             for parts in split:
@@ -231,7 +267,7 @@ class TrieBpe:
 
     def decode(self, ids: bytes) -> str:
         """The tokens joined by a space: what a tokenizer without a decoder gives."""
-        return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        return " ".join(self.tokens[np.frombuffer(ids, dtype="<u4")].tolist())
 
 
 _encoder: dict[bytes, TrieBpe] = {}

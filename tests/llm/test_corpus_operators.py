@@ -296,6 +296,29 @@ def test_bpe_seam_equals_plain_merging():
         assert own._seam(left, right) == (own._merged(own._split(left) + own._split(right)) == [left, right])
 
 
+def test_bpe_encodes_words_in_use_once():
+    own = bpe.TrieBpe(queries.tokenizer_definition(), max_words=40)
+    encoded, encode_words = [], own.encode_words
+    own.encode_words = lambda words: encode_words(encoded.extend(words) or words)
+    texts = [f"Common COMMON common, {' '.join(f'{a}{b}' for b in 'abcde')}." for a in "qwertzuiop" * 2]
+    ids = [own.encode_batch([text])[0] for text in texts]
+    assert encoded.count("common") == 1  # in capitals or not, and however often other words fill the table
+    assert len(own.words) + len(own.older) <= 40 + 2 * 10  # the pieces of one text come on top in each
+    assert ids == [bpe.TrieBpe(queries.tokenizer_definition()).encode_batch([text])[0] for text in texts]
+
+
+def test_bpe_forgets_seams_not_results():
+    own, few = bpe.TrieBpe(queries.tokenizer_definition()), bpe.TrieBpe(queries.tokenizer_definition())
+    rnd = random.Random(3)
+    words = {"".join(rnd.choices("aeinrst", k=rnd.randint(1, 12))) for _ in range(300)}
+    found = own.encode_words(words)
+    few.known_seams = 499_990
+    assert few.encode_words(words) == found and few.known_seams < 499_990
+    for word, ids in found.items():
+        symbols = few._merged(few._split(word + "</w>"))
+        assert np.frombuffer(ids, "<u4").tolist() == [own.ids[s] for s in symbols]
+
+
 def test_url_filter(spark):
     urls = ["https://A.Example.ORG/es/1?x", "http://example.org/en/12", "http://b.org/x", "ftp://x.com/de/1", "http://com/fr/2",
             "http://notcom/de/", None, "no url", "http://x.com", "http://bad.net/casino/1", "http://good.net/news/1", "http://x.com"]
