@@ -33,6 +33,7 @@ from matchday.plans import gold, reports, silver
 from matchday.plans.selection import lineups
 from matchday.plans.star import League
 from matchday.plans.weekly import current_gameweek, last_finished
+from matchday.session import small_partitions
 from matchday.sources import landing
 from matchday.sources.arrays import array_records
 from matchday.sources.frames import with_payload
@@ -643,6 +644,8 @@ def silver_stats(t: League) -> DataFrame:
 
 @_query
 def silver_quality(t: League) -> DataFrame:
+    """In small partitions: nearly every match has a key of its own, so a task keeps all its matches in memory."""
+    t = League(small_partitions(t.spark), t.path)
     return silver.silver_quality(t.bronze_players, t.teams, t.players, t.fixtures, t.stats)
 
 

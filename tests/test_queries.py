@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from matchday.session import small_partitions
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -54,3 +56,24 @@ def test_flagship_plan_reads_the_history_once_per_shuffle(spark, sf_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_small_partitions_grow_in_number_with_the_rows(spark):
+    def partitions(session):
+        return session.range(4_000_000).select(F.xxhash64("id").alias("k")).groupBy("k").count().rdd.getNumPartitions()
+
+    size, given = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.conf.getAll
+    own = small_partitions(spark)
+    assert partitions(spark) <= int(spark.conf.get("spark.sql.shuffle.partitions")) < partitions(own)
+    assert spark.conf.getAll == given and own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set(size, "1m")
+    try:
+        assert int(small_partitions(spark).conf.get(size)) == 1 << 20
+    finally:
+        spark.conf.unset(size)
+
+
+def test_silver_quality_runs_in_small_partitions(spark, sf_dir):
+    df = QUERIES["silver_quality"](spark, sf_dir)
+    assert int(df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 8 << 20
+    assert df.count() == 10
