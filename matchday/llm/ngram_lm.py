@@ -23,15 +23,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchday.llm.common import mixed, stored, word_hashes
+from matchday.llm.common import mixed, stored
 
 FREQUENT = 20_000
 #: Words packed together in a task, and pairs in one partition.
 BLOCK, PARTITION = 1_500_000, 2_000_000
+#: Bytes of text split into words at once, or one longer text; bits of a sort key.
+SLICE, KEY = 2_000_000, 64
 _RARE = np.uint64(1 << 63)
 _END = np.uint64((1 << 63) - 1)  # code of the end mark: neither a frequent nor a rare word
 _NO_ID = -(1 << 63)
@@ -67,31 +72,59 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _blocks(batches: Iterator[pd.DataFrame]):
-    """Documents in blocks of about BLOCK words: ``(ids, word hashes of each)``."""
-    ids, words, held = [], [], 0
+def _by_part(part: np.ndarray) -> list[np.ndarray]:
+    """The positions of each partition, in order (numpy sorts numbers of 16 bits by radix)."""
+    order = np.argsort(part.astype(np.min_scalar_type(int(part.max(initial=0)))), kind="stable")
+    return [own for own in np.split(order, _starts(part[order])[1:]) if len(own)]
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of texts one after another, A-Z lower-cased, and how many each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words = split.flatten()
+    full = np.asarray(pc.greater(pc.binary_length(words), 0))  # white space at an end leaves an empty word
+    at = np.append(0, np.cumsum(full))[np.asarray(split.offsets)]
+    return words.filter(pa.array(full)), np.diff(at)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]):
+    """Documents in blocks of about BLOCK words: ``(ids, words of each, the place of every word's hash, hashes)``."""
+    def block():
+        words = pa.concat_arrays(held).dictionary_encode()
+        different = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, different), dtype=np.uint64, count=len(different))
+        return np.concatenate(ids), np.concatenate(sizes), words.indices.to_numpy(), hashes
+
+    ids, sizes, held, many = [], [], [], 0
     for batch in batches:
-        for doc_id, text in zip(batch["doc_id"], batch["text"]):
-            ids.append(_NO_ID if pd.isna(doc_id) else int(doc_id))
-            words.append(word_hashes(text))
-            held += len(words[-1]) + 1
-            if held >= BLOCK:
-                yield np.array(ids, dtype=np.int64), words
-                ids, words, held = [], [], 0
+        texts, own = batch.column(1), batch.column(0).cast(pa.int64()).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
+        length = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        cuts = [*_starts(np.cumsum(length) // SLICE), len(own)]
+        for start, end in zip(cuts, cuts[1:]):
+            words, n = _words(texts.slice(start, end - start))
+            ids.append(own[start:end])
+            sizes.append(n)
+            held.append(words)
+            many += len(words) + len(n) + int(length[start:end].sum()) // 64  # very long words fill a block too
+            if many >= BLOCK:
+                yield block()
+                ids, sizes, held, many = [], [], [], 0
     if ids:
-        yield np.array(ids, dtype=np.int64), words
+        yield block()
+
+
+_COUNTED = pa.schema([("part", pa.int32()), ("w", pa.binary()), ("n", pa.binary())])
 
 
 def _counts(parts: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, words in _blocks(batches):
-            w, n = np.unique(np.concatenate(words), return_counts=True)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, index, hashes in _blocks(batches):
+            order = np.argsort(hashes)
+            w, n = hashes[order], np.bincount(index, minlength=len(hashes))[order]
             part = (mixed(w) % np.uint64(parts)).astype(np.int32)
-            order = np.argsort(part, kind="stable")
-            cuts = _starts(part[order])
-            yield pd.DataFrame([
-                {"part": int(part[own[0]]), "w": _planes(_steps(w[own]), 8), "n": _planes(n[own], 4)}
-                for own in np.split(order, cuts[1:]) if len(own)], columns=["part", "w", "n"])
+            yield pa.RecordBatch.from_pylist(
+                [{"part": int(part[own[0]]), "w": _planes(_steps(w[own]), 8), "n": _planes(n[own], 4)} for own in _by_part(part)],
+                schema=_COUNTED)
 
     return run
 
@@ -104,9 +137,13 @@ def _summed(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"word": w[order][at].view(np.int64), "n": np.add.reduceat(n[order], at)})
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.col("text").cast("string").alias("text"))
+
+
 def word_counts(docs: DataFrame, parts: int) -> DataFrame:
     """``(word, n)``: how often each word (by its hash) occurs in all rows."""
-    packed = docs.select("doc_id", "text").mapInPandas(_counts(parts), "part int, w binary, n binary")
+    packed = _texts(docs).mapInArrow(_counts(parts), "part int, w binary, n binary")
     return packed.groupBy("part").applyInPandas(_summed, "word long, n long")
 
 
@@ -123,31 +160,47 @@ def _partition(u: np.ndarray, v: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _split_rows(part, u, v, d, n, ids):
-    order = np.argsort(part, kind="stable")
-    for own in np.split(order, _starts(part[order])[1:]):
-        if len(own):
-            docs, place = np.unique(d[own], return_inverse=True)
-            yield {"part": int(part[own[0]]), **_pack(u[own], v[own], place, n[own]), "ids": _planes(_steps(ids[docs].view(np.uint64)), 8)}
+    for own in _by_part(part):
+        docs, place = np.unique(d[own], return_inverse=True)
+        yield {"part": int(part[own[0]]), **_pack(u[own], v[own], place, n[own]), "ids": _planes(_steps(ids[docs].view(np.uint64)), 8)}
 
 
 _PACKED = "part int, u binary, v binary, d binary, n binary, ids binary"
 _COLUMNS = ["part", "u", "v", "d", "n", "ids"]
+_SHIPPED = pa.schema([(c, pa.int32() if c == "part" else pa.binary()) for c in _COLUMNS])
+
+
+def _distinct(u: np.ndarray, v: np.ndarray, d: np.ndarray, words: int, docs: int):
+    """The different (u, v, d) in order, of numbers below ``words`` and ``docs``, and how often each occurs."""
+    wide, narrow = max(words - 1, 1).bit_length(), max(docs - 1, 1).bit_length()
+    if 2 * wide + narrow <= KEY:  # one number holds all three
+        key = np.sort((u << np.uint64(wide) | v) << np.uint64(narrow) | d)
+        at = _starts(key)
+        n, key = np.diff(np.append(at, len(key))), key[at]
+        low, lower = np.uint64((1 << wide) - 1), np.uint64((1 << narrow) - 1)
+        return key >> np.uint64(wide + narrow), key >> np.uint64(narrow) & low, key & lower, n
+    order = np.lexsort((d, v, u))
+    u, v, d = u[order], v[order], d[order]
+    at = _starts(u, v, d)
+    return u[at], v[at], d[at], np.diff(np.append(at, len(order)))
 
 
 def _pairs(frequent: np.ndarray, parts: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        start = np.array([_END - np.uint64(1)])  # before the first word
-        for ids, words in _blocks(batches):
-            codes = [_coded(w, frequent) for w in words]
-            u = np.concatenate([x for c in codes for x in (start, c)])
-            v = np.concatenate([x for c in codes for x in (c, np.array([_END]))])
-            d = np.repeat(np.arange(len(ids), dtype=np.uint32), [len(c) + 1 for c in codes])
-            order = np.lexsort((d, v, u))
-            u, v, d = u[order], v[order], d[order]
-            at = _starts(u, v, d)
-            n = np.diff(np.append(at, len(u)))
-            u, v, d = u[at], v[at], d[at]
-            yield pd.DataFrame(list(_split_rows(_partition(u, v, parts), u, v, d, n, ids)), columns=_COLUMNS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, sizes, index, hashes in _blocks(batches):
+            # The mark before the first word and the end mark come last; numbers of words are in the order of their codes.
+            codes, number = np.unique(np.append(_coded(hashes, frequent), [_END - np.uint64(1), _END]), return_inverse=True)
+            number = number.astype(np.uint64)
+            d = np.repeat(np.arange(len(ids), dtype=np.uint64), sizes + 1)
+            last = np.cumsum(sizes + 1) - 1
+            v = np.full(len(d), number[-1])
+            v[np.delete(np.arange(len(d)), last)] = number[index]
+            u = np.roll(v, 1)
+            u[last - sizes] = number[-2]
+            u, v, d, n = _distinct(u, v, d, len(codes), len(ids))
+            u, v = codes[u.view(np.int64)], codes[v.view(np.int64)]
+            yield pa.RecordBatch.from_pylist(
+                list(_split_rows(_partition(u, v, parts), u, v, d.view(np.int64), n, ids)), schema=_SHIPPED)
 
     return run
 
@@ -165,9 +218,7 @@ def _unpacked(group: pd.DataFrame):
 
 
 def _sums(part: np.ndarray, rows: dict[str, np.ndarray]) -> list[dict]:
-    order = np.argsort(part, kind="stable")
-    return [{"part": int(part[own[0]]), **{k: x[own] for k, x in rows.items()}}
-            for own in np.split(order, _starts(part[order])[1:]) if len(own)]
+    return [{"part": int(part[own[0]]), **{k: x[own] for k, x in rows.items()}} for own in _by_part(part)]
 
 
 _SUMS = "doc_part int, ids binary, score binary, backed_off binary, pairs binary"
@@ -187,12 +238,15 @@ def _scored(counts: np.ndarray, n_words: int, n_documents: int, alpha: float, pa
     """Scores of the pairs of one partition; words of unknown rare pairs are passed on."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         u, v, d, n, ids = _unpacked(group)
-        order = np.lexsort((v, u))
-        u, v, d, n = u[order], v[order], d[order], n[order]
-        at = _starts(u, v)
-        pair = np.repeat(np.add.reduceat(n, at), np.diff(np.append(at, len(u))))
-        at = _starts(u)
-        context = np.repeat(np.add.reduceat(n, at), np.diff(np.append(at, len(u)))).astype(np.float64)
+        number, _ = pd.factorize(u)  # of the context, then of the pair
+        context = np.bincount(number, weights=n)[number]
+        second, different = pd.factorize(v)
+        number *= len(different)
+        number += second
+        del second, different  # the table of pairs is the largest thing here
+        number, _ = pd.factorize(number)
+        pair = np.bincount(number, weights=n)[number]
+        del number
         frequent = u < np.uint64(len(counts))
         context[frequent] = counts[u[frequent].astype(np.int64)]
         context[u == _END - np.uint64(1)] = n_documents
@@ -262,7 +316,7 @@ def score_documents(docs: DataFrame, alpha: float = 0.4) -> DataFrame:
     frequent = np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64)
     order = np.argsort(frequent)
     frequent, counts = frequent[order], np.array([r["n"] for r in rows], dtype=np.float64)[order]
-    pairs = docs.mapInPandas(_pairs(frequent, parts), _PACKED)
+    pairs = _texts(docs).mapInArrow(_pairs(frequent, parts), _PACKED)
     scored = stored(pairs.groupBy("part").applyInPandas(
         _scored(counts, n_words, n_documents, alpha, parts, doc_parts),
         f"doc_part int, score binary, backed_off binary, pairs binary, {_PACKED}"), "pair-scores")

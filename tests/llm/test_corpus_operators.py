@@ -14,6 +14,7 @@ import time
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -445,6 +446,46 @@ def test_ngram_scores_equal_brute_force(docs, texts, nothing):
     assert ngram_lm.score_documents(nothing).count() == 0
 
 
+def _packed(step, batches):
+    return [row for batch in step(iter(batches)) for row in batch.to_pylist()]
+
+
+@pytest.mark.parametrize("block, piece, key", [(1_500_000, 2_000_000, 64), (40, 30, 64), (1_500_000, 2_000_000, 3)])
+def test_ngram_blocks_hash_a_word_once_and_lose_none(monkeypatch, block, piece, key):
+    texts = [" The cat\x0bthe\x1ccat \n", None, "", " \t ", "\u0130I \x85x\xa0y THE  the the", "the " * 30, "cat"] * 3
+    ids = [5, 6, None, 7, 8, 9, 5] + [i + 10 for i in range(7)] + [-1] * 7
+    for name, value in {"BLOCK": block, "SLICE": piece, "KEY": key}.items():
+        monkeypatch.setattr(ngram_lm, name, value)
+    hashed, digest = [], ngram_lm.xxhash.xxh64_intdigest
+    monkeypatch.setattr(ngram_lm.xxhash, "xxh64_intdigest", lambda word: hashed.append(word) or digest(word))
+    batches = pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "text": texts})
+    batches = [batches.slice(0, 9), batches.slice(9, 0), batches.slice(9)]
+    words = [(t or "").encode().lower().split() for t in texts]
+    counted = collections.Counter(digest(w) for own in words for w in own)
+
+    found = collections.Counter()
+    for row in _packed(ngram_lm._counts(7), batches):
+        hashes = np.cumsum(ngram_lm._values(row["w"], 8), dtype=np.uint64)
+        found.update(dict(zip(hashes.tolist(), ngram_lm._values(row["n"], 4).tolist())))
+    assert found == counted
+    if block > 1000:  # one block: its distinct words only
+        assert len(hashed) == len(counted)
+
+    frequent = np.sort(np.array([digest(b"the")], dtype=np.uint64))
+    code = {w: int(ngram_lm._coded(np.array([digest(w)], dtype=np.uint64), frequent)[0]) for own in words for w in own}
+    end = int(ngram_lm._END)
+    pairs, found = collections.Counter(), collections.Counter()
+    for i, own in zip(ids, words):
+        line = [end - 1, *(code[w] for w in own), end]
+        pairs.update((u, v, ngram_lm._NO_ID if i is None else i) for u, v in zip(line, line[1:]))
+    for row in _packed(ngram_lm._pairs(frequent, 300), batches):
+        u, v, d, n, docs = ngram_lm._unpacked(pd.DataFrame([row]))
+        assert set(ngram_lm._partition(u, v, 300).tolist()) == {row["part"]}
+        for key_, many in zip(zip(u.tolist(), v.tolist(), docs[d].tolist()), n.tolist()):
+            found[key_] += many
+    assert found == pairs
+
+
 @pytest.mark.parametrize("words", [4, 5])
 def test_near_groups_equal_brute_force(docs, texts, nothing, words):
     sets = {}
